@@ -75,7 +75,7 @@ def parse_date(c: str | Column, fmt: str = "M/d/yyyy") -> Column:
     ``M/d/yyyy`` accepts ``1/1/2022`` and ``01/01/2022``; plain ``to_date``
     raises under ANSI mode, ``try_to_date`` does not.
     """
-    return F.try_to_date(as_col(c), F.lit(fmt))
+    return F.try_to_date(as_col(c), fmt)
 
 
 def month_key(c: str | Column) -> Column:

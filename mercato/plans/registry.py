@@ -39,6 +39,7 @@ def register(name: str, covers: str, oracle: str | None = None):
 def all_queries() -> dict[str, Query]:
     # importing the catalog modules fills the registry
     from mercato.plans import (  # noqa: F401
+        catalog_clean,
         catalog_profile,
         catalog_reports,
     )

@@ -37,6 +37,24 @@ orders_gaps AS (
   FROM orders
 )"""
 
+SALES_RAW = """
+sales_raw AS (
+  SELECT order_id,
+         CASE WHEN order_id % 97 = 0 THEN '13/45/1999' ELSE strftime(order_date, '%-m/%-d/%Y') END AS order_date,
+         CASE WHEN order_id % 101 = 0 THEN NULL ELSE customer_id END AS customer_id,
+         CASE WHEN order_id % 5 = 0 THEN ' ' || lower(product_category) || chr(9) ELSE product_category END
+           AS product_category,
+         region,
+         CASE WHEN order_id % 43 = 0 THEN 0 ELSE quantity END AS quantity,
+         gross,
+         CASE WHEN order_id % 53 = 0 THEN NULL ELSE discount END AS discount,
+         CASE WHEN order_id % 19 = 0 THEN NULL ELSE payment_method END AS payment_method,
+         CASE WHEN order_id % 17 = 0 THEN NULL ELSE delivery_days END AS delivery_days,
+         CASE WHEN order_id % 13 = 0 THEN NULL ELSE customer_rating END AS customer_rating,
+         revenue, l_partkey, l_suppkey
+  FROM sales_flat
+)"""
+
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"

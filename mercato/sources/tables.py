@@ -92,3 +92,35 @@ def orders_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 31 == 0, F.lit(None)).otherwise(F.col("o_orderdate")).alias("o_orderdate"),
         F.when(k % 11 == 0, F.lit(None)).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
     )
+
+
+def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sales_flat`` as a raw text extract with the defects the cleaning
+    rules exist for, injected by a CASE on the key (no row is removed):
+    M/d/yyyy date text with unparsable values, missing customer, discount,
+    payment, delivery days and rating, zero quantities and
+    lower-case/tab-padded category labels."""
+    s = sales_flat(spark, sf_dir)
+    k = F.col("order_id")
+
+    def unless(mod: int, value: Column, other: Column) -> Column:
+        return F.when(k % mod == 0, value).otherwise(other)
+
+    return s.select(
+        k.alias("order_id"),
+        unless(97, F.lit("13/45/1999"), F.date_format("order_date", "M/d/yyyy")).alias("order_date"),
+        unless(101, F.lit(None).cast("long"), F.col("customer_id")).alias("customer_id"),
+        unless(
+            5, F.concat(F.lit(" "), F.lower("product_category"), F.lit("\t")), F.col("product_category")
+        ).alias("product_category"),
+        F.col("region"),
+        unless(43, F.lit(0), F.col("quantity")).alias("quantity"),
+        F.col("gross"),
+        unless(53, F.lit(None).cast("decimal(4,2)"), F.col("discount")).alias("discount"),
+        unless(19, F.lit(None).cast("string"), F.col("payment_method")).alias("payment_method"),
+        unless(17, F.lit(None).cast("int"), F.col("delivery_days")).alias("delivery_days"),
+        unless(13, F.lit(None).cast("decimal(3,2)"), F.col("customer_rating")).alias("customer_rating"),
+        F.col("revenue"),
+        F.col("l_partkey"),
+        F.col("l_suppkey"),
+    )
