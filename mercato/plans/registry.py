@@ -42,6 +42,7 @@ def all_queries() -> dict[str, Query]:
         catalog_clean,
         catalog_profile,
         catalog_reports,
+        catalog_warehouse,
     )
 
     return dict(_REGISTRY)
