@@ -40,6 +40,7 @@ def all_queries() -> dict[str, Query]:
     # importing the catalog modules fills the registry
     from mercato.plans import (  # noqa: F401
         catalog_clean,
+        catalog_events,
         catalog_files,
         catalog_profile,
         catalog_reports,
