@@ -61,7 +61,7 @@ class CleanRules:
     text_cols: Sequence[str] = ("product_category", "region", "payment_method")
     clip_bounds: tuple = (0, 1)
     revenue_tolerance: float = 1.0
-    expected_revenue: Column | None = None
+    expected_revenue: str | Column | None = None
 
 
 def _median_values(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -128,7 +128,7 @@ def label_rows(df: DataFrame, rules: CleanRules) -> DataFrame:
         .when(~in_range, F.lit(OUT_OF_RANGE))
         .when(~domain_ok, F.lit(INVALID_DOMAIN))
     )
-    expected = r.expected_revenue
+    expected = F.expr(r.expected_revenue) if isinstance(r.expected_revenue, str) else r.expected_revenue
     if expected is None:
         expected = F.col(r.quantity_col) * F.col(r.price_col) * (F.lit(1) - F.col(r.discount_col))
     mismatch = F.abs(F.col(r.revenue_col) - expected) > F.lit(r.revenue_tolerance)

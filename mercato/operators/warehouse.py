@@ -132,25 +132,39 @@ class Warehouse:
         return dict(self.__dict__)
 
 
-def build_warehouse(flat: DataFrame) -> Warehouse:
+def build_warehouse(flat: DataFrame, persist_to: str | None = None) -> Warehouse:
     """Whole stage: flat staging rows -> normalised set -> star.
 
-    ``flat`` needs the flat sales columns with a unique ``order_id``."""
-    regions = lookup_table(flat, "region", "region_id", "region_name")
-    categories = lookup_table(flat, "product_category", "category_id", "category_name")
-    payments = lookup_table(flat, "payment_method", "payment_method_id", "method_name")
-    customers = customer_region(flat, regions)
-    orders = orders_normalised(flat, categories, payments)
+    ``flat`` needs the flat sales columns with a unique ``order_id``. With
+    ``persist_to`` (a name prefix) every table is written once under the
+    session's shared checkpoint folder and read back before the next table
+    is derived from it, as the reference inserts into real tables; each
+    table is then computed once instead of once per consumer."""
+    spark = flat.sparkSession
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if persist_to is None:
+            return df
+        from mercato.session import materialize
+
+        return materialize(df, spark, f"{persist_to}-{name}")
+
+    flat = keep(flat, "staging")
+    regions = keep(lookup_table(flat, "region", "region_id", "region_name"), "regions")
+    categories = keep(lookup_table(flat, "product_category", "category_id", "category_name"), "categories")
+    payments = keep(lookup_table(flat, "payment_method", "payment_method_id", "method_name"), "payments")
+    customers = keep(customer_region(flat, regions), "customers")
+    orders = keep(orders_normalised(flat, categories, payments), "orders")
     return Warehouse(
         regions=regions,
         product_categories=categories,
         payment_methods=payments,
         customers=customers,
         orders=orders,
-        dim_date=dim_date(orders),
+        dim_date=keep(dim_date(orders), "dim_date"),
         dim_customer=customers.select("customer_id"),
         dim_product_category=categories.select("category_id", "category_name"),
         dim_region=regions.select("region_id", "region_name"),
         dim_payment_method=payments.select("payment_method_id", "method_name"),
-        fact_orders=fact_orders(orders, customers),
+        fact_orders=keep(fact_orders(orders, customers), "fact_orders"),
     )

@@ -29,7 +29,7 @@ SALES_RULES = clean.CleanRules(
         "region": REGION_DOMAIN,
         "payment_method": PAYMENT_DOMAIN,
     },
-    expected_revenue=F.col("gross") * (F.lit(1) - F.col("discount")),
+    expected_revenue="gross * (1 - discount)",
 )
 
 

@@ -131,7 +131,7 @@ def q_kafka_roundtrip(spark, sf_dir):
     return ev.decode_records(records, _EVENTS_RECORD_SCHEMA)
 
 
-def _event_record_chunks(spark, sf_dir, chunks: int = 6):
+def _event_record_chunks(spark, sf_dir, chunks: int = 4):
     """The events as JSON-line records split into ``chunks`` consecutive
     event-time ranges: [(payload filter, ...)] in time order. Each chunk is
     appended to the topic folder by its own Spark write."""

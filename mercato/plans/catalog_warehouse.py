@@ -64,7 +64,7 @@ def staging(spark, sf_dir):
 
 
 def _wh(spark, sf_dir):
-    return warehouse.build_warehouse(staging(spark, sf_dir))
+    return warehouse.build_warehouse(staging(spark, sf_dir), persist_to="warehouse")
 
 
 @register(
@@ -215,7 +215,7 @@ SELECT 'staging' AS left_name, (SELECT COUNT(*) FROM staging) AS left_n,
 )
 def q_reconcile(spark, sf_dir):
     st = staging(spark, sf_dir)
-    wh = warehouse.build_warehouse(st)
+    wh = warehouse.build_warehouse(st, persist_to="warehouse")
     return rules.reconcile(st, wh.fact_orders, "staging", "fact_orders")
 
 

@@ -78,3 +78,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, spark: SparkSession, name: str, fmt: str = "parquet"):
+    """Write ``df`` once to a fresh folder under the shared checkpoint
+    directory and return the read-back frame: downstream plans scan the
+    written table instead of recomputing its lineage, and a lost executor
+    only costs re-reading files."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").format(fmt).save(path)
+    return spark.read.format(fmt).load(path)
