@@ -72,9 +72,17 @@ def _median_values(df: DataFrame, cols: Sequence[str]) -> dict:
     return {r["column_name"]: r["value"] for r in rows}
 
 
-def label_rows(df: DataFrame, rules: CleanRules) -> DataFrame:
+def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFrame:
     """Every input row, cleaned where it survives, with ``reject_reason``
-    (null for valid rows) and ``revenue_mismatch`` (N13, single plan)."""
+    (null for valid rows) and ``revenue_mismatch`` (N13, single plan).
+
+    With ``stage`` (default) the parsed input is written once to the
+    session's shared checkpoint folder with a row id (``__rid``, file
+    order for a file scan) and read back: the medians, the keep-first
+    aggregate and the labelling pass then scan that table instead of
+    recomputing the input, the lineage is cut, and ties in ``order_by``
+    (identical copies included) are broken by the stored id, so exactly one
+    row per key is kept."""
     r = rules
     out = df
     if isinstance(df.schema[r.date_col].dataType, T.StringType):
@@ -85,7 +93,11 @@ def label_rows(df: DataFrame, rules: CleanRules) -> DataFrame:
     missing = F.lit(False)
     for c in r.required:
         missing = missing | F.col(c).isNull()
-    out = out.withColumn("__missing", missing)
+    out = out.withColumn("__missing", missing).withColumn("__rid", F.monotonically_increasing_id())
+    if stage:
+        from mercato.session import materialize
+
+        out = materialize(out, df.sparkSession, "clean-stage")
 
     survivors = out.filter(~F.col("__missing"))
     medians = _median_values(survivors, [c for c in r.median_fills if c in df.columns])
@@ -100,7 +112,7 @@ def label_rows(df: DataFrame, rules: CleanRules) -> DataFrame:
     for c, label in r.label_fills.items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(label)))
 
-    order_cols = list(r.order_by) or [r.key]
+    order_cols = [*r.order_by, "__rid"]
     firsts = survivors.groupBy(r.key).agg(F.min(F.struct(*order_cols)).alias("__first"))
     out = out.join(firsts, r.key, "left").withColumn(
         "__is_first", F.struct(*order_cols).eqNullSafe(F.col("__first"))
@@ -135,7 +147,7 @@ def label_rows(df: DataFrame, rules: CleanRules) -> DataFrame:
     return (
         out.withColumn("reject_reason", reason)
         .withColumn("revenue_mismatch", F.when(reason.isNull(), mismatch))
-        .drop("__missing", "__first", "__is_first")
+        .drop("__missing", "__first", "__is_first", "__rid")
     )
 
 

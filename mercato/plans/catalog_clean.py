@@ -18,7 +18,7 @@ PAYMENT_DOMAIN = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 SALES_RULES = clean.CleanRules(
     key="order_id",
-    order_by=("l_partkey", "l_suppkey"),
+    order_by=("l_partkey", "l_suppkey", "quantity", "gross"),
     required=(
         "order_id", "order_date", "customer_id", "product_category",
         "region", "quantity", "gross", "revenue", "discount",
@@ -63,7 +63,8 @@ med AS (
 ranked AS (
   SELECT f.*,
          CASE WHEN missing THEN NULL
-              ELSE row_number() OVER (PARTITION BY order_id, missing ORDER BY l_partkey, l_suppkey) END AS rn
+              ELSE row_number() OVER (PARTITION BY order_id, missing ORDER BY l_partkey, l_suppkey, quantity, gross)
+              END AS rn
   FROM flagged f
 )""",
         f"""
@@ -201,11 +202,12 @@ def q_fill_const(spark, sf_dir):
     oracle=with_ctes(SALES_FLAT)
     + """
 SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY l_partkey, l_suppkey) AS rn FROM sales_flat
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY l_partkey, l_suppkey, quantity, gross) AS rn
+  FROM sales_flat
 ) WHERE rn = 1""",
 )
 def q_dedup_first(spark, sf_dir):
-    return clean.keep_first(sales_flat(spark, sf_dir), ["order_id"], ["l_partkey", "l_suppkey"])
+    return clean.keep_first(sales_flat(spark, sf_dir), ["order_id"], ["l_partkey", "l_suppkey", "quantity", "gross"])
 
 
 @register(

@@ -190,7 +190,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
        CAST(round(abs(l_extendedprice - {_RULE_EXPECTED}), 4) AS DECIMAL(18,4)) AS abs_diff
 FROM lineitem JOIN part ON p_partkey = l_partkey
 WHERE abs(l_extendedprice - {_RULE_EXPECTED}) > 0.05
-ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 5""",
+ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice LIMIT 5""",
 )
 def q_rule_offenders(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
@@ -200,7 +200,7 @@ def q_rule_offenders(spark, sf_dir):
     )
     out = profile.rule_offenders(
         joined, F.col("l_extendedprice"), F.col("expected"), 0.05,
-        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
     )
     return out.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "expected",

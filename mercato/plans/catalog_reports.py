@@ -188,10 +188,10 @@ def q_max_date(spark, sf_dir):
     covers="S11 L3",
     oracle="""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
-FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 5""",
+FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity LIMIT 5""",
 )
 def q_preview(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
     )
-    return reports.preview(li, 5, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    return reports.preview(li, 5, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"])
