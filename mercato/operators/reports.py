@@ -17,13 +17,21 @@ from mercato.functions.scalar import delivery_bucket, month_key, money
 MONEY = "decimal(38,2)"
 
 
-def revenue_by_category(sales: DataFrame, category: str = "product_category") -> DataFrame:
-    """SUM(revenue), COUNT(*) by category, largest first (A1, A3, L1)."""
+def _row_count(weight: str | None):
+    """COUNT(*) over raw rows, or SUM(weight) over pre-aggregated rows."""
+    return F.count(F.lit(1)) if weight is None else F.sum(weight).cast("long")
+
+
+def revenue_by_category(sales: DataFrame, category: str = "product_category", weight: str | None = None) -> DataFrame:
+    """SUM(revenue), COUNT(*) by category, largest first (A1, A3, L1).
+
+    ``weight`` names a row-count column when ``sales`` is already
+    partially aggregated (eager aggregation below a join)."""
     return (
         sales.groupBy(F.col(category).alias("product_category"))
         .agg(
             money(F.sum("revenue")).alias("total_revenue"),
-            F.count(F.lit(1)).alias("order_count"),
+            _row_count(weight).alias("order_count"),
         )
         .orderBy(F.desc("total_revenue"), F.asc("product_category"))
     )
