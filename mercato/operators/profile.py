@@ -30,10 +30,22 @@ def text_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def schema_report(df: DataFrame) -> DataFrame:
-    """(position, column_name, data_type) from the schema alone."""
+    """(position, column_name, data_type, non_null_count) per column (S13,
+    Q1; the ``dtypes`` listing plus pandas ``info()`` counts). Types come
+    from the schema, counts from one aggregate over the data."""
     spark = df.sparkSession
-    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column_name string, data_type string")
+    fields = list(enumerate(df.schema.fields, start=1))
+    types = spark.createDataFrame(
+        [(i, f.name, f.dataType.simpleString()) for i, f in fields],
+        "position int, column_name string, data_type string",
+    )
+    counts = df.agg(*[F.count(F.col(f.name)).alias(f"c_{i}") for i, f in fields])
+    long = counts.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(i).alias("position"), F.col(f"c_{i}").alias("non_null_count")) for i, _ in fields])
+        ).alias("s")
+    ).select("s.position", "s.non_null_count")
+    return types.join(long, "position").orderBy("position")
 
 
 def overview(df: DataFrame) -> DataFrame:

@@ -78,24 +78,35 @@ def rename_view(spark: SparkSession, old: str, new: str) -> DataFrame:
     return spark.table(new)
 
 
+def _row_hash(df: DataFrame):
+    """A per-row hash used as the last range-partitioning column: rows
+    sharing one partition or cluster value are spread over several tasks."""
+    return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
 def write_table(
     df: DataFrame,
     path: str,
     fmt: str,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    tasks: int | None = None,
     **options,
 ) -> None:
     """CSV (header) / Parquet / ORC write with overwrite or append (K1-K5, K7, K8).
 
-    With ``partition_by`` the rows are first hash-partitioned on the
-    partition columns, so each partition value is written by one task
-    (one file per value instead of one per value and task)."""
+    With ``partition_by`` the rows are range-partitioned on (partition
+    columns, row hash) first: every task holds an equal slice in partition
+    order and writes files for one or two partition values, so the file
+    count stays near ``tasks`` + number of values, and one value holding a
+    third of the rows is still written by many tasks (hash-repartitioning
+    on the partition column alone would give it one task)."""
     if fmt == "csv":
         options.setdefault("header", "true")
     out = df
     if partition_by:
-        out = out.repartition(*[F.col(c) for c in partition_by])
+        n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartitionByRange(n, *[F.col(c) for c in partition_by], _row_hash(df))
     writer = out.write.mode(mode).format(fmt).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -115,7 +126,7 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], fmt: st
     statistics let the reader skip the rest."""
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.repartitionByRange(n, *[F.col(c) for c in cluster_by])
+        df.repartitionByRange(n, *[F.col(c) for c in cluster_by], _row_hash(df))
         .sortWithinPartitions(*cluster_by)
         .write.mode("overwrite")
         .format(fmt)
