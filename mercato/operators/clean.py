@@ -114,7 +114,9 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
 
     order_cols = [*r.order_by, "__rid"]
     firsts = survivors.groupBy(r.key).agg(F.min(F.struct(*order_cols)).alias("__first"))
-    out = out.join(firsts, r.key, "left").withColumn(
+    # both sides grow with the input: sort-merge by design; AQE splits the
+    # partition of a hot key
+    out = out.hint("merge").join(firsts, r.key, "left").withColumn(
         "__is_first", F.struct(*order_cols).eqNullSafe(F.col("__first"))
     )
 

@@ -52,7 +52,7 @@ def upsert(
     for k in key:
         c = F.col(f"t__{k}") == F.col(f"u__{k}")
         cond = c if cond is None else cond & c
-    joined = t.join(u, cond, "full_outer")
+    joined = t.hint("merge").join(u, cond, "full_outer")
     matched_t = F.col("t__hit").isNotNull()
     matched_u = F.col("u__hit").isNotNull()
     stamp = now if now is not None else F.current_timestamp()

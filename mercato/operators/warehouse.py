@@ -92,7 +92,7 @@ def calendar_dim(orders: DataFrame, date_col: str = "order_date") -> DataFrame:
 
 def fact_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Fact rows with ``date_id`` and the customer's ``region_id``."""
-    return orders.join(customers, "customer_id").select(
+    return orders.hint("merge").join(customers, "customer_id").select(
         "order_id",
         date_key("order_date").alias("date_id"),
         "customer_id",
