@@ -9,6 +9,8 @@ stream) and the watermark is 2 hours.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,55 +133,51 @@ def q_kafka_roundtrip(spark, sf_dir):
     return ev.decode_records(records, _EVENTS_RECORD_SCHEMA)
 
 
-def _event_record_chunks(spark, sf_dir, chunks: int = 4):
-    """The events as JSON-line records split into ``chunks`` consecutive
-    event-time ranges: [(payload filter, ...)] in time order. Each chunk is
-    appended to the topic folder by its own Spark write."""
+CHUNKS = 4
+
+
+def _chunked_events(spark, sf_dir, chunks: int = CHUNKS):
+    """The events with a ``chunk`` index: ``chunks`` consecutive event-time
+    ranges of equal length in whole microseconds (the same integer rule as
+    the oracle SQL). The bounds are a one-row aggregate."""
     e = _standin_events(spark, sf_dir)
     bounds = e.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
-    payload = e.select(
-        "ts",
-        F.to_json(
-            F.struct(
-                F.col("event_id"),
-                ev.ntz_to_instant(F.col("ts")).alias("timestamp"),
-                F.concat(F.lit("publisher_"), F.col("user_id")).alias("publisher_id"),
-                F.col("event_type").alias("response_code"),
-                F.col("value").alias("response_time_ms"),
-            ),
-            ev.JSON_OPTIONS,
-        ).alias("value"),
-    )
     if lo is None:
-        return [payload.select("value")]
-    step = (hi - lo) / chunks
-    parts = []
-    for k in range(chunks):
-        cond = F.col("ts") >= F.lit(lo + step * k) if k else F.lit(True)
-        if k < chunks - 1:
-            cond = cond & (F.col("ts") < F.lit(lo + step * (k + 1)))
-        parts.append(payload.filter(cond).select("value"))
-    return parts
-
-
-@register(
-    "stream_windowed_metrics",
-    covers="T1 T2 T3 T5 T6 T7 T10 T11 T12 T13 T14 T15 K11 K12 K13 F8 S9 (file stream stands in for Kafka)",
-    oracle=SLIDING_SQL + "SELECT * FROM metrics",
-)
-def q_stream_windowed_metrics(spark, sf_dir):
-    """The events arrive in time-ordered chunks; after each chunk lands in
-    the topic folder the checkpointed query runs with ``availableNow`` and
-    stops (a restart from the checkpoint each time: offsets, watermark and
-    window state carry over). The compacted update rows equal the batch
-    answer because no chunk is older than the watermark."""
+        return e.withColumn("chunk", F.lit(0))
+    step = max(1, ((hi - lo) // dt.timedelta(microseconds=1)) // chunks)
+    lo_lit = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
+    idx = F.least(F.timestamp_diff("MICROSECOND", lo_lit, F.col("ts")) / F.lit(step), F.lit(chunks - 1))
+    return e.withColumn("chunk", F.floor(idx).cast("int"))
+
+
+def _record_value():
+    """An event as the JSON text of an ad-request record."""
+    return F.to_json(
+        F.struct(
+            F.col("event_id"),
+            ev.ntz_to_instant(F.col("ts")).alias("timestamp"),
+            F.concat(F.lit("publisher_"), F.col("user_id")).alias("publisher_id"),
+            F.col("event_type").alias("response_code"),
+            F.col("value").alias("response_time_ms"),
+        ),
+        ev.JSON_OPTIONS,
+    ).alias("value")
+
+
+def _run_stream_in_chunks(spark, sf_dir):
+    """Append the event records to a topic folder one time-ordered chunk at
+    a time; after each chunk the checkpointed query runs with
+    ``availableNow`` and stops (a restart from the checkpoint each time:
+    offsets, watermark and window state carry over). Returns the update
+    output folder, its schema and {batch id: chunk} from the query progress."""
     src = scratch_path(spark, "event-records")
     out = scratch_path(spark, "metrics-out")
     ckpt = scratch_path(spark, "metrics-ckpt")
-    schema = None
-    for k, chunk in enumerate(_event_record_chunks(spark, sf_dir)):
-        chunk.write.mode("overwrite").text(f"{src}/chunk={k:04d}")
+    chunked = _chunked_events(spark, sf_dir).select("chunk", _record_value())
+    schema, batch_chunk = None, {}
+    for k in range(CHUNKS):
+        chunked.filter(F.col("chunk") == k).select("value").write.mode("overwrite").text(f"{src}/chunk={k:04d}")
         raw = spark.readStream.format("text").option("recursiveFileLookup", "true").load(src)
         events, _bad = ev.parse_events(raw, STANDIN_SCHEMA)
         metrics = runner.metrics_stream(
@@ -188,16 +186,72 @@ def q_stream_windowed_metrics(spark, sf_dir):
         schema = runner.update_schema(metrics)
         query = runner.start_metrics_query(metrics, out, ckpt, trigger={"availableNow": True})
         runner.await_or_stop(query)
-    latest = runner.compact_updates(spark, out, schema)
-    return latest.select(
+        for p in query.recentProgress:
+            if p.get("numInputRows", 0) > 0:
+                batch_chunk[int(p["batchId"])] = k
+    return out, schema, batch_chunk
+
+
+def _ntz_windows(df):
+    return df.select(
+        *[c for c in df.columns if c not in ("window_start", "window_end")],
         ev.instant_to_ntz(F.col("window_start")).alias("window_start"),
         ev.instant_to_ntz(F.col("window_end")).alias("window_end"),
-        "response_code",
-        "request_count",
-        "avg_response_time_ms",
     )
 
 
+@register(
+    "stream_windowed_metrics",
+    covers="T1 T2 T3 T5 T6 T7 T10 T11 T12 T13 T14 T15 K11 K12 K13 F8 S9 (file stream stands in for Kafka)",
+    oracle=SLIDING_SQL + "SELECT * FROM metrics",
+)
+def q_stream_windowed_metrics(spark, sf_dir):
+    """Compacted update output of the chunked stream: equals the batch
+    answer because no chunk is older than the watermark."""
+    out, schema, _ = _run_stream_in_chunks(spark, sf_dir)
+    latest = runner.compact_updates(spark, out, schema)
+    return _ntz_windows(latest).select(*ev.METRIC_COLUMNS)
+
+
+_CHUNK_SQL = f"""
+WITH bounds AS (SELECT MIN(ts) AS lo, MAX(ts) AS hi FROM events),
+ev AS (
+  SELECT e.*, CAST(LEAST(date_diff('microsecond', b.lo, e.ts)
+                         // GREATEST(1, date_diff('microsecond', b.lo, b.hi) // {CHUNKS}), {CHUNKS - 1}) AS INTEGER)
+           AS chunk
+  FROM events e, bounds b),
+w AS (
+  SELECT chunk, event_type AS response_code, value,
+         unnest([time_bucket(INTERVAL 30 MINUTE, ts, TIMESTAMP '1970-01-01 00:00:00'),
+                 time_bucket(INTERVAL 30 MINUTE, ts, TIMESTAMP '1970-01-01 00:00:00') - INTERVAL 30 MINUTE])
+           AS window_start
+  FROM ev),
+touched AS (SELECT DISTINCT chunk, window_start, response_code FROM w)
+SELECT t.chunk, t.window_start, t.window_start + INTERVAL 1 HOUR AS window_end, t.response_code,
+       COUNT(*) AS request_count,
+       CAST(((2 * CAST(SUM(CAST(w.value AS DECIMAL(12,2))) * 100 AS BIGINT) + 10 * COUNT(*))
+             // (20 * COUNT(*))) * 0.1 AS DECIMAL(12,1)) AS avg_response_time_ms
+FROM touched t JOIN w ON w.window_start = t.window_start AND w.response_code = t.response_code
+                     AND w.chunk <= t.chunk
+GROUP BY t.chunk, t.window_start, t.response_code"""
+
+
+@register(
+    "stream_update_rows",
+    covers="T6 T7 T11 K12 X9 (every update row, by arrival chunk)",
+    oracle=_CHUNK_SQL,
+)
+def q_stream_update_rows(spark, sf_dir):
+    """Every row the update-mode query emitted, labelled with the arrival
+    chunk that caused it: a (window, code) appears once per chunk that
+    touched it, carrying the running count and mean over all chunks so far
+    (what the reference's CSV output holds, X9)."""
+    out, schema, batch_chunk = _run_stream_in_chunks(spark, sf_dir)
+    mapping = F.create_map(*[x for b, k in sorted(batch_chunk.items()) for x in (F.lit(b), F.lit(k))])
+    updates = runner.read_updates(spark, out, schema).withColumn("chunk", F.element_at(mapping, F.col("batch_id")))
+    return _ntz_windows(updates).select("chunk", *ev.METRIC_COLUMNS)
+
+
 @register("synth_sales", covers="S14 G18 G20")
 def q_synth_sales(spark, sf_dir):
     ids = table(spark, sf_dir, "lineitem").select(

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from mercato.operators import clean, reports
 from mercato.plans.catalog_clean import SALES_RULES, _LABELLED_SQL
 from mercato.plans.registry import register
+from mercato.plans.sql_fragments import SALES_FLAT, with_ctes
 from mercato.session import scratch_path
 from mercato.sources import files
 from mercato.sources.tables import sales_flat, sales_raw, table
@@ -245,3 +246,24 @@ def q_csv_clean_report(spark, sf_dir):
     files.write_table(sales_raw(spark, sf_dir), path, "csv")
     raw = files.read_sales_csv(spark, path, _RAW_CSV_SCHEMA)
     return clean.clean_report(clean.label_rows(raw, SALES_RULES))
+
+
+@register(
+    "bucketed_customer_spend",
+    covers="Y3 (bucketBy layout) A5",
+    oracle=with_ctes(SALES_FLAT)
+    + """
+SELECT customer_id, CAST(SUM(revenue) AS DECIMAL(38,2)) AS total_spent, COUNT(*) AS order_count
+FROM sales_flat GROUP BY customer_id""",
+)
+def q_bucketed_customer_spend(spark, sf_dir):
+    """Sales bucketed by customer: the per-customer aggregate reads
+    co-located buckets and needs no shuffle."""
+    import uuid
+
+    name = f"sales_by_customer_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucketed = files.write_bucketed(
+        sales_flat(spark, sf_dir), name, ["customer_id"], buckets, scratch_path(spark, name)
+    )
+    return reports.customer_spend(bucketed)

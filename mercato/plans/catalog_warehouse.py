@@ -124,6 +124,34 @@ def q_customer_min_priority(spark, sf_dir):
     return per.join(payments, per.pm == payments.method_name).select("customer_id", "payment_method_id")
 
 
+@register(
+    "dim_copies",
+    covers="D5",
+    oracle=WAREHOUSE_SQL
+    + """
+SELECT 'dim_customer' AS dim, CAST(customer_id AS BIGINT) AS id, CAST(NULL AS VARCHAR) AS name FROM customers
+UNION ALL SELECT 'dim_product_category', category_id, category_name FROM product_categories
+UNION ALL SELECT 'dim_region', region_id, region_name FROM regions
+UNION ALL SELECT 'dim_payment_method', payment_method_id, method_name FROM payment_methods""",
+)
+def q_dim_copies(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    parts = [
+        wh.dim_customer.select(F.lit("dim_customer").alias("dim"), F.col("customer_id").cast("long").alias("id"),
+                               F.lit(None).cast("string").alias("name")),
+        wh.dim_product_category.select(F.lit("dim_product_category").alias("dim"), F.col("category_id").cast("long").alias("id"),
+                                       F.col("category_name").alias("name")),
+        wh.dim_region.select(F.lit("dim_region").alias("dim"), F.col("region_id").cast("long").alias("id"),
+                             F.col("region_name").alias("name")),
+        wh.dim_payment_method.select(F.lit("dim_payment_method").alias("dim"), F.col("payment_method_id").cast("long").alias("id"),
+                                     F.col("method_name").alias("name")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @register(
     "orders_normalised",
     covers="D3 J2",

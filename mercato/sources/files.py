@@ -134,6 +134,25 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], fmt: st
     )
 
 
+def write_bucketed(
+    df: DataFrame, name: str, key: Sequence[str], buckets: int, path: str, fmt: str = "parquet"
+) -> DataFrame:
+    """Bucketed, sorted table for repeated joins / aggregations on ``key``
+    (Y3: ``bucketBy`` for the group-by key). The table is external, stored
+    at ``path`` (a shared folder), registered in the session catalog; a
+    later ``groupBy(key)`` or a join with a table bucketed the same way
+    reads co-located buckets and plans no exchange."""
+    (
+        df.write.mode("overwrite")
+        .format(fmt)
+        .option("path", path)
+        .bucketBy(buckets, *key)
+        .sortBy(*key)
+        .saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
 def storage_size(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """(dataset, files, bytes, mb) per dataset folder.
 
