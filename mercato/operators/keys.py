@@ -16,28 +16,37 @@ from pyspark.sql import functions as F
 
 
 def with_surrogate_key(
-    df: DataFrame, order_by: Sequence[str], key_name: str, buckets: int | None = None
+    df: DataFrame,
+    order_by: Sequence[str],
+    key_name: str,
+    buckets: int | None = None,
+    group_by: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``key_name`` = position (1-based) of the row when sorted by
-    ``order_by``; the order columns must identify a row."""
+    ``order_by``, restarting at 1 in every ``group_by`` group; the group and
+    order columns together must identify a row."""
     spark = df.sparkSession
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(buckets, *order_by).withColumn("__bucket", F.spark_partition_id())
+    group_by = list(group_by)
+    ranged = df.repartitionByRange(buckets, *group_by, *order_by).withColumn(
+        "__bucket", F.spark_partition_id()
+    )
     local = ranged.withColumn(
-        "__local", F.row_number().over(Window.partitionBy("__bucket").orderBy(*order_by))
+        "__local", F.row_number().over(Window.partitionBy(*group_by, "__bucket").orderBy(*order_by))
     )
-    sizes = ranged.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__size"))
+    sizes = ranged.groupBy(*group_by, "__bucket").agg(F.count(F.lit(1)).alias("__size"))
+    before = Window.partitionBy(*group_by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "__bucket",
-        F.coalesce(
-            F.sum("__size").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("__offset"),
+        *group_by, "__bucket", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset")
     )
-    # offsets: one row per bucket, a bound fixed by ``buckets``
+    # one offset row per (group, bucket); a group spans consecutive buckets,
+    # so there are at most buckets + groups - 1 rows. Without groups that is
+    # a bound fixed by ``buckets`` and the side is broadcast.
+    if not group_by:
+        offsets = F.broadcast(offsets)
     return (
-        local.join(F.broadcast(offsets), "__bucket")
+        local.join(offsets, [*group_by, "__bucket"])
         .withColumn(key_name, (F.col("__offset") + F.col("__local")).cast("int"))
         .drop("__bucket", "__local", "__offset")
     )

@@ -30,6 +30,18 @@ def lookup_table(flat: DataFrame, col: str, id_name: str, name_name: str) -> Dat
     return with_surrogate_key(names, [name_name], id_name).select(id_name, name_name)
 
 
+def lookup_tables(flat: DataFrame, specs: dict[str, str]) -> DataFrame:
+    """Several lookups in one pass (D1, D6): {lookup name: column} ->
+    (lookup, id, name) with ids 1..n per lookup in name order. One scan of
+    the flat rows and one numbering job instead of one per lookup."""
+    names = flat.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(k).alias("lookup"), F.col(c).alias("name")) for k, c in specs.items()])
+        ).alias("s")
+    ).select("s.lookup", "s.name").filter(F.col("name").isNotNull()).distinct()
+    return with_surrogate_key(names, ["name"], "id", group_by=["lookup"]).select("lookup", "id", "name")
+
+
 def customer_region(flat: DataFrame, regions: DataFrame, how: str = "min") -> DataFrame:
     """One region per customer (D2, J1, A10): ``MIN(region)`` per customer
     (the reference's code; its comment says "first seen"), then the
@@ -127,9 +139,11 @@ class Warehouse:
     dim_region: DataFrame
     dim_payment_method: DataFrame
     fact_orders: DataFrame
+    staging: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
+        """The normalised and star tables (not the staging input)."""
+        return {k: v for k, v in self.__dict__.items() if k != "staging"}
 
 
 def build_warehouse(flat: DataFrame, persist_to: str | None = None) -> Warehouse:
@@ -150,9 +164,19 @@ def build_warehouse(flat: DataFrame, persist_to: str | None = None) -> Warehouse
         return materialize(df, spark, f"{persist_to}-{name}")
 
     flat = keep(flat, "staging")
-    regions = keep(lookup_table(flat, "region", "region_id", "region_name"), "regions")
-    categories = keep(lookup_table(flat, "product_category", "category_id", "category_name"), "categories")
-    payments = keep(lookup_table(flat, "payment_method", "payment_method_id", "method_name"), "payments")
+    lookups = keep(
+        lookup_tables(flat, {"regions": "region", "categories": "product_category", "payments": "payment_method"}),
+        "lookups",
+    )
+
+    def one(name: str, id_name: str, name_name: str) -> DataFrame:
+        return lookups.filter(F.col("lookup") == name).select(
+            F.col("id").alias(id_name), F.col("name").alias(name_name)
+        )
+
+    regions = one("regions", "region_id", "region_name")
+    categories = one("categories", "category_id", "category_name")
+    payments = one("payments", "payment_method_id", "method_name")
     customers = keep(customer_region(flat, regions), "customers")
     orders = keep(orders_normalised(flat, categories, payments), "orders")
     return Warehouse(
@@ -167,4 +191,5 @@ def build_warehouse(flat: DataFrame, persist_to: str | None = None) -> Warehouse
         dim_region=regions.select("region_id", "region_name"),
         dim_payment_method=payments.select("payment_method_id", "method_name"),
         fact_orders=keep(fact_orders(orders, customers), "fact_orders"),
+        staging=flat,
     )

@@ -118,9 +118,9 @@ FROM (SELECT customer_id, MIN(payment_method) AS pm FROM staging GROUP BY custom
 JOIN payment_methods pm ON pm.method_name = f.pm""",
 )
 def q_customer_min_priority(spark, sf_dir):
-    st = staging(spark, sf_dir)
-    payments = warehouse.lookup_table(st, "payment_method", "payment_method_id", "method_name")
-    per = st.groupBy("customer_id").agg(F.min("payment_method").alias("pm"))
+    wh = _wh(spark, sf_dir)
+    per = wh.staging.groupBy("customer_id").agg(F.min("payment_method").alias("pm"))
+    payments = wh.payment_methods
     return per.join(payments, per.pm == payments.method_name).select("customer_id", "payment_method_id")
 
 
@@ -242,9 +242,8 @@ SELECT 'staging' AS left_name, (SELECT COUNT(*) FROM staging) AS left_n,
        (SELECT COUNT(*) FROM staging) = (SELECT COUNT(*) FROM fact_orders) AS ok""",
 )
 def q_reconcile(spark, sf_dir):
-    st = staging(spark, sf_dir)
-    wh = warehouse.build_warehouse(st, persist_to="warehouse")
-    return rules.reconcile(st, wh.fact_orders, "staging", "fact_orders")
+    wh = _wh(spark, sf_dir)
+    return rules.reconcile(wh.staging, wh.fact_orders, "staging", "fact_orders")
 
 
 @register(

@@ -71,3 +71,11 @@ def test_synth_shares(spark):
     assert bad.count() == 0
     # deterministic: the same ids give the same rows
     assert synth_sales(spark.range(100)).exceptAll(synth_sales(spark.range(100))).count() == 0
+
+
+def test_surrogate_keys_per_group(spark):
+    df = spark.range(300).selectExpr("CAST(id % 3 AS STRING) AS g", "CAST(id * 7 % 300 AS STRING) AS name")
+    out = with_surrogate_key(df, ["name"], "sk", buckets=4, group_by=["g"]).collect()
+    for g in ("0", "1", "2"):
+        rows = sorted((r["name"], r["sk"]) for r in out if r["g"] == g)
+        assert [sk for _, sk in rows] == list(range(1, len(rows) + 1))
