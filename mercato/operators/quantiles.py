@@ -81,7 +81,8 @@ def exact_quantiles(
         (F.col("offset") + F.col("cum_in_bucket") - F.col("c")).alias("cum_before"),
     )
 
-    counts = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
+    # n per column = sum of its bucket totals (no second scan of the input)
+    counts = totals.groupBy("column_name").agg(F.sum("bucket_total").alias("n"))
     pos = (F.col("n") - 1) * F.col("prob")
     targets = (
         counts.select("column_name", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))

@@ -63,7 +63,7 @@ def _batch_metrics(spark, sf_dir, slide=SLIDE):
     return ev.windowed_metrics(_standin_events(spark, sf_dir), "ts", "event_type", "value", SIZE, slide)
 
 
-@register("windowed_metrics", covers="A21 T3 G17 T15 (batch)", oracle=SLIDING_SQL + "SELECT * FROM metrics")
+@register("windowed_metrics", covers="A21 T3 G13 G17 T15 (batch)", oracle=SLIDING_SQL + "SELECT * FROM metrics")
 def q_windowed_metrics(spark, sf_dir):
     return _batch_metrics(spark, sf_dir)
 
@@ -192,6 +192,28 @@ def _run_stream_in_chunks(spark, sf_dir):
     return out, schema, batch_chunk
 
 
+@register(
+    "event_bad_records",
+    covers="T1 F9 G14 P7 (bad records to a side output)",
+    oracle="""
+SELECT CASE WHEN event_id % 50 = 0 OR event_id % 77 = 0 THEN 'bad' ELSE 'parsed' END AS status,
+       COUNT(*) AS row_count
+FROM events GROUP BY status""",
+)
+def q_event_bad_records(spark, sf_dir):
+    """Records with broken JSON (every 50th) or no event time (every 77th)
+    go to the bad-record output with their raw text; the rest parse."""
+    e = _standin_events(spark, sf_dir)
+    k = F.col("event_id")
+    no_time = F.to_json(F.struct(F.col("event_id"), F.col("event_type").alias("response_code")))
+    value = F.when(k % 50 == 0, F.lit("{broken")).when(k % 77 == 0, no_time).otherwise(_record_value())
+    events, bad = ev.parse_events(e.select(value.alias("value")), STANDIN_SCHEMA)
+    count = F.count(F.lit(1)).alias("row_count")
+    return events.agg(count).select(F.lit("parsed").alias("status"), "row_count").unionByName(
+        bad.agg(count).select(F.lit("bad").alias("status"), "row_count")
+    )
+
+
 def _ntz_windows(df):
     return df.select(
         *[c for c in df.columns if c not in ("window_start", "window_end")],

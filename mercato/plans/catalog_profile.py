@@ -150,7 +150,7 @@ _RULE_EXPECTED = "l_quantity * p_retailprice"
 
 @register(
     "business_rule",
-    covers="Q7 P8 F6 A19",
+    covers="Q7 P8 F6 A19 G12",
     oracle=f"""
 SELECT COUNT(*) AS checked_rows,
        COUNT(*) FILTER (WHERE abs(l_extendedprice - {_RULE_EXPECTED}) > 0.05) AS mismatch_rows,

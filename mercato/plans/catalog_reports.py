@@ -12,7 +12,7 @@ from mercato.sources.tables import line_revenue, sales_flat, table
 
 @register(
     "revenue_by_category",
-    covers="S3 J3 A1 A3 L1 P5 P8",
+    covers="S3 J3 A1 A3 L1 P1 P5 P8",
     oracle="""
 SELECT p.p_type AS product_category,
        CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))))
