@@ -2,7 +2,9 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
+Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...};
+``rows_per_sec`` gives the format shapes as rows of lineitem per second,
+the unit that compares with the reference's 17.5 M-row figures.
 Every query runs once to warm up and then ``BENCH_REPEAT`` times (default
 3); the median is reported. A query is executed to completion with the
 ``noop`` sink (all rows produced, none collected). Copies of lineitem in
@@ -112,6 +114,12 @@ def main() -> None:
         fn = queries[name].fn
         results[name] = timed(lambda fn=fn: run(fn(spark, sf_dir)), repeat)
 
+    rows = li.count()
+    throughput = {
+        k: round(rows / v) for k, v in results.items()
+        if v > 0 and (k.startswith(("csv_", "parquet_", "orc_")) or k.startswith("count_one_year"))
+    }
+
     sizes = {
         r["dataset"]: r["mb"]
         for r in files.storage_size(spark, {**paths, "parquet_by_year": part_path}).collect()
@@ -127,6 +135,8 @@ def main() -> None:
                 "cpus": int(cpus),
                 "repeat": repeat,
                 "storage_mb": sizes,
+                "lineitem_rows": rows,
+                "rows_per_sec": throughput,
             }
         )
     )
