@@ -4,7 +4,8 @@
 Here the rows are range-partitioned on the order columns, numbered inside
 each range bucket, and shifted by the prefix sum of the bucket sizes (one
 row per bucket, broadcast). The result equals the global row_number, for
-a lookup of ten rows or a dimension of billions.
+a lookup of ten rows or a dimension of billions. The bucket assignment is
+written once to the shared checkpoint folder, so both uses of it agree.
 """
 
 from __future__ import annotations
@@ -29,8 +30,14 @@ def with_surrogate_key(
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     group_by = list(group_by)
-    ranged = df.repartitionByRange(buckets, *group_by, *order_by).withColumn(
-        "__bucket", F.spark_partition_id()
+    # bucket ids are stored once (shared checkpoint folder) so the numbering
+    # and the bucket sizes are computed from the same assignment
+    from mercato.session import materialize
+
+    ranged = materialize(
+        df.repartitionByRange(buckets, *group_by, *order_by).withColumn("__bucket", F.spark_partition_id()),
+        spark,
+        "surrogate-buckets",
     )
     local = ranged.withColumn(
         "__local", F.row_number().over(Window.partitionBy(*group_by, "__bucket").orderBy(*order_by))

@@ -15,7 +15,8 @@ unbounded. This operator keeps everything distributed:
 3. the targets (column, p, rank) are derived from per-column counts and
    matched to the one histogram row whose cumulative range holds the rank.
 
-All steps are DataFrame operators; nothing is collected.
+All steps are DataFrame operators; nothing is collected. The bucketed
+histogram is written once to the session's shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -56,8 +57,17 @@ def exact_quantiles(
     values = long_values(df, columns)
     hist = values.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c"))
 
-    ranged = hist.repartitionByRange(buckets, "column_name", "v").withColumn(
-        "bucket", F.spark_partition_id()
+    # The bucket id is the range partition a row landed in. Both branches
+    # below (running counts, bucket totals) must see the same ids, so the
+    # bucketed histogram is written once to the shared checkpoint folder and
+    # read back, instead of trusting exchange reuse (a range exchange run
+    # twice may sample different bounds from differently ordered input).
+    from mercato.session import materialize
+
+    ranged = materialize(
+        hist.repartitionByRange(buckets, "column_name", "v").withColumn("bucket", F.spark_partition_id()),
+        spark,
+        "quantile-hist",
     )
     in_bucket = Window.partitionBy("column_name", "bucket").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow

@@ -79,3 +79,18 @@ def test_surrogate_keys_per_group(spark):
     for g in ("0", "1", "2"):
         rows = sorted((r["name"], r["sk"]) for r in out if r["g"] == g)
         assert [sk for _, sk in rows] == list(range(1, len(rows) + 1))
+
+
+def test_independent_of_exchange_reuse(spark):
+    """Bucket ids are stored data, so the results hold with reuse off."""
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(2000).selectExpr("CAST((id * 7919) % 2000 AS DOUBLE) AS x", "CAST(id AS STRING) AS name")
+        got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["x"], [0.25, 0.5]).collect()}
+        arr = np.array([float((i * 7919) % 2000) for i in range(2000)])
+        assert got[0.25] == pytest.approx(float(np.quantile(arr, 0.25)))
+        assert got[0.5] == pytest.approx(float(np.quantile(arr, 0.5)))
+        keys = sorted(r["sk"] for r in with_surrogate_key(df, ["name"], "sk", buckets=5).collect())
+        assert keys == list(range(1, 2001))
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
