@@ -173,6 +173,7 @@ def stream_job(
     slide: str | None = "5 seconds",
     trigger: Mapping | None = None,
     console: bool = False,
+    state_partitions: int | None = 4,
 ):
     """Streaming records (e.g. ``connectors.read_kafka_stream``) -> parsed
     events (bad records dropped to ``<out>_bad``) -> watermark -> sliding
@@ -186,5 +187,8 @@ def stream_job(
         .start()
     )
     metrics = runner.metrics_stream(events, watermark=watermark, size=size, slide=slide)
-    query = runner.start_metrics_query(metrics, out_path, checkpoint, dict(trigger) if trigger else None, console=console)
+    query = runner.start_metrics_query(
+        metrics, out_path, checkpoint, dict(trigger) if trigger else None, console=console,
+        state_partitions=state_partitions,
+    )
     return query, bad_query

@@ -134,6 +134,7 @@ def q_kafka_roundtrip(spark, sf_dir):
 
 
 CHUNKS = 4
+STATE_PARTITIONS = 8
 
 
 def _chunked_events(spark, sf_dir, chunks: int = CHUNKS):
@@ -184,7 +185,9 @@ def _run_stream_in_chunks(spark, sf_dir):
             events, "timestamp", "response_code", "response_time_ms", WATERMARK, SIZE, SLIDE
         )
         schema = runner.update_schema(metrics)
-        query = runner.start_metrics_query(metrics, out, ckpt, trigger={"availableNow": True})
+        query = runner.start_metrics_query(
+            metrics, out, ckpt, trigger={"availableNow": True}, state_partitions=STATE_PARTITIONS
+        )
         runner.await_or_stop(query)
         for p in query.recentProgress:
             if p.get("numInputRows", 0) > 0:

@@ -58,16 +58,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory of the session.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; it is used
-    as is. Only when it is unset (local tests) a fresh folder is created.
+    as is. Otherwise a checkpoint directory already set on the SparkContext
+    is used. Only when neither exists (local tests) a fresh local folder is
+    created and set on the SparkContext (``spark.checkpoint.dir`` itself is
+    a core setting that cannot be changed at runtime).
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="mercato-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return configured
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="mercato-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -87,9 +87,17 @@ def start_metrics_query(
     console: bool = False,
     output_mode: str = "update",
     query_name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the checkpointed query (T10, T11, T12). ``trigger`` defaults to
-    a 15-second processing-time trigger; tests pass ``{"availableNow": True}``."""
+    a 15-second processing-time trigger; tests pass ``{"availableNow": True}``.
+
+    ``state_partitions`` sets the shuffle/state-store partition count of the
+    query. The window state holds (watermark + window) / slide windows per
+    code, independent of the total volume, so a small fixed number fits any
+    scale (the reference used 4). It is applied only while the query starts
+    (the query keeps a copy of the session conf, and the first run writes
+    the count into the checkpoint); the session value is restored."""
     trig = trigger or {"processingTime": "15 seconds"}
     writer = (
         metrics.writeStream.outputMode(output_mode)
@@ -99,7 +107,15 @@ def start_metrics_query(
     )
     if query_name:
         writer = writer.queryName(query_name)
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    spark = metrics.sparkSession
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def await_or_stop(query: StreamingQuery, timeout_s: float | None = None) -> None:
