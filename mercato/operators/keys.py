@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.operators.quantiles import _range_buckets
+
 
 def with_surrogate_key(
     df: DataFrame,
@@ -27,15 +29,13 @@ def with_surrogate_key(
     ``order_by``, restarting at 1 in every ``group_by`` group; the group and
     order columns together must identify a row."""
     spark = df.sparkSession
-    if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     group_by = list(group_by)
     # bucket ids are stored once (shared checkpoint folder) so the numbering
     # and the bucket sizes are computed from the same assignment
     from mercato.session import materialize
 
     ranged = materialize(
-        df.repartitionByRange(buckets, *group_by, *order_by).withColumn("__bucket", F.spark_partition_id()),
+        _range_buckets(df, buckets, [*group_by, *order_by]).withColumn("__bucket", F.spark_partition_id()),
         spark,
         "surrogate-buckets",
     )
@@ -49,7 +49,7 @@ def with_surrogate_key(
     )
     # one offset row per (group, bucket); a group spans consecutive buckets,
     # so there are at most buckets + groups - 1 rows. Without groups that is
-    # a bound fixed by ``buckets`` and the side is broadcast.
+    # bounded by the partition count and the side is broadcast.
     if not group_by:
         offsets = F.broadcast(offsets)
     return (

@@ -42,18 +42,25 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stacked.filter(F.col("v").isNotNull())
 
 
+def _range_buckets(df: DataFrame, buckets: int | None, cols):
+    """Range-partition ``df`` on ``cols``: into ``buckets`` partitions when
+    given, else as many as the session uses, coalescible by AQE."""
+    if buckets is None:
+        return df.repartitionByRange(*cols)
+    return df.repartitionByRange(buckets, *cols)
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], buckets: int | None = None
 ) -> DataFrame:
     """(column_name, prob, value) with pandas/DuckDB linear interpolation.
 
-    ``buckets`` is the number of range buckets of the histogram; it
-    defaults to the session's shuffle partition count, which a cluster sizes
-    to its data.
+    ``buckets`` is the number of range buckets of the histogram. By default
+    the session's shuffle partition count is used and AQE may merge
+    neighbouring buckets of a small histogram (merged buckets keep their
+    range order, and the ids are stored before use).
     """
     spark = df.sparkSession
-    if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     values = long_values(df, columns)
     hist = values.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c"))
 
@@ -65,7 +72,7 @@ def exact_quantiles(
     from mercato.session import materialize
 
     ranged = materialize(
-        hist.repartitionByRange(buckets, "column_name", "v").withColumn("bucket", F.spark_partition_id()),
+        _range_buckets(hist, buckets, ["column_name", "v"]).withColumn("bucket", F.spark_partition_id()),
         spark,
         "quantile-hist",
     )
