@@ -113,11 +113,15 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(label)))
 
     order_cols = [*r.order_by, "__rid"]
-    firsts = survivors.groupBy(r.key).agg(F.min(F.struct(*order_cols)).alias("__first"))
+    # file order alone (the reference's keep="first") is min(__rid): a
+    # numeric minimum, so a hash aggregate; several order columns need a
+    # struct minimum, which Spark aggregates by sorting
+    order_key = F.col("__rid") if not r.order_by else F.struct(*order_cols)
+    firsts = survivors.groupBy(r.key).agg(F.min(order_key).alias("__first"))
     # both sides grow with the input: sort-merge by design; AQE splits the
     # partition of a hot key
     out = out.hint("merge").join(firsts, r.key, "left").withColumn(
-        "__is_first", F.struct(*order_cols).eqNullSafe(F.col("__first"))
+        "__is_first", order_key.eqNullSafe(F.col("__first"))
     )
 
     in_range = (

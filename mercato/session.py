@@ -25,6 +25,28 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster reading ~100 TB (pass as ``extra_conf`` or put
+# in the cluster's defaults). Scans split at 256 MB; shuffles start wide and
+# AQE coalesces them to ~256 MB partitions and splits skewed join
+# partitions; dimensions are broadcast only below a measured 64 MB; a
+# leaving executor hands its shuffle blocks to others instead of forcing
+# the recompute of whole stages.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "50000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "mercato",
