@@ -135,8 +135,8 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
         if c in r.domains:
             canon = list(r.domains[c]) + ([r.label_fills[c]] if r.keep_fill_labels and c in r.label_fills else [])
             mapping = F.create_map(*[x for v in canon for x in (F.lit(v.strip().upper()), F.lit(v))])
-            out = out.withColumn(c, F.element_at(mapping, match_key(c)))
-            domain_ok = domain_ok & F.col(c).isNotNull()
+            out = out.withColumn(f"__canon_{c}", F.element_at(mapping, match_key(c)))
+            domain_ok = domain_ok & F.col(f"__canon_{c}").isNotNull()
         else:
             out = out.withColumn(c, normalise_label(c))
 
@@ -150,19 +150,24 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
     if expected is None:
         expected = F.col(r.quantity_col) * F.col(r.price_col) * (F.lit(1) - F.col(r.discount_col))
     mismatch = F.abs(F.col(r.revenue_col) - expected) > F.lit(r.revenue_tolerance)
-    return (
-        out.withColumn("reject_reason", reason)
-        .withColumn("revenue_mismatch", F.when(reason.isNull(), mismatch))
-        .drop("__missing", "__first", "__is_first", "__rid")
+    out = out.withColumn("reject_reason", reason)
+    # valid rows carry the domain's spelling; a rejected row keeps the label
+    # it arrived with, so the quarantine shows what broke the rule
+    for c in r.text_cols:
+        if c in r.domains:
+            out = out.withColumn(c, F.coalesce(F.col(f"__canon_{c}"), F.col(c))).drop(f"__canon_{c}")
+    return out.withColumn("revenue_mismatch", F.when(F.col("reject_reason").isNull(), mismatch)).drop(
+        "__missing", "__first", "__is_first", "__rid"
     )
 
 
 def clean_sales(df: DataFrame, rules: CleanRules) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(valid, rejected, report) from one labelled plan.
 
-    ``valid`` keeps the input columns plus the warn-only
-    ``revenue_mismatch`` flag; ``rejected`` keeps the row as read plus its
-    ``reject_reason``; ``report`` is :func:`clean_report`.
+    ``valid`` keeps the input columns (labels in the domain's spelling)
+    plus the warn-only ``revenue_mismatch`` flag; ``rejected`` keeps each
+    row with the labels it arrived with and its ``reject_reason``;
+    ``report`` is :func:`clean_report`.
     """
     labelled = label_rows(df, rules)
     valid = labelled.filter(F.col("reject_reason").isNull()).drop("reject_reason")

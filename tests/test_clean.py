@@ -170,3 +170,9 @@ def test_identical_copies_keep_exactly_one(spark):
     reasons = [r["reject_reason"] for r in labelled.filter(F.col("order_id") == 50).collect()]
     assert reasons.count(None) == 1 and reasons.count("duplicate_key") == 9
     assert labelled.filter(F.col("reject_reason").isNull()).count() == 21
+
+
+def test_quarantine_keeps_raw_label(dirty):
+    _, rejected, _ = clean.clean_sales(dirty, RULES)
+    home = rejected.filter(F.col("seq") == 16).first()
+    assert home["reject_reason"] == "invalid_domain" and home["product_category"] == "Home"
