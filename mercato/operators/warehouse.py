@@ -146,18 +146,24 @@ class Warehouse:
         return {k: v for k, v in self.__dict__.items() if k != "staging"}
 
 
-def build_warehouse(flat: DataFrame, persist_to: str | None = None) -> Warehouse:
+SHARED_TABLES = {"staging", "lookups", "orders"}
+
+
+def build_warehouse(flat: DataFrame, persist_to: str | None = None, persist: str = "all") -> Warehouse:
     """Whole stage: flat staging rows -> normalised set -> star.
 
     ``flat`` needs the flat sales columns with a unique ``order_id``. With
-    ``persist_to`` (a name prefix) every table is written once under the
+    ``persist_to`` (a name prefix) tables are written once under the
     session's shared checkpoint folder and read back before the next table
-    is derived from it, as the reference inserts into real tables; each
-    table is then computed once instead of once per consumer."""
+    is derived from them, as the reference inserts into real tables; a
+    written table is computed once instead of once per consumer.
+    ``persist="all"`` writes every table (the ETL); ``"shared"`` writes only
+    the tables several others are built from (staging, lookups, orders) and
+    leaves single-consumer tables in the consumer's plan (a report)."""
     spark = flat.sparkSession
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        if persist_to is None:
+        if persist_to is None or (persist == "shared" and name not in SHARED_TABLES):
             return df
         from mercato.session import materialize
 

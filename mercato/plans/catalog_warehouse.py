@@ -207,7 +207,7 @@ GROUP BY dc.category_name, dd.year, dd.quarter
 ORDER BY dd.year, dd.quarter, total_revenue DESC""",
 )
 def q_category_quarter_star(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
+    wh = warehouse.build_warehouse(staging(spark, sf_dir), persist_to="warehouse", persist="shared")
     return warehouse.category_quarter_report(wh.fact_orders, wh.dim_product_category, wh.dim_date)
 
 
