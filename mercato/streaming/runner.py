@@ -126,6 +126,25 @@ def await_or_stop(query: StreamingQuery, timeout_s: float | None = None) -> None
         query.stop()
 
 
+def progress_summary(query: StreamingQuery) -> list[dict]:
+    """Per micro-batch: input rows, rows the state store dropped as older
+    than the watermark (Spark counts them after the sliding-window
+    expansion, so one late event can count once per window it falls in),
+    and the watermark (T5)."""
+    out = []
+    for p in query.recentProgress:
+        ops = p.get("stateOperators", [])
+        out.append(
+            {
+                "batch_id": p["batchId"],
+                "input_rows": p.get("numInputRows", 0),
+                "dropped_by_watermark": sum(o.get("numRowsDroppedByWatermark", 0) for o in ops),
+                "watermark": p.get("eventTime", {}).get("watermark"),
+            }
+        )
+    return out
+
+
 def update_schema(metrics: DataFrame) -> T.StructType:
     """Schema of the written update rows: the metrics plus ``batch_id``."""
     return T.StructType(list(metrics.schema.fields) + [T.StructField("batch_id", T.LongType())])

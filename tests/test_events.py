@@ -66,10 +66,14 @@ def test_encode_decode_roundtrip(spark):
     assert back["key"] == "publisher_3" and back["n"] == 7 and back["ts"] == dt.datetime(2026, 1, 1, 0, 0, 0, 123456)
 
 
+PROGRESS: list = []
+
+
 def _stream_run(spark, chunks, watermark="30 seconds"):
     base = ensure_checkpoint_dir(spark)
     src, out, ckpt = (f"{base}/{n}-{uuid.uuid4().hex}" for n in ("src", "out", "ckpt"))
     schema = None
+    PROGRESS.clear()
     for k, lines in enumerate(chunks):
         spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{src}/chunk={k:04d}")
         raw = spark.readStream.format("text").option("recursiveFileLookup", "true").load(src)
@@ -78,6 +82,7 @@ def _stream_run(spark, chunks, watermark="30 seconds"):
         schema = runner.update_schema(metrics)
         q = runner.start_metrics_query(metrics, out, ckpt, trigger={"availableNow": True})
         runner.await_or_stop(q)
+        PROGRESS.extend(runner.progress_summary(q))
     return out, ckpt, schema
 
 
@@ -100,6 +105,7 @@ def test_late_rows_dropped_by_watermark(spark):
     assert (404, "04:08:25") in got and (404, "04:08:30") in got
     assert (503, "04:08:25") in got and (503, "04:08:20") not in got
     assert not any(code == 500 for code, _ in got)
+    assert sum(p["dropped_by_watermark"] for p in PROGRESS) > 0  # the drop is visible in progress
     batch = ev.windowed_metrics(
         ev.parse_events(spark.createDataFrame([(x,) for x in chunk1 + chunk2], "value string"))[0]
     )
