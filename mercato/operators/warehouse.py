@@ -30,37 +30,56 @@ def lookup_table(flat: DataFrame, col: str, id_name: str, name_name: str) -> Dat
     return with_surrogate_key(names, [name_name], id_name).select(id_name, name_name)
 
 
-def lookup_tables(flat: DataFrame, specs: dict[str, str]) -> DataFrame:
+def _text_key(col, collation: str | None):
+    """Comparison key of a text column: the value itself (binary), or the
+    value under a collation, e.g. ``UNICODE_CI_AI_RTRIM`` for MySQL's
+    case-, accent- and trailing-blank-insensitive equality (X-hard-3)."""
+    return F.col(col) if collation is None else F.collate(F.col(col), collation)
+
+
+def lookup_tables(flat: DataFrame, specs: dict[str, str], collation: str | None = None) -> DataFrame:
     """Several lookups in one pass (D1, D6): {lookup name: column} ->
     (lookup, id, name) with ids 1..n per lookup in name order. One scan of
-    the flat rows and one numbering job instead of one per lookup."""
+    the flat rows and one numbering job instead of one per lookup.
+
+    With a ``collation`` names equal under it are one lookup value, stored
+    with the smallest binary spelling among them (MySQL keeps one arbitrary
+    spelling)."""
     names = flat.select(
         F.explode(
             F.array(*[F.struct(F.lit(k).alias("lookup"), F.col(c).alias("name")) for k, c in specs.items()])
         ).alias("s")
-    ).select("s.lookup", "s.name").filter(F.col("name").isNotNull()).distinct()
-    return with_surrogate_key(names, ["name"], "id", group_by=["lookup"]).select("lookup", "id", "name")
+    ).select("s.lookup", "s.name").filter(F.col("name").isNotNull())
+    if collation is None:
+        names = names.distinct()
+        return with_surrogate_key(names, ["name"], "id", group_by=["lookup"]).select("lookup", "id", "name")
+    keyed = names.groupBy("lookup", _text_key("name", collation).alias("__key")).agg(F.min("name").alias("name"))
+    return with_surrogate_key(keyed, ["__key"], "id", group_by=["lookup"]).select("lookup", "id", "name")
 
 
-def customer_region(flat: DataFrame, regions: DataFrame, how: str = "min") -> DataFrame:
+def customer_region(flat: DataFrame, regions: DataFrame, how: str = "min", collation: str | None = None) -> DataFrame:
     """One region per customer (D2, J1, A10): ``MIN(region)`` per customer
     (the reference's code; its comment says "first seen"), then the
-    region name -> ``region_id`` lookup join."""
+    region name -> ``region_id`` lookup join (under ``collation`` if given)."""
     if how != "min":
-        raise ValueError("only the MIN rule is defined; pass region_of='order' to the fact builder instead")
-    per_customer = flat.groupBy("customer_id").agg(F.min("region").alias("region"))
-    return per_customer.join(regions, per_customer.region == regions.region_name).select(
+        raise ValueError("only the MIN rule is defined")
+    per_customer = flat.groupBy("customer_id").agg(F.min(_text_key("region", collation)).alias("region"))
+    return per_customer.join(regions, per_customer.region == _text_key("region_name", collation)).select(
         "customer_id", "region_id"
     )
 
 
-def orders_normalised(flat: DataFrame, categories: DataFrame, payments: DataFrame) -> DataFrame:
+def orders_normalised(
+    flat: DataFrame, categories: DataFrame, payments: DataFrame, collation: str | None = None
+) -> DataFrame:
     """Flat rows with names replaced by lookup ids (D3, J2). Inner joins,
     as in the reference; rows whose names miss a lookup are dropped here
-    and counted by ``rules.orphans`` (J6)."""
+    and counted by ``rules.orphans`` (J6). With a ``collation`` the names
+    match as MySQL's collation matches them ('Card ' = 'card')."""
+    k = lambda c: _text_key(c, collation)
     return (
-        flat.join(categories, flat.product_category == categories.category_name)
-        .join(payments, flat.payment_method == payments.method_name)
+        flat.join(categories, k("product_category") == k("category_name"))
+        .join(payments, k("payment_method") == k("method_name"))
         .select(
             "order_id", "order_date", "customer_id", "category_id", "payment_method_id",
             "quantity", "unit_price", "discount", "delivery_days", "customer_rating", "revenue",
@@ -149,7 +168,9 @@ class Warehouse:
 SHARED_TABLES = {"staging", "lookups", "orders"}
 
 
-def build_warehouse(flat: DataFrame, persist_to: str | None = None, persist: str = "all") -> Warehouse:
+def build_warehouse(
+    flat: DataFrame, persist_to: str | None = None, persist: str = "all", collation: str | None = None
+) -> Warehouse:
     """Whole stage: flat staging rows -> normalised set -> star.
 
     ``flat`` needs the flat sales columns with a unique ``order_id``. With
@@ -159,7 +180,9 @@ def build_warehouse(flat: DataFrame, persist_to: str | None = None, persist: str
     written table is computed once instead of once per consumer.
     ``persist="all"`` writes every table (the ETL); ``"shared"`` writes only
     the tables several others are built from (staging, lookups, orders) and
-    leaves single-consumer tables in the consumer's plan (a report)."""
+    leaves single-consumer tables in the consumer's plan (a report).
+    ``collation`` makes lookup values, MIN(region) and the name joins
+    follow a text collation (e.g. ``UNICODE_CI_AI_RTRIM``) instead of bytes."""
     spark = flat.sparkSession
 
     def keep(df: DataFrame, name: str) -> DataFrame:
@@ -171,7 +194,9 @@ def build_warehouse(flat: DataFrame, persist_to: str | None = None, persist: str
 
     flat = keep(flat, "staging")
     lookups = keep(
-        lookup_tables(flat, {"regions": "region", "categories": "product_category", "payments": "payment_method"}),
+        lookup_tables(
+            flat, {"regions": "region", "categories": "product_category", "payments": "payment_method"}, collation
+        ),
         "lookups",
     )
 
@@ -183,8 +208,8 @@ def build_warehouse(flat: DataFrame, persist_to: str | None = None, persist: str
     regions = one("regions", "region_id", "region_name")
     categories = one("categories", "category_id", "category_name")
     payments = one("payments", "payment_method_id", "method_name")
-    customers = keep(customer_region(flat, regions), "customers")
-    orders = keep(orders_normalised(flat, categories, payments), "orders")
+    customers = keep(customer_region(flat, regions, collation=collation), "customers")
+    orders = keep(orders_normalised(flat, categories, payments, collation), "orders")
     return Warehouse(
         regions=regions,
         product_categories=categories,

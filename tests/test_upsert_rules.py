@@ -80,3 +80,25 @@ def test_row_counts_and_reconcile(spark):
     assert counts == {"a": 5, "c": 3}
     assert rules.reconcile(a, b).first()["ok"] is True
     assert rules.reconcile(a, c).first()["ok"] is False
+
+
+def test_warehouse_collation(spark):
+    """Under MySQL-like collation 'Card ', 'card' and 'CARD' are one payment
+    method and no order is lost in the name joins; byte equality keeps all four spellings."""
+    from mercato.operators import warehouse
+
+    rows = [
+        (i, dt.date(2024, 1, 1 + i), 100 + i % 2, "Beauty", "North", 1, 10.0, 0.1, pay, 3, 4.0, 9.0)
+        for i, pay in enumerate(["Card ", "card", "CARD", "Wallet"])
+    ]
+    flat = spark.createDataFrame(
+        rows,
+        "order_id int, order_date date, customer_id int, product_category string, region string, quantity int, "
+        "unit_price double, discount double, payment_method string, delivery_days int, customer_rating double, "
+        "revenue double",
+    )
+    ci = warehouse.build_warehouse(flat, collation="UNICODE_CI_AI_RTRIM")
+    assert sorted(r["method_name"] for r in ci.payment_methods.collect()) == ["CARD", "Wallet"]
+    assert ci.orders.count() == 4 and ci.fact_orders.count() == 4
+    binary = warehouse.build_warehouse(flat)
+    assert binary.payment_methods.count() == 4
