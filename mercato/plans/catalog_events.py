@@ -147,9 +147,8 @@ def _chunked_events(spark, sf_dir, chunks: int = CHUNKS):
     if lo is None:
         return e.withColumn("chunk", F.lit(0))
     step = max(1, ((hi - lo) // dt.timedelta(microseconds=1)) // chunks)
-    lo_lit = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
-    idx = F.least(F.timestamp_diff("MICROSECOND", lo_lit, F.col("ts")) / F.lit(step), F.lit(chunks - 1))
-    return e.withColumn("chunk", F.floor(idx).cast("int"))
+    idx = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '{lo.isoformat(sep=' ')}', ts) div {step}")
+    return e.withColumn("chunk", F.least(idx, F.lit(chunks - 1)).cast("int"))
 
 
 def _record_value():
