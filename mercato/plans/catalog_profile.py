@@ -23,7 +23,29 @@ def q_profile_overview(spark, sf_dir):
     return profile.overview(table(spark, sf_dir, "lineitem"))
 
 
-@register("schema_report", covers="Q1 S13 F10")
+_LINEITEM_COLS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+
+
+@register(
+    "schema_report",
+    covers="Q1 S13 F10",
+    oracle="""
+WITH d AS (SELECT column_name, column_type, row_number() OVER () AS position FROM (DESCRIBE lineitem)),
+n AS (SELECT * FROM (SELECT """
+    + ", ".join(f"COUNT({c}) AS {c}" for c in _LINEITEM_COLS)
+    + """ FROM lineitem) UNPIVOT (non_null_count FOR column_name IN ("""
+    + ", ".join(_LINEITEM_COLS)
+    + """)))
+SELECT CAST(d.position AS INTEGER) AS position, d.column_name,
+       CASE d.column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                          WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+                          ELSE lower(d.column_type) END AS data_type,
+       n.non_null_count
+FROM d JOIN n ON n.column_name = d.column_name""",
+)
 def q_schema_report(spark, sf_dir):
     return profile.schema_report(table(spark, sf_dir, "lineitem"))
 
