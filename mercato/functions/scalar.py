@@ -24,6 +24,27 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def is_missing(c: str | Column, dtype) -> Column:
+    """pandas ``isnull``: null, or NaN for float/double columns (Spark's
+    NaN is a value, pandas counts it as missing)."""
+    from pyspark.sql import types as T
+
+    col = as_col(c)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return col.isNull() | F.isnan(col)
+    return col.isNull()
+
+
+def nan_to_null(c: str | Column, dtype) -> Column:
+    """NaN -> null for float/double columns (``nanvl``), the value otherwise."""
+    from pyspark.sql import types as T
+
+    col = as_col(c)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.nanvl(col, F.lit(None).cast(dtype))
+    return col
+
+
 def strip_all(c: str | Column) -> Column:
     """str.strip(): remove leading/trailing whitespace of any kind."""
     return F.regexp_replace(as_col(c), _STRIP_PATTERN, "")

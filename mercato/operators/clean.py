@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.functions.scalar import clip, match_key, normalise_label, parse_date, strip_all
+from mercato.functions.scalar import clip, is_missing, match_key, nan_to_null, normalise_label, parse_date, strip_all
 from mercato.operators.quantiles import exact_quantiles
 
 MISSING = "missing_required"
@@ -92,7 +92,7 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
 
     missing = F.lit(False)
     for c in r.required:
-        missing = missing | F.col(c).isNull()
+        missing = missing | is_missing(c, out.schema[c].dataType)
     out = out.withColumn("__missing", missing).withColumn("__rid", F.monotonically_increasing_id())
     if stage:
         from mercato.session import materialize
@@ -108,7 +108,7 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
         if c in r.truncate_fills:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(int(m)).cast(dtype)))
         else:
-            out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(float(m))))
+            out = out.withColumn(c, F.coalesce(nan_to_null(F.col(c).cast("double"), T.DoubleType()), F.lit(float(m))))
     for c, label in r.label_fills.items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(label)))
 
@@ -210,15 +210,17 @@ def drop_missing(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 def fill_median(df: DataFrame, cols: Sequence[str], truncate: Sequence[str] = ()) -> DataFrame:
     """``fillna(median)`` with the exact median of each column (N3, N4, A18);
-    columns in ``truncate`` get ``int(median)`` like ``.astype(int)``."""
+    columns in ``truncate`` get ``int(median)`` like ``.astype(int)``. NaN
+    counts as missing, as in pandas."""
     medians = _median_values(df, cols)
     out = df
     for c in cols:
         m = medians.get(c)
         if m is None:
             continue
-        fill = F.lit(int(m)) if c in truncate else F.lit(float(m))
-        out = out.withColumn(c, F.coalesce(F.col(c), fill.cast(df.schema[c].dataType) if c in truncate else fill))
+        dtype = df.schema[c].dataType
+        fill = F.lit(int(m)).cast(dtype) if c in truncate else F.lit(float(m))
+        out = out.withColumn(c, F.coalesce(nan_to_null(c, dtype), fill))
     return out
 
 

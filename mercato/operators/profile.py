@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercato.functions.scalar import is_missing
 from mercato.operators.quantiles import exact_quantiles, long_values
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -56,11 +57,12 @@ def overview(df: DataFrame) -> DataFrame:
 
 
 def nulls(df: DataFrame) -> DataFrame:
-    """(column_name, missing_count, missing_pct rounded to 2) for every column."""
+    """(column_name, missing_count, missing_pct rounded to 2) for every
+    column (Q2, A13); NaN counts as missing in float columns, as in pandas."""
     cols = df.columns
     wide = df.agg(
         F.count(F.lit(1)).alias("__n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"m_{c}") for c in cols],
+        *[F.count_if(is_missing(c, df.schema[c].dataType)).alias(f"m_{c}") for c in cols],
     )
     # the row count rides along as its own column of the one-row frame
     long = wide.select("__n", *[f"m_{c}" for c in cols]).unpivot(

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, v double) for the non-null values of ``columns``."""
+    """(column_name, v double) for the non-null, non-NaN values of ``columns``."""
     stacked = df.select(
         F.explode(
             F.array(
@@ -39,7 +39,8 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             )
         ).alias("s")
     ).select("s.column_name", "s.v")
-    return stacked.filter(F.col("v").isNotNull())
+    # nulls and NaN are skipped, as pandas' median/describe skip them
+    return stacked.filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
 def _range_buckets(df: DataFrame, buckets: int | None, cols):

@@ -176,3 +176,13 @@ def test_quarantine_keeps_raw_label(dirty):
     _, rejected, _ = clean.clean_sales(dirty, RULES)
     home = rejected.filter(F.col("seq") == 16).first()
     assert home["reject_reason"] == "invalid_domain" and home["product_category"] == "Home"
+
+
+def test_nan_is_missing_like_pandas(spark):
+    from mercato.operators import profile
+
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (3.0,)], "x double")
+    nulls = profile.nulls(df).first()
+    assert nulls["missing_count"] == 2
+    got = sorted(r[0] for r in clean.fill_median(df, ["x"]).collect())
+    assert got == [1.0, 2.0, 2.0, 3.0]  # median of 1 and 3 fills both the NaN and the null
