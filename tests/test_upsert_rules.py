@@ -102,3 +102,25 @@ def test_warehouse_collation(spark):
     assert ci.orders.count() == 4 and ci.fact_orders.count() == 4
     binary = warehouse.build_warehouse(flat)
     assert binary.payment_methods.count() == 4
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    target=st.dictionaries(st.integers(0, 30), st.tuples(st.sampled_from("abc"), st.integers(0, 99)), max_size=20),
+    updates=st.dictionaries(st.integers(0, 30), st.tuples(st.sampled_from("xyz"), st.integers(100, 199)), max_size=20),
+)
+def test_upsert_matches_dict_merge(spark, target, updates):
+    t = spark.createDataFrame([(k, r, float(v), T0) for k, (r, v) in target.items()],
+                              "order_id int, region string, revenue double, loaded_at timestamp_ntz")
+    u = spark.createDataFrame([(k, r, float(v)) for k, (r, v) in updates.items()],
+                              "order_id int, region string, revenue double")
+    got = {r["order_id"]: (r["region"], r["revenue"], r["loaded_at"])
+           for r in upsert(t, u, ["order_id"], ["revenue"], F.lit(NOW).cast("timestamp_ntz")).collect()}
+    want = {k: (r, float(v), T0) for k, (r, v) in target.items()}
+    for k, (r, v) in updates.items():
+        want[k] = (want[k][0], float(v), NOW) if k in want else (r, float(v), NOW)
+    assert got == want
