@@ -19,7 +19,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -29,7 +28,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from mercato.plans.catalog_files import LINEITEM_SCHEMA  # noqa: E402
 from mercato.plans.registry import all_queries  # noqa: E402
-from mercato.session import build_session  # noqa: E402
+from mercato.session import build_session, scratch_path  # noqa: E402
 from mercato.sources import files  # noqa: E402
 from mercato.sources.tables import table  # noqa: E402
 
@@ -72,19 +71,19 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 
-    scratch = tempfile.mkdtemp(prefix="bench-")
     spark = build_session(
         f"local[{cpus}]",
         app_name="mercato-bench",
         shuffle_partitions=int(cpus),
-        extra_conf={"spark.driver.memory": "8g", "spark.checkpoint.dir": f"{scratch}/ckpt"},
+        extra_conf={"spark.driver.memory": "8g"},
     )
 
+    # the format copies go to the session's shared checkpoint folder
     li = table(spark, sf_dir, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
-    paths = {fmt: f"{scratch}/lineitem_{fmt}" for fmt in ("csv", "parquet", "orc")}
+    paths = {fmt: scratch_path(spark, f"bench-lineitem-{fmt}") for fmt in ("csv", "parquet", "orc")}
     for fmt, path in paths.items():
         files.write_table(li, path, fmt)
-    part_path = f"{scratch}/lineitem_parquet_by_year"
+    part_path = scratch_path(spark, "bench-lineitem-parquet-by-year")
     files.write_table(li, part_path, "parquet", partition_by=["ship_year"])
     csv_schema = T.StructType(list(LINEITEM_SCHEMA.fields) + [T.StructField("ship_year", T.IntegerType())])
 

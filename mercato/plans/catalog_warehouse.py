@@ -320,11 +320,11 @@ _NOW_TS = "TIMESTAMP '2026-01-01 00:00:00'"
 WITH target AS (
   SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_totalprice AS DECIMAL(18,2)) AS revenue,
          {_BASE_TS} AS loaded_at
-  FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0),
+  FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'),
 updates AS (
   SELECT o_orderkey, o_custkey + 1 AS o_custkey, 'CHANGED' AS o_orderpriority,
          CAST(o_totalprice AS DECIMAL(18,2)) + 1 AS revenue
-  FROM orders WHERE o_orderkey % 2 = 1)
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00')
 SELECT COALESCE(t.o_orderkey, u.o_orderkey) AS o_orderkey,
        CASE WHEN t.o_orderkey IS NOT NULL THEN t.o_custkey ELSE u.o_custkey END AS o_custkey,
        CASE WHEN t.o_orderkey IS NOT NULL THEN t.o_orderpriority ELSE u.o_orderpriority END AS o_orderpriority,
@@ -333,14 +333,17 @@ SELECT COALESCE(t.o_orderkey, u.o_orderkey) AS o_orderkey,
 FROM target t FULL OUTER JOIN updates u ON t.o_orderkey = u.o_orderkey""",
 )
 def q_upsert(spark, sf_dir):
+    """The stored table holds the orders placed before 1999, the incoming
+    batch those placed from 1998 on: 1998 keys are matched (only revenue
+    and loaded_at change), later keys are inserted, earlier ones kept."""
     o = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    target = o.filter((k % 2 == 0) | (k % 3 == 0)).select(
+    d = F.col("o_orderdate")
+    target = o.filter(d < F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")).select(
         "o_orderkey", "o_custkey", "o_orderpriority",
         F.col("o_totalprice").cast("decimal(18,2)").alias("revenue"),
         F.expr(_BASE_TS).cast("timestamp_ntz").alias("loaded_at"),
     )
-    updates = o.filter(k % 2 == 1).select(
+    updates = o.filter(d >= F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")).select(
         "o_orderkey",
         (F.col("o_custkey") + 1).alias("o_custkey"),
         F.lit("CHANGED").alias("o_orderpriority"),
