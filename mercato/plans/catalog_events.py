@@ -237,6 +237,27 @@ def q_stream_windowed_metrics(spark, sf_dir):
     return _ntz_windows(latest).select(*ev.METRIC_COLUMNS)
 
 
+@register(
+    "stream_code_share",
+    covers="T9 T8 T7 (share and rate on the stream's compacted output)",
+    oracle=SLIDING_SQL
+    + """
+SELECT *, CAST(CAST(request_count AS DECIMAL(20,0)) * 60 / 3600 AS DECIMAL(20,4)) AS requests_per_minute,
+       CAST(round(CAST(request_count AS DECIMAL(20,0)) * 100
+                  / SUM(request_count) OVER (PARTITION BY window_start, window_end), 2) AS DECIMAL(6,2))
+         AS share_pct
+FROM metrics""",
+)
+def q_stream_code_share(spark, sf_dir):
+    """Share of each code in its window and requests per minute, on the
+    stream. An update batch may carry only some codes of a window, so the
+    share is taken over the compacted output (latest row per window and
+    code), where every window has all its codes."""
+    out, schema, _ = _run_stream_in_chunks(spark, sf_dir)
+    latest = _ntz_windows(runner.compact_updates(spark, out, schema)).select(*ev.METRIC_COLUMNS)
+    return ev.code_share(ev.requests_per_minute(latest))
+
+
 _CHUNK_SQL = f"""
 WITH bounds AS (SELECT MIN(ts) AS lo, MAX(ts) AS hi FROM events),
 ev AS (

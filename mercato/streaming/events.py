@@ -128,7 +128,10 @@ def code_share(metrics: DataFrame) -> DataFrame:
     """Share of each response code within its window, in percent.
 
     The window function partitions by the window: one partition holds the
-    handful of codes of one window."""
+    handful of codes of one window. On a stream, apply it to the compacted
+    update output (``runner.compact_updates``): streaming frames do not
+    support such window functions, and an update batch may hold only the
+    codes of a window that changed."""
     per_window = Window.partitionBy("window_start", "window_end")
     total = F.sum("request_count").over(per_window)
     return metrics.withColumn(
