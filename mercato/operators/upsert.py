@@ -72,23 +72,25 @@ def upsert(
 
 
 # -- versioned table on storage -------------------------------------------------
+#
+# <base>/version=<n>/   one complete copy of the table per published version
+# <base>/versions_log/  append-only rows (version, published_at); a version is
+#                       visible once its row is there, which is written only
+#                       after the data write of that version has committed
+
 
 def _versions(spark: SparkSession, base: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    from pyspark.errors import AnalysisException
+
+    try:
+        log = spark.read.parquet(f"{base.rstrip('/')}/versions_log")
+    except AnalysisException:  # no version published yet
         return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+    return sorted(r["version"] for r in log.select("version").collect())
 
 
 def read_current(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame | None:
-    """The latest complete version of a versioned table, or None."""
+    """The latest published version of a versioned table, or None."""
     versions = _versions(spark, base)
     if not versions:
         return None
@@ -106,16 +108,18 @@ def upsert_table(
 ) -> int:
     """Merge ``updates`` into the table at ``base`` and publish a new version.
 
-    The new version is written to its own folder; a version counts only
-    once its ``_SUCCESS`` marker exists (written last by the committer), so
-    readers see either the old or the new table, never a partial one.
-    Returns the published version number."""
+    The new version is written to its own folder (never over the folder
+    being read); it is published by appending its row to the versions log
+    afterwards, so readers see the old or the new table, never a partial
+    one, and a failed write leaves only an unpublished folder. Returns the
+    published version number."""
     versions = _versions(spark, base)
     current = read_current(spark, base, fmt)
-    if current is None:
-        merged = updates
-    else:
-        merged = upsert(current, updates, key, update_cols, now)
+    merged = updates if current is None else upsert(current, updates, key, update_cols, now)
     nxt = (versions[-1] + 1) if versions else 1
-    merged.write.mode("errorifexists").format(fmt).save(f"{base.rstrip('/')}/version={nxt}")
+    root = base.rstrip("/")
+    merged.write.mode("overwrite").format(fmt).save(f"{root}/version={nxt}")
+    spark.createDataFrame([(nxt,)], "version int").withColumn("published_at", F.current_timestamp()).write.mode(
+        "append"
+    ).parquet(f"{root}/versions_log")
     return nxt
