@@ -135,11 +135,6 @@ def delivery_bucket(days: str | Column, labels: tuple[str, str, str] | None = No
 DELIVERY_LABELS = ("1-3 days", "4-7 days", "8+ days")
 
 
-def nulls_to_value(c: str | Column, value) -> Column:
-    """``fillna(const)``."""
-    return F.coalesce(as_col(c), F.lit(value))
-
-
 def money(c: str | Column, precision: int = 38, scale: int = 2) -> Column:
     """Cast a money amount to an exact decimal (P5)."""
     return as_col(c).cast(f"decimal({precision},{scale})")

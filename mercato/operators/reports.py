@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from mercato.functions.scalar import delivery_bucket, month_key, money
 
-MONEY = "decimal(38,2)"
-
-
 def _row_count(weight: str | None):
     """COUNT(*) over raw rows, or SUM(weight) over pre-aggregated rows."""
     return F.count(F.lit(1)) if weight is None else F.sum(weight).cast("long")

@@ -22,12 +22,14 @@ from mercato.functions.scalar import date_key, day_name
 from mercato.operators.keys import with_surrogate_key
 
 
-def lookup_table(flat: DataFrame, col: str, id_name: str, name_name: str) -> DataFrame:
+def lookup_table(flat: DataFrame, col: str, id_name: str, name_name: str, collation: str | None = None) -> DataFrame:
     """``INSERT INTO lookup(name) SELECT DISTINCT col`` with an
-    AUTO_INCREMENT id (D1, A22, D6). Ids follow the name order (MySQL's is
-    unspecified); a null name is not a lookup value (NOT NULL column)."""
-    names = flat.select(F.col(col).alias(name_name)).filter(F.col(name_name).isNotNull()).distinct()
-    return with_surrogate_key(names, [name_name], id_name).select(id_name, name_name)
+    AUTO_INCREMENT id (D1, A22, D6): one lookup of :func:`lookup_tables`.
+    Ids follow the name order (MySQL's is unspecified); a null name is not
+    a lookup value (NOT NULL column)."""
+    return lookup_tables(flat, {"one": col}, collation).select(
+        F.col("id").alias(id_name), F.col("name").alias(name_name)
+    )
 
 
 def _text_key(col, collation: str | None):

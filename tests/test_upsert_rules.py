@@ -58,6 +58,21 @@ def test_violations_null_passes(spark):
     assert got == {"q_not_null": 1, "q_pos": 1, "rating": 1}
 
 
+def test_rule_quarantine(spark):
+    df = spark.createDataFrame([(1, 5), (None, 5), (2, -1), (3, None)], "id int, q int")
+    checks = {**rules.not_null_rules(["id"]), "q_positive": "q > 0"}
+    valid, rejected = rules.split_by_rules(df, checks)
+    assert sorted(r["id"] for r in valid.collect()) == [1, 3]  # a NULL check passes, as in SQL
+    assert {r["broken_rule"] for r in rejected.collect()} == {"id_not_null", "q_positive"}
+
+
+def test_single_lookup(spark):
+    from mercato.operators import warehouse
+
+    df = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "c string")
+    assert [(r["k"], r["n"]) for r in warehouse.lookup_table(df, "c", "k", "n").orderBy("k").collect()] == [(1, "a"), (2, "b")]
+
+
 def test_key_violations(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     pk = sorted((r["k"], r["n"]) for r in rules.key_violations(df, ["k"]).collect() if r["k"] is not None)
