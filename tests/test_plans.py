@@ -76,3 +76,20 @@ def test_no_cartesian_or_nested_loop(spark, name):
     plan = plan_of(df)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_clustered_layout_concentrates_rows(spark):
+    """Range clustering on (region, order_date): the rows of one region sit in
+    about a fifth of the files, so min/max statistics skip the rest; a plain
+    write spreads them over every file."""
+    flat = sales_flat(spark, "/root/testdata/sf0.01")
+    clustered, plain = scratch_path(spark, "clustered"), scratch_path(spark, "plain")
+    files.write_clustered(flat, clustered, ["region", "order_date"], files=20)
+    flat.repartition(20).write.parquet(plain)
+
+    def files_with_asia(path):
+        df = spark.read.parquet(path).filter(F.col("region") == "ASIA")
+        return df.select(F.input_file_name()).distinct().count()
+
+    assert files_with_asia(clustered) <= 6
+    assert files_with_asia(plain) == 20
