@@ -16,8 +16,10 @@ dropping it. The order of the steps is part of the semantics and is kept:
 9. flag |revenue - qty x price x (1 - discount)| > tolerance        (N11)
 
 Keep-first (step 5) is a ``groupBy(key).min(order)`` joined back: the
-aggregate collapses a hot key map-side and the join's skewed partition is
-split by AQE, where a window would sort a hot key inside one task.
+aggregate collapses a hot key map-side, and the join back sends keys with
+more rows than a task should hold through a broadcast of their (few)
+aggregate rows (``operators.skew``), where a window would sort a hot key
+inside one task.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from pyspark.sql import types as T
 
 from mercato.functions.scalar import clip, is_missing, match_key, nan_to_null, normalise_label, parse_date, strip_all
 from mercato.operators.quantiles import exact_quantiles
+from mercato.operators.skew import join_per_key
 
 MISSING = "missing_required"
 DUPLICATE = "duplicate_key"
@@ -62,6 +65,8 @@ class CleanRules:
     clip_bounds: tuple = (0, 1)
     revenue_tolerance: float = 1.0
     expected_revenue: str | Column | None = None
+    max_hot_keys: int = 100_000
+    min_hot_rows: int = 1_000_000
 
 
 def _median_values(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -117,12 +122,18 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
     # numeric minimum, so a hash aggregate; several order columns need a
     # struct minimum, which Spark aggregates by sorting
     order_key = F.col("__rid") if not r.order_by else F.struct(*order_cols)
-    firsts = survivors.groupBy(r.key).agg(F.min(order_key).alias("__first"))
-    # both sides grow with the input: sort-merge by design; AQE splits the
-    # partition of a hot key
-    out = out.hint("merge").join(firsts, r.key, "left").withColumn(
-        "__is_first", order_key.eqNullSafe(F.col("__first"))
+    firsts = survivors.groupBy(r.key).agg(
+        F.min(order_key).alias("__first"), F.count(F.lit(1)).alias("__n")
     )
+    # both sides grow with the input: sort-merge by design, except for keys
+    # with so many rows that one task would hold them: those few are joined
+    # by broadcast (operators.skew)
+    total = out.count() if stage else None  # a metadata count of the staged table
+    if total is None:
+        out = out.hint("merge").join(firsts.drop("__n"), r.key, "left")
+    else:
+        out = join_per_key(out, firsts, [r.key], "__n", total, r.max_hot_keys, r.min_hot_rows)
+    out = out.withColumn("__is_first", order_key.eqNullSafe(F.col("__first")))
 
     in_range = (
         (F.col(r.quantity_col) > 0) & (F.col(r.price_col) >= 0) & (F.col(r.revenue_col) >= 0)

@@ -1,0 +1,53 @@
+"""Attach per-key aggregates back to the rows without a hot-key task.
+
+Joining rows to an aggregate of themselves (first row per key, key
+counts) is a sort-merge join on the key: all rows of one key go to one
+task. AQE's skew-join split does not apply, because one side is an
+aggregate rather than a plain shuffle. So keys are split by size:
+
+* hot keys (more than ``threshold`` rows) are at most
+  ``max_hot_keys``, so their per-key rows are broadcast and their rows
+  join in place, with no shuffle;
+* every other key has at most ``threshold`` rows and takes the
+  sort-merge path, where no task gets more than that for one key.
+
+``threshold`` is ``max(min_hot_rows, total_rows / max_hot_keys)``: the
+broadcast side is bounded by ``max_hot_keys`` rows whatever the data.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def hot_threshold(total_rows: int, max_hot_keys: int = 100_000, min_hot_rows: int = 1_000_000) -> int:
+    """Rows above which a key is hot; at most ``max_hot_keys`` keys can be."""
+    return max(min_hot_rows, math.ceil(total_rows / max_hot_keys))
+
+
+def join_per_key(
+    rows: DataFrame,
+    per_key: DataFrame,
+    key: Sequence[str],
+    count_col: str,
+    total_rows: int,
+    max_hot_keys: int = 100_000,
+    min_hot_rows: int = 1_000_000,
+) -> DataFrame:
+    """``rows LEFT JOIN per_key USING key`` with hot keys joined by broadcast.
+
+    ``per_key`` has one row per key and ``count_col`` = the key's row count
+    in ``rows`` (keys absent from ``per_key`` get nulls, as in a left join).
+    ``total_rows`` is the row count of ``rows`` (a metadata count for a
+    stored table)."""
+    key = list(key)
+    t = hot_threshold(total_rows, max_hot_keys, min_hot_rows)
+    hot = F.broadcast(per_key.filter(F.col(count_col) > t).drop(count_col))  # <= max_hot_keys rows
+    cold = per_key.filter(F.col(count_col) <= t).drop(count_col)
+    hot_part = rows.join(hot, key, "inner")
+    cold_part = rows.join(hot.select(*key), key, "left_anti").hint("merge").join(cold, key, "left")
+    return hot_part.unionByName(cold_part)

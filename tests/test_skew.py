@@ -56,3 +56,29 @@ def test_hot_code_window_metrics(spark):
     m = ev.windowed_metrics(df, "ts", "code", "ms", "10 minutes", "5 minutes")
     assert "partial_count" in explain(m)
     assert m.filter("response_code = 200").agg(F.sum("request_count")).first()[0] == 2 * 4000
+
+
+def test_hot_key_join_back_is_split(spark):
+    """The keep-first join-back: with a low hot threshold the hot key's rows
+    meet their aggregate row by broadcast; results equal the plain join."""
+    from mercato.operators.skew import join_per_key
+
+    rows = hot_frame(spark)
+    per_key = rows.groupBy("order_id").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
+    split = join_per_key(rows, per_key, ["order_id"], "n", total_rows=3000, max_hot_keys=10, min_hot_rows=100)
+    plain = rows.join(per_key.drop("n"), "order_id", "left")
+    assert sorted(split.collect()) == sorted(plain.collect())
+    plan = explain(split)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+
+
+def test_label_rows_with_hot_key_threshold(spark):
+    rules = clean.CleanRules(order_by=("seq",), max_hot_keys=10, min_hot_rows=50,
+                             required=("order_id",), median_fills=(), label_fills={}, text_cols=(),
+                             quantity_col="seq", price_col="seq", revenue_col="seq", discount_col="d",
+                             date_col="dt", expected_revenue="seq")
+    df = hot_frame(spark).withColumn("d", F.lit(0.1)).withColumn("dt", F.current_date())
+    labelled = clean.label_rows(df, rules)
+    reasons = {r["seq"]: r["reject_reason"] for r in labelled.collect()}
+    hot = [reasons[s] for s in range(0, 3000, 3)]
+    assert hot[0] in (None, "out_of_range") and hot[1:].count("duplicate_key") == 999
