@@ -167,7 +167,10 @@ class Warehouse:
         return {k: v for k, v in self.__dict__.items() if k != "staging"}
 
 
-SHARED_TABLES = {"staging", "lookups", "orders"}
+# Tables other tables are built from; a stored table also makes every join
+# on it a join of two plain scans, where AQE can split a hot key (an
+# aggregate on one side of a join would rule that out).
+SHARED_TABLES = {"staging", "lookups", "orders", "customers"}
 
 
 def build_warehouse(
@@ -181,8 +184,8 @@ def build_warehouse(
     is derived from them, as the reference inserts into real tables; a
     written table is computed once instead of once per consumer.
     ``persist="all"`` writes every table (the ETL); ``"shared"`` writes only
-    the tables several others are built from (staging, lookups, orders) and
-    leaves single-consumer tables in the consumer's plan (a report).
+    the tables others are built from (staging, lookups, orders, customers)
+    and leaves the rest in the consumer's plan (a report).
     ``collation`` makes lookup values, MIN(region) and the name joins
     follow a text collation (e.g. ``UNICODE_CI_AI_RTRIM``) instead of bytes."""
     spark = flat.sparkSession
