@@ -132,7 +132,9 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
     if total is None:
         out = out.hint("merge").join(firsts.drop("__n"), r.key, "left")
     else:
-        out = join_per_key(out, firsts, [r.key], "__n", total, r.max_hot_keys, r.min_hot_rows)
+        out = join_per_key(
+            out, firsts, [r.key], "__n", total, r.max_hot_keys, r.min_hot_rows, spread=F.col("__rid")
+        )
     out = out.withColumn("__is_first", order_key.eqNullSafe(F.col("__first")))
 
     in_range = (

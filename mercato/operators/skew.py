@@ -7,9 +7,10 @@ aggregate rather than a plain shuffle. So keys are split by size:
 
 * hot keys (more than ``threshold`` rows) are at most
   ``max_hot_keys``, so their per-key rows are broadcast and their rows
-  join in place, with no shuffle;
+  take their values in place; in the following sort-merge join they carry
+  a unique salt, so they spread over all tasks;
 * every other key has at most ``threshold`` rows and takes the
-  sort-merge path, where no task gets more than that for one key.
+  sort-merge path (salt 0), where no task gets more than that for one key.
 
 ``threshold`` is ``max(min_hot_rows, total_rows / max_hot_keys)``: the
 broadcast side is bounded by ``max_hot_keys`` rows whatever the data.
@@ -20,7 +21,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,17 +38,29 @@ def join_per_key(
     total_rows: int,
     max_hot_keys: int = 100_000,
     min_hot_rows: int = 1_000_000,
+    spread: Column | None = None,
 ) -> DataFrame:
     """``rows LEFT JOIN per_key USING key`` with hot keys joined by broadcast.
 
     ``per_key`` has one row per key and ``count_col`` = the key's row count
     in ``rows`` (keys absent from ``per_key`` get nulls, as in a left join).
     ``total_rows`` is the row count of ``rows`` (a metadata count for a
-    stored table)."""
+    stored table). One scan of ``rows``: hot rows pick up their values from
+    the broadcast side and get a unique salt (``spread``, e.g. a stored row
+    id), so in the sort-merge join on (key, salt) they are spread over all
+    tasks and match nothing; cold rows join with salt 0."""
     key = list(key)
     t = hot_threshold(total_rows, max_hot_keys, min_hot_rows)
-    hot = F.broadcast(per_key.filter(F.col(count_col) > t).drop(count_col))  # <= max_hot_keys rows
-    cold = per_key.filter(F.col(count_col) <= t).drop(count_col)
-    hot_part = rows.join(hot, key, "inner")
-    cold_part = rows.join(hot.select(*key), key, "left_anti").hint("merge").join(cold, key, "left")
-    return hot_part.unionByName(cold_part)
+    values = [c for c in per_key.columns if c not in key and c != count_col]
+    hot = per_key.filter(F.col(count_col) > t).select(  # at most max_hot_keys rows
+        *key, *[F.col(c).alias(f"__hot_{c}") for c in values], F.lit(True).alias("__is_hot")
+    )
+    cold = per_key.filter(F.col(count_col) <= t).select(*key, *values, F.lit(0).cast("long").alias("__salt"))
+    spread = F.monotonically_increasing_id() if spread is None else spread
+    marked = rows.join(F.broadcast(hot), key, "left").withColumn(
+        "__salt", F.when(F.col("__is_hot"), spread.cast("long") + 1).otherwise(F.lit(0).cast("long"))
+    )
+    joined = marked.hint("merge").join(cold, [*key, "__salt"], "left")
+    for c in values:
+        joined = joined.withColumn(c, F.when(F.col("__is_hot"), F.col(f"__hot_{c}")).otherwise(F.col(c)))
+    return joined.drop("__salt", "__is_hot", *[f"__hot_{c}" for c in values])
