@@ -98,14 +98,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for intermediate tables.
 
     Intermediate tables live next to the checkpoints (a folder every
-    executor can reach), never in a machine-local temp folder.
-    """
+    executor can reach), never in a machine-local temp folder. Every path
+    handed out is recorded (:func:`scratch_paths`): frames returned by the
+    operators read these tables lazily, so they are removed by the caller
+    once the results are written (or by the folder's retention policy),
+    never by the operator itself."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_paths() -> list[str]:
+    """The intermediate-table paths created in this process, oldest first."""
+    return list(_SCRATCH)
 
 
 def materialize(df, spark: SparkSession, name: str, fmt: str = "parquet"):
