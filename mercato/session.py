@@ -85,7 +85,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     created and set on the SparkContext (``spark.checkpoint.dir`` itself is
     a core setting that cannot be changed at runtime).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect client has no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster") from None
+        return configured
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if not sc.getCheckpointDir():
