@@ -132,3 +132,20 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
     replay = spark.createDataFrame(replay.collect(), replay.schema)  # the batch as re-delivered
     runner.batch_writer(out)(replay, first_id)
     assert runner.read_updates(spark, out, schema).count() == before
+
+
+def test_batch_writer_fans_out_and_skips_empty(spark):
+    """One persisted batch goes to every sink (T13); an empty batch writes
+    nothing (F8); the batch id tags the rows (P3)."""
+    base = ensure_checkpoint_dir(spark)
+    out = f"{base}/fanout-{uuid.uuid4().hex}"
+    seen = []
+    write = runner.batch_writer(out, fmt="parquet", extra=lambda df, bid: seen.append((bid, df.count())))
+    rows = spark.createDataFrame([(dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 1, 0, 0, 10), 200, 3, 12.5)],
+                                 "window_start timestamp, window_end timestamp, response_code int, "
+                                 "request_count long, avg_response_time_ms double")
+    write(rows, 7)
+    write(rows.limit(0), 8)
+    assert seen == [(7, 1)]
+    back = spark.read.parquet(out)
+    assert back.count() == 1 and back.first()["batch_id"] == 7
