@@ -149,3 +149,41 @@ def test_batch_writer_fans_out_and_skips_empty(spark):
     assert seen == [(7, 1)]
     back = spark.read.parquet(out)
     assert back.count() == 1 and back.first()["batch_id"] == 7
+
+
+from decimal import ROUND_HALF_UP, Decimal  # noqa: E402
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    slide=st.sampled_from([5, 10, 60]),
+    k=st.integers(1, 3),
+    events=st.lists(st.tuples(st.integers(0, 400), st.sampled_from([200, 500]), st.integers(1, 999)), min_size=1, max_size=40),
+)
+def test_windows_match_brute_force(spark, slide, k, events):
+    """Sliding windows of any size = k x slide against a brute-force
+    assignment: every window [start, start + size) with start a multiple of
+    the slide that contains the event."""
+    base = dt.datetime(2026, 1, 1)
+    df = spark.createDataFrame(
+        [(base + dt.timedelta(seconds=t), c, Decimal(ms).scaleb(-1)) for t, c, ms in events],
+        "ts timestamp_ntz, code int, ms decimal(12,1)",
+    )
+    size = k * slide
+    got = {
+        (r["window_start"], r["response_code"]): (r["request_count"], r["avg_response_time_ms"])
+        for r in ev.windowed_metrics(df, "ts", "code", "ms", f"{size} seconds", f"{slide} seconds").collect()
+    }
+    groups: dict = {}
+    for t, c, ms in events:
+        first = (t // slide) * slide - (k - 1) * slide
+        for start in range(first, t + 1, slide):
+            if start <= t < start + size:
+                groups.setdefault((base + dt.timedelta(seconds=start), c), []).append(Decimal(ms).scaleb(-1))
+    want = {
+        g: (len(v), (sum(v) / len(v)).quantize(Decimal("0.1"), rounding=ROUND_HALF_UP)) for g, v in groups.items()
+    }
+    assert got == want
