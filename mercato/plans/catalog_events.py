@@ -178,7 +178,7 @@ def _run_stream_in_chunks(spark, sf_dir):
     schema, batch_chunk = None, {}
     for k in range(CHUNKS):
         chunked.filter(F.col("chunk") == k).select("value").write.mode("overwrite").text(f"{src}/chunk={k:04d}")
-        raw = spark.readStream.format("text").option("recursiveFileLookup", "true").load(src)
+        raw = runner.read_record_files(spark, src)
         events, _bad = ev.parse_events(raw, STANDIN_SCHEMA)
         metrics = runner.metrics_stream(
             events, "timestamp", "response_code", "response_time_ms", WATERMARK, SIZE, SLIDE
