@@ -129,8 +129,11 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6
             for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
         ]
     )
-    return stats.join(qw, "column_name").select(
-        "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    # every requested column appears, an all-null one with count 0 (as pandas)
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    return names.join(stats, "column_name", "left").join(qw, "column_name", "left").select(
+        "column_name", F.coalesce("count", F.lit(0)).alias("count"),
+        "mean", "std", "min", "p25", "p50", "p75", "max",
     )
 
 
