@@ -87,7 +87,10 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
     aggregate and the labelling pass then scan that table instead of
     recomputing the input, the lineage is cut, and ties in ``order_by``
     (identical copies included) are broken by the stored id, so exactly one
-    row per key is kept."""
+    row per key is kept. Staging pays one write of the input: right for a
+    CSV extract (parsed once, then read as columns) or any derived input.
+    ``stage=False`` skips the copy and is safe only for a direct scan of
+    columnar files, whose row ids are the same in every pass."""
     r = rules
     out = df
     if isinstance(df.schema[r.date_col].dataType, T.StringType):
@@ -128,13 +131,8 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
     # both sides grow with the input: sort-merge by design, except for keys
     # with so many rows that one task would hold them: those few are joined
     # by broadcast (operators.skew)
-    total = out.count() if stage else None  # a metadata count of the staged table
-    if total is None:
-        out = out.hint("merge").join(firsts.drop("__n"), r.key, "left")
-    else:
-        out = join_per_key(
-            out, firsts, [r.key], "__n", total, r.max_hot_keys, r.min_hot_rows, spread=F.col("__rid")
-        )
+    total = out.count()  # a metadata count for the staged table (or a columnar file scan)
+    out = join_per_key(out, firsts, [r.key], "__n", total, r.max_hot_keys, r.min_hot_rows, spread=F.col("__rid"))
     out = out.withColumn("__is_first", order_key.eqNullSafe(F.col("__first")))
 
     in_range = (

@@ -186,3 +186,18 @@ def test_nan_is_missing_like_pandas(spark):
     assert nulls["missing_count"] == 2
     got = sorted(r[0] for r in clean.fill_median(df, ["x"]).collect())
     assert got == [1.0, 2.0, 2.0, 3.0]  # median of 1 and 3 fills both the NaN and the null
+
+
+def test_unstaged_on_a_file_scan(spark):
+    """stage=False on a direct Parquet scan gives the staged answer."""
+    import uuid
+
+    from mercato.session import ensure_checkpoint_dir
+
+    rows = [row(i, i % 7, qty=1 + i % 3) for i in range(40)]
+    path = f"{ensure_checkpoint_dir(spark)}/unstaged-{uuid.uuid4().hex}"
+    spark.createDataFrame(rows, SCHEMA).coalesce(2).write.parquet(path)
+    scan = spark.read.parquet(path)
+    a = sorted((r["seq"], r["reject_reason"]) for r in clean.label_rows(scan, RULES, stage=False).collect())
+    b = sorted((r["seq"], r["reject_reason"]) for r in clean.label_rows(scan, RULES).collect())
+    assert a == b and sum(1 for _, x in a if x == "duplicate_key") == 33
