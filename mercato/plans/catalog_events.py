@@ -165,7 +165,7 @@ def _record_value():
     ).alias("value")
 
 
-def _run_stream_in_chunks(spark, sf_dir):
+def _run_stream_in_chunks(spark, sf_dir, output_mode: str = "update"):
     """Append the event records to a topic folder one time-ordered chunk at
     a time; after each chunk the checkpointed query runs with
     ``availableNow`` and stops (a restart from the checkpoint each time:
@@ -185,7 +185,8 @@ def _run_stream_in_chunks(spark, sf_dir):
         )
         schema = runner.update_schema(metrics)
         query = runner.start_metrics_query(
-            metrics, out, ckpt, trigger={"availableNow": True}, state_partitions=STATE_PARTITIONS
+            metrics, out, ckpt, trigger={"availableNow": True}, state_partitions=STATE_PARTITIONS,
+            output_mode=output_mode,
         )
         runner.await_or_stop(query)
         for p in query.recentProgress:
@@ -258,6 +259,23 @@ def q_stream_code_share(spark, sf_dir):
     return ev.code_share(ev.requests_per_minute(latest))
 
 
+@register(
+    "stream_append_metrics",
+    covers="T11 T2 T5 (append mode: each window once, when the watermark closes it)",
+    oracle=SLIDING_SQL
+    + """
+SELECT * FROM metrics
+WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 2 HOUR""",
+)
+def q_stream_append_metrics(spark, sf_dir):
+    """The same stream in ``append`` mode: a (window, code) row is written
+    once, when the watermark (latest event time - 2 h) passes the window's
+    end; windows still open at the end of the input are not written."""
+    out, schema, _ = _run_stream_in_chunks(spark, sf_dir, output_mode="append")
+    rows = runner.read_updates(spark, out, schema)
+    return _ntz_windows(rows).select(*ev.METRIC_COLUMNS)
+
+
 _CHUNK_SQL = f"""
 WITH bounds AS (SELECT MIN(ts) AS lo, MAX(ts) AS hi FROM events),
 ev AS (
