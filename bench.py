@@ -167,6 +167,8 @@ def main() -> None:
                     "csv_over_parquet_size": ratio(sizes.get("csv"), sizes.get("parquet")),
                 },
                 "errors": ERRORS,
+                "registered_queries": len(queries),
+                "oracle_checked_queries": sum(1 for q in queries.values() if q.oracle),
             }
         )
     )
