@@ -120,3 +120,13 @@ def test_stream_job_on_a_file_stream(spark, workdir):
         spark.createDataFrame([], "window_start timestamp, window_end timestamp, response_code int, "
                                   "request_count long, avg_response_time_ms decimal(12,1)")))
     assert metrics.filter("response_code = 500").agg(F.sum("request_count")).first()[0] == 2 * 5
+
+
+def test_profile_job_with_schema(spark, raw_csv):
+    """With a schema the extract is read without the inference pass."""
+    from mercato.sources.files import SALES_CSV_SCHEMA
+
+    out = jobs.profile_job(spark, raw_csv, schema=SALES_CSV_SCHEMA)
+    assert out["overview"].first()["row_count"] == 2000
+    types = {r["column_name"]: r["data_type"] for r in out["dtypes"].collect()}
+    assert types["unit_price"] == "decimal(10,2)" and types["order_date"] == "string"
