@@ -67,6 +67,7 @@ CHEAP = [
     "delivery_bucket", "dedup_first", "violations", "pk_violations", "fk_orphans", "upsert",
     "windowed_metrics", "code_share", "profile_describe", "exact_median", "surrogate_keys_customer",
     "profile_duplicates", "profile_nulls", "json_parse", "kafka_roundtrip",
+    "clean_report", "dim_lookup", "category_quarter_star", "stream_append_metrics",
 ]
 
 
