@@ -28,7 +28,9 @@ def show(frames: dict, n: int = 20) -> None:
 
 
 def main(argv=None) -> int:
-    ap = argparse.ArgumentParser(prog="python -m mercato")
+    ap = argparse.ArgumentParser(
+        prog="python -m mercato", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter
+    )
     ap.add_argument("job", choices=["profile", "clean-load", "report", "warehouse", "transform", "formats", "stream"])
     ap.add_argument("args", nargs="*")
     ap.add_argument("--master", default=None)
