@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import packing
+from mercato.llm import packing, quality
 from mercato.llm.frames import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +28,8 @@ def query(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn]:
 @query("op6_best_fit_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, documents(spark, sf_dir))
+
+
+@query("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(spark, documents(spark, sf_dir))
