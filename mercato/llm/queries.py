@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import packing, quality
+from mercato.llm import packing, pii, quality
 from mercato.llm.frames import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +33,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(spark, documents(spark, sf_dir))
+
+
+@query("op10_pii_boosted")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
