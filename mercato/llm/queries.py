@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import packing, pii, quality
+from mercato.llm import decontaminate, packing, pii, quality
 from mercato.llm.frames import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pii_boosted")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
+
+
+@query("op5_template_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(documents(spark, sf_dir), decontaminate.benchmark_table(spark, sf_dir))
