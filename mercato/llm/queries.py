@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, packing, pii, quality
+from mercato.llm import decontaminate, neardup, packing, pii, quality
 from mercato.llm.frames import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_template_decontamination")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(documents(spark, sf_dir), decontaminate.benchmark_table(spark, sf_dir))
+
+
+@query("op8_minhash_near_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(spark, documents(spark, sf_dir))
