@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, neardup, packing, pii, quality
+from mercato.llm import decontaminate, neardup, packing, pii, quality, substrings
 from mercato.llm.frames import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_minhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(spark, documents(spark, sf_dir))
+
+
+@query("op1_automaton_substring_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(spark, documents(spark, sf_dir))
