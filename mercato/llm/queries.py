@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, neardup, packing, pii, quality, substrings
+from mercato.llm import decontaminate, neardup, packing, pii, quality, sharding, substrings
 from mercato.llm.frames import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_automaton_substring_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(spark, documents(spark, sf_dir))
+
+
+@query("op3_virtual_slot_sharding")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(spark, documents(spark, sf_dir))
