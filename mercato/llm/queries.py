@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, neardup, packing, pii, quality, sharding, substrings
+from mercato.llm import decontaminate, neardup, packing, pii, quality, sharding, substrings, toxicity
 from mercato.llm.frames import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_virtual_slot_sharding")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(spark, documents(spark, sf_dir))
+
+
+@query("op4_clause_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score(spark, documents(spark, sf_dir), labels)
