@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, neardup, packing, pii, quality, sharding, substrings, toxicity
+from mercato.llm import decontaminate, neardup, packing, pii, quality, secret_scan, sharding, substrings, toxicity
 from mercato.llm.frames import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.score(spark, documents(spark, sf_dir), labels)
+
+
+@query("op9_trigram_secret_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(spark, documents(spark, sf_dir))
