@@ -25,6 +25,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,7 +43,8 @@ from mercato.session import materialize
 
 MAX_LEN = 2048
 END_ID = 0
-CACHED_WORDS = 600_000  # words whose ids a worker remembers; beyond it the memory starts anew
+CACHED_WORDS = 500_000  # words whose ids a worker remembers; beyond it the memory starts anew
+BATCH = 1000  # words given to the tokenizer at once
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>, pid int, lrank long"
 
@@ -131,22 +134,58 @@ class _Encoder:
     ALNUM = np.zeros(256, bool)
     ALNUM[list(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = True
 
+    LETTERS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")  # lower-case ASCII and Latin-1
+
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # the byte-level alphabet
+        self.alphabet = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(plain))}
         self.clear()
 
+    @classmethod
+    def of_worker(cls, vocabulary: str) -> _Encoder:
+        """The worker process's encoder: tasks that follow one another share what it has learnt.
+
+        Code that travels with a task gets new globals in each task, so it
+        is kept on a module that is imported."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import tokenizers
+
+        kept = tokenizers.__dict__.setdefault("_mercato_encoders", {})
+        if vocabulary not in kept:
+            kept[vocabulary] = cls(vocabulary)
+        return kept[vocabulary]
+
     def clear(self) -> None:
         self.known: dict[int, int] = {}
         self.ids = np.zeros(1 << 20, np.int32)
         self.used = 0
         self.at = np.zeros(1 << 16, np.int64)  # of known word k: ids[at[k]:at[k + 1]]
 
+    def _ids(self, texts: list[str]) -> Iterator[list[int]]:
+        """Ids of some words. A word of letters is one unit of the vocabulary's
+        splitter, so the merges are asked for directly; others take the full way."""
+        for lo in range(0, len(texts), BATCH):
+            part = texts[lo : lo + BATCH]
+            plain = [self.LETTERS.fullmatch(t.lower()) for t in part]
+            rest = [t for t, m in zip(part, plain, strict=True) if not m]
+            full = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False))
+            for m in plain:
+                if m:
+                    word = m.group()
+                    if not word.isascii():
+                        word = word.encode().decode("latin-1").translate(self.alphabet)
+                    yield [t.id for t in self.model.tokenize(word)]
+                else:
+                    yield next(full).ids
+
     def _learn(self, keys: list[int], texts: list[str]) -> None:
-        for key, enc in zip(keys, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-            k, ids = len(self.known), enc.ids
+        for key, ids in zip(keys, self._ids(texts), strict=True):
+            k = len(self.known)
             end = self.used + len(ids)
             if end > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.int32)])
@@ -198,7 +237,7 @@ def pieces(docs: DataFrame, vocabulary: str, max_len: int = MAX_LEN, keep_ids: b
     schema = typed(PIECE_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen, pid = _Encoder(vocabulary), np.zeros(max_len + 1, np.int64), TaskContext.get().partitionId()
+        encoder, seen, pid = _Encoder.of_worker(vocabulary), np.zeros(max_len + 1, np.int64), TaskContext.get().partitionId()
         for batch in batches:
             doc_ids = batch.column(0)
             for lo, hi, buf, offsets in text_chunks(batch.column(1)):

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 WHITESPACE = b" \t\n\x0b\x0c\r"
-CHUNK_BYTES = 1 << 20  # texts handled at once; a longer text is one chunk of its own
+CHUNK_BYTES = 1 << 19  # texts handled at once; a longer text is one chunk of its own
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15  # odd multipliers: powers have inverses modulo 2**64
