@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import decontaminate, neardup, packing, pii, quality, secret_scan, sharding, substrings, toxicity
+from mercato.llm import (
+    decontaminate,
+    html_text,
+    neardup,
+    packing,
+    pii,
+    quality,
+    secret_scan,
+    sharding,
+    substrings,
+    toxicity,
+)
 from mercato.llm.frames import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +80,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_trigram_secret_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(spark, documents(spark, sf_dir))
+
+
+@query("op2_html_main_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
