@@ -176,6 +176,13 @@ LABELLED = [
     (f"<main><p><a href=q>A linked opening line of the story that goes on for a while.</a></p><p>{_LONG}</p><h2>Why</h2><p>{_SHORT}</p><table><tr><th>Year</th><td>Cost</td></tr></table></main><div class='related'><ul>{_LINKS}</ul><p>{_AD}</p></div><footer><p>{_LONG}</p></footer>", "111111" "0000" "0" "0"),
     (f"<div class='sidebar'><h3>Archive</h3><ul>{_LINKS}</ul><p>{_LONG}</p></div><div id='content'><p>{_SHORT}</p><p>One</p><p>{_LONG}</p></div><div class='footer'>Contact</div>", "0" "0000" "0" "111" "0"),
     (f"<div>Login</div><div><a href=1>Sports and more</a></div><h1>Harvest</h1><p>{_LONG}</p><p>{_LONG}</p><h2>Outlook</h2><p>{_LONG}</p><div>Terms</div>", "00" "11111" "0"),
+    ("<p>The shop opens at nine.</p><p>It closes at five on most days of the week.</p>", "11"),
+    ("A page of plain text that has no tags at all but reads like a sentence.", "1"),
+    ("<p>Back soon</p>", "1"),
+    ("<div><a href=1>Home</a></div><p>It rained for two days and then the sun came out.</p><p>Nobody minded.</p><div>Imprint</div>", "0110"),
+    ("<h1>Notes</h1><p>We met at the station.</p><p>The train was late, so we went home</p>", "111"),
+    ("<div>Menu</div><div>Login</div><h1>Notes</h1><p>We met at the station.</p><p>It was late.</p><div>Imprint</div><div>Terms of use</div>", "0011100"),
+    (f"<div class='main'><p>{_SHORT}</p><p>Yes</p><p>{_AD}</p></div><p>{_AD}</p>", "1110"),
     ("<div><a href=1>One</a></div><div><a href=2>Two links here</a></div><div>Menu</div>", "000"),
 ]
 
