@@ -227,6 +227,8 @@ def assess(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns unchanged."""
     refs = references(feature_table(spark, docs))
-    return with_features(docs.select(F.struct(*docs.columns).alias("__row"), "text", "lang")).filter(
-        verdict(refs)
-    ).select("__row.*")
+    rows = with_features(docs.select(F.struct(*docs.columns).alias("__row"), "text", "lang"))
+    # A filter on computed columns would be pushed below them, and their expressions copied into it
+    # once for each use; a column that is not deterministic keeps it where it is.
+    rows = rows.select("__row", verdict(refs).alias("__kept"), F.monotonically_increasing_id().alias("__place"))
+    return rows.filter(F.col("__kept") & (F.col("__place") >= 0)).select("__row.*")
