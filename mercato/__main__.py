@@ -15,13 +15,17 @@ import argparse
 
 from mercato import jobs
 from mercato.operators.upsert import read_current
-from mercato.session import build_session
+from mercato.session import CLUSTER_CONF, build_session
 
 
-def show(frames: dict, n: int = 20) -> None:
+def show(frames: dict, save: str | None = None, n: int = 20) -> None:
+    """Print the head of each frame; with ``save`` every frame is stored whole under it."""
     for name, df in frames.items():
         if hasattr(df, "show"):
             print(f"== {name}")
+            if save:
+                df.write.mode("overwrite").parquet(f"{save.rstrip('/')}/{name}")
+                df = df.sparkSession.read.parquet(f"{save.rstrip('/')}/{name}")
             df.show(n, truncate=False)
         else:
             print(f"== {name}: {df}")
@@ -34,21 +38,23 @@ def main(argv=None) -> int:
     ap.add_argument("job", choices=["profile", "clean-load", "report", "warehouse", "transform", "formats", "stream"])
     ap.add_argument("args", nargs="*")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--save", default=None, help="folder in which every report is stored whole, as Parquet")
+    ap.add_argument("--cluster", action="store_true", help="start from the settings for a large cluster")
     a = ap.parse_args(argv)
-    spark = build_session(a.master)
+    spark = build_session(a.master, extra_conf=CLUSTER_CONF if a.cluster else None)
     if a.job == "profile":
-        show(jobs.profile_job(spark, a.args[0]))
+        show(jobs.profile_job(spark, a.args[0]), a.save)
     elif a.job == "clean-load":
-        show(jobs.clean_load_job(spark, a.args[0], a.args[1]))
+        show(jobs.clean_load_job(spark, a.args[0], a.args[1]), a.save)
     elif a.job == "report":
-        show(jobs.report_job(spark, read_current(spark, f"{a.args[0]}/orders")))
+        show(jobs.report_job(spark, read_current(spark, f"{a.args[0]}/orders")), a.save)
     elif a.job == "warehouse":
         orders = read_current(spark, f"{a.args[0]}/orders").drop("loaded_at")
-        show(jobs.warehouse_job(spark, orders))
+        show(jobs.warehouse_job(spark, orders, a.args[1] if len(a.args) > 1 else f"{a.args[0]}/warehouse"), a.save)
     elif a.job == "transform":
-        show(jobs.transform_job(spark, a.args[0], a.args[1] if len(a.args) > 1 else None))
+        show(jobs.transform_job(spark, a.args[0], a.args[1] if len(a.args) > 1 else None), a.save)
     elif a.job == "formats":
-        show(jobs.format_job(spark, a.args[0], a.args[1]))
+        show(jobs.format_job(spark, a.args[0], a.args[1]), a.save)
     elif a.job == "stream":
         from mercato.sources.connectors import read_kafka_stream
 

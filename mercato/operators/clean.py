@@ -15,25 +15,25 @@ dropping it. The order of the steps is part of the semantics and is kept:
    emit the domain's canonical label, else -> ``invalid_domain``    (N9, N10)
 9. flag |revenue - qty x price x (1 - discount)| > tolerance        (N11)
 
-Keep-first (step 5) is a ``groupBy(key).min(order)`` joined back: the
-aggregate collapses a hot key map-side, and the join back sends keys with
-more rows than a task should hold through a broadcast of their (few)
-aggregate rows (``operators.skew``), where a window would sort a hot key
-inside one task.
+Keep-first (step 5) finds the winning row id of each key with a
+``groupBy(key)`` minimum over the surviving rows (a hot key collapses
+map-side) and joins all rows to the winners on the row id, which is unique
+and never null: no key, hot or null, gathers its rows in one task.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.functions.scalar import clip, is_missing, match_key, nan_to_null, normalise_label, parse_date, strip_all
 from mercato.operators.quantiles import exact_quantiles
-from mercato.operators.skew import join_per_key
 
 MISSING = "missing_required"
 DUPLICATE = "duplicate_key"
@@ -65,8 +65,6 @@ class CleanRules:
     clip_bounds: tuple = (0, 1)
     revenue_tolerance: float = 1.0
     expected_revenue: str | Column | None = None
-    max_hot_keys: int = 100_000
-    min_hot_rows: int = 1_000_000
 
 
 def _median_values(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -77,13 +75,52 @@ def _median_values(df: DataFrame, cols: Sequence[str]) -> dict:
     return {r["column_name"]: r["value"] for r in rows}
 
 
+_ROW = (1 << 33) - 1  # the row part of monotonically_increasing_id
+
+
+def _with_place(df: DataFrame) -> DataFrame:
+    """Add where a row stands: its file, the start of its split, and an id
+    that rises inside a split (file and split are null for derived input)."""
+    context = logging.getLogger("DataFrameQueryContextLogger")
+    quiet, context.disabled = context.disabled, True  # the question may fail, which is an answer
+    try:
+        place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+        df.select(*place)  # only the scan of one file source has these
+    except AnalysisException:
+        place = [F.lit(None).cast("string"), F.lit(None).cast("long")]
+    finally:
+        context.disabled = quiet
+    return df.withColumns(dict(zip(("__file", "__split"), place, strict=True))).withColumn(
+        "__mono", F.monotonically_increasing_id()
+    )
+
+
+def _with_row_id(placed: DataFrame) -> DataFrame:
+    """``__rid``: unique, and rising in file order (file name, then position).
+
+    Spark packs splits into partitions by size, so the id that it counts up
+    does not follow the files. Splits are ranked by file and start (one row
+    per split, not per input row) and the rank leads the id."""
+    splits = placed.select("__file", "__split").distinct()
+    order = Window.orderBy(F.col("__file").asc_nulls_first(), F.col("__split").asc_nulls_first())
+    ranks = splits.select(
+        F.col("__file").alias("__f"), F.col("__split").alias("__s"), F.row_number().over(order).cast("long").alias("__rank")
+    )
+    same = F.col("__file").eqNullSafe(F.col("__f")) & F.col("__split").eqNullSafe(F.col("__s"))
+    # derived input has one unknown "split": its ids must keep their partition part
+    low = F.when(F.col("__file").isNull(), F.col("__mono")).otherwise(F.col("__mono").bitwiseAND(F.lit(_ROW)))
+    rid = F.when(F.col("__file").isNull(), low).otherwise(F.shiftleft("__rank", 33) + low)
+    return placed.join(ranks, same).withColumn("__rid", rid).drop("__file", "__split", "__mono", "__f", "__s", "__rank")
+
+
 def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFrame:
     """Every input row, cleaned where it survives, with ``reject_reason``
     (null for valid rows) and ``revenue_mismatch`` (N13, single plan).
 
     With ``stage`` (default) the parsed input is written once to the
-    session's shared checkpoint folder with a row id (``__rid``, file
-    order for a file scan) and read back: the medians, the keep-first
+    session's shared checkpoint folder with each row's place and read back
+    with a row id (``__rid``, which rises in file order for a file scan of
+    one or many files): the medians, the keep-first
     aggregate and the labelling pass then scan that table instead of
     recomputing the input, the lineage is cut, and ties in ``order_by``
     (identical copies included) are broken by the stored id, so exactly one
@@ -92,7 +129,7 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
     ``stage=False`` skips the copy and is safe only for a direct scan of
     columnar files, whose row ids are the same in every pass."""
     r = rules
-    out = df
+    out = _with_place(df)
     if isinstance(df.schema[r.date_col].dataType, T.StringType):
         out = out.withColumn(r.date_col, parse_date(r.date_col, r.date_format))
     else:
@@ -101,11 +138,12 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
     missing = F.lit(False)
     for c in r.required:
         missing = missing | is_missing(c, out.schema[c].dataType)
-    out = out.withColumn("__missing", missing).withColumn("__rid", F.monotonically_increasing_id())
+    out = out.withColumn("__missing", missing)
     if stage:
         from mercato.session import materialize
 
         out = materialize(out, df.sparkSession, "clean-stage")
+    out = _with_row_id(out)
 
     survivors = out.filter(~F.col("__missing"))
     medians = _median_values(survivors, [c for c in r.median_fills if c in df.columns])
@@ -120,20 +158,15 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
     for c, label in r.label_fills.items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(label)))
 
-    order_cols = [*r.order_by, "__rid"]
-    # file order alone (the reference's keep="first") is min(__rid): a
-    # numeric minimum, so a hash aggregate; several order columns need a
-    # struct minimum, which Spark aggregates by sorting
-    order_key = F.col("__rid") if not r.order_by else F.struct(*order_cols)
-    firsts = survivors.groupBy(r.key).agg(
-        F.min(order_key).alias("__first"), F.count(F.lit(1)).alias("__n")
-    )
-    # both sides grow with the input: sort-merge by design, except for keys
-    # with so many rows that one task would hold them: those few are joined
-    # by broadcast (operators.skew)
-    total = out.count()  # a metadata count for the staged table (or a columnar file scan)
-    out = join_per_key(out, firsts, [r.key], "__n", total, r.max_hot_keys, r.min_hot_rows, spread=F.col("__rid"))
-    out = out.withColumn("__is_first", order_key.eqNullSafe(F.col("__first")))
+    # without order columns the first row in file order wins (the reference's
+    # keep="first"): a numeric minimum, so a hash aggregate
+    if r.order_by:
+        first = F.min_by("__rid", F.struct(*r.order_by, "__rid"))
+    else:
+        first = F.min("__rid")
+    winners = survivors.groupBy(r.key).agg(first.alias("__rid")).select("__rid", F.lit(True).alias("__won"))
+    # both sides grow with the input and every join key is unique
+    out = out.join(winners, "__rid", "left").withColumn("__is_first", F.coalesce("__won", F.lit(False)))
 
     in_range = (
         (F.col(r.quantity_col) > 0) & (F.col(r.price_col) >= 0) & (F.col(r.revenue_col) >= 0)
@@ -168,10 +201,16 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
         if c in r.domains:
             out = out.withColumn(c, F.coalesce(F.col(f"__canon_{c}"), F.col(c))).drop(f"__canon_{c}")
     return out.withColumn("revenue_mismatch", F.when(F.col("reject_reason").isNull(), mismatch)).drop(
-        "__missing", "__first", "__is_first", "__rid"
+        "__missing", "__won", "__is_first", "__rid"
     )
 
 
+def split_labelled(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) of :func:`label_rows`."""
+    valid = labelled.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    return valid, labelled.filter(F.col("reject_reason").isNotNull()).drop("revenue_mismatch")
+
+
 def clean_sales(df: DataFrame, rules: CleanRules) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(valid, rejected, report) from one labelled plan.
 
@@ -181,9 +220,7 @@ def clean_sales(df: DataFrame, rules: CleanRules) -> tuple[DataFrame, DataFrame,
     ``report`` is :func:`clean_report`.
     """
     labelled = label_rows(df, rules)
-    valid = labelled.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    rejected = labelled.filter(F.col("reject_reason").isNotNull()).drop("revenue_mismatch")
-    return valid, rejected, clean_report(labelled)
+    return *split_labelled(labelled), clean_report(labelled)
 
 
 def clean_report(labelled: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
 """Deterministic surrogate keys 1..n in the order of natural-key columns.
 
 ``row_number() OVER (ORDER BY k)`` without a partition runs on one task.
-Here the rows are range-partitioned on the order columns, numbered inside
-each range bucket, and shifted by the prefix sum of the bucket sizes (one
-row per bucket, broadcast). The result equals the global row_number, for
-a lookup of ten rows or a dimension of billions. The bucket assignment is
-written once to the shared checkpoint folder, so both uses of it agree.
+Here the rows are range-partitioned on the order columns and sorted inside
+each range bucket (one shuffle), a row's position in its bucket is read off
+as it is written, and shifted by the prefix sum of the bucket sizes (one
+row per bucket). The result equals the global row_number, for a lookup of
+ten rows or a dimension of billions; keys are 64-bit. The numbered rows are
+written once to the shared checkpoint folder, so both uses of them agree.
 """
 
 from __future__ import annotations
@@ -34,18 +35,19 @@ def with_surrogate_key(
     # and the bucket sizes are computed from the same assignment
     from mercato.session import materialize
 
+    keys = [*group_by, *order_by]
     ranged = materialize(
-        _range_buckets(df, buckets, [*group_by, *order_by]).withColumn("__bucket", F.spark_partition_id()),
+        _range_buckets(df, buckets, keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("__bucket", F.spark_partition_id())
+        .withColumn("__at", F.monotonically_increasing_id()),  # rises along the sorted bucket
         spark,
         "surrogate-buckets",
     )
-    local = ranged.withColumn(
-        "__local", F.row_number().over(Window.partitionBy(*group_by, "__bucket").orderBy(*order_by))
-    )
-    sizes = ranged.groupBy(*group_by, "__bucket").agg(F.count(F.lit(1)).alias("__size"))
+    sizes = ranged.groupBy(*group_by, "__bucket").agg(F.count(F.lit(1)).alias("__size"), F.min("__at").alias("__start"))
     before = Window.partitionBy(*group_by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *group_by, "__bucket", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset")
+        *group_by, "__bucket", "__start", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset")
     )
     # one offset row per (group, bucket); a group spans consecutive buckets,
     # so there are at most buckets + groups - 1 rows. Without groups that is
@@ -53,7 +55,7 @@ def with_surrogate_key(
     if not group_by:
         offsets = F.broadcast(offsets)
     return (
-        local.join(offsets, [*group_by, "__bucket"])
-        .withColumn(key_name, (F.col("__offset") + F.col("__local")).cast("int"))
-        .drop("__bucket", "__local", "__offset")
+        ranged.join(offsets, [*group_by, "__bucket"])
+        .withColumn(key_name, F.col("__offset") + F.col("__at") - F.col("__start") + 1)
+        .drop("__bucket", "__at", "__start", "__offset")
     )

@@ -9,8 +9,11 @@ configured (notably ``spark.checkpoint.dir``) is respected.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -81,9 +84,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; it is used
     as is. Otherwise a checkpoint directory already set on the SparkContext
-    is used. Only when neither exists (local tests) a fresh local folder is
-    created and set on the SparkContext (``spark.checkpoint.dir`` itself is
-    a core setting that cannot be changed at runtime).
+    is used. Only a local master (tests) gets a fresh local folder: on a
+    cluster every executor would write to its own disk, so a missing
+    setting is an error there.
     """
     try:
         sc = spark.sparkContext
@@ -100,6 +103,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="mercato-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -114,8 +119,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     executor can reach), never in a machine-local temp folder. Every path
     handed out is recorded (:func:`scratch_paths`): frames returned by the
     operators read these tables lazily, so they are removed by the caller
-    once the results are written (or by the folder's retention policy),
-    never by the operator itself."""
+    once the results are written (:func:`scratch_scope`), never by the
+    operator itself."""
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _SCRATCH.append(path)
@@ -127,6 +132,24 @@ def scratch_paths() -> list[str]:
     return list(_SCRATCH)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables that were made inside the block.
+
+    A job writes its outputs inside the block; frames that leave it must
+    read those outputs, not the intermediate tables."""
+    before = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        own = _SCRATCH[before:]
+        del _SCRATCH[before:]
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in own:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def materialize(df, spark: SparkSession, name: str, fmt: str = "parquet"):
     """Write ``df`` once to a fresh folder under the shared checkpoint
     directory and return the read-back frame: downstream plans scan the

@@ -141,9 +141,11 @@ def write_bucketed(
     (Y3: ``bucketBy`` for the group-by key). The table is external, stored
     at ``path`` (a shared folder), registered in the session catalog; a
     later ``groupBy(key)`` or a join with a table bucketed the same way
-    reads co-located buckets and plans no exchange."""
+    reads co-located buckets and plans no exchange. Rows are dealt out by
+    the buckets' own hash first, so a bucket is one file, not one per task."""
     (
-        df.write.mode("overwrite")
+        df.repartition(buckets, *key)
+        .write.mode("overwrite")
         .format(fmt)
         .option("path", path)
         .bucketBy(buckets, *key)

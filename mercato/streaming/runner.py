@@ -62,22 +62,23 @@ def batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function.
 
-    Empty batches are skipped with ``isEmpty()`` (no full count); the
-    batch is persisted once and written to every output; each batch goes
-    to its own ``batch_id=N`` folder in overwrite mode (replay-safe) as a
-    single file, which is fine because a metrics batch is small (one row
-    per changed window and code)."""
+    The batch is persisted and counted once at the full width of the state
+    stage, so that stage runs once however many outputs follow; empty
+    batches are skipped. Each batch goes to its own ``batch_id=N`` folder
+    in overwrite mode (replay-safe). Only its rows (one per changed window
+    and code) are shuffled into a single file; the state stage keeps its
+    partitions."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         batch.persist()
         try:
+            if not batch.count():
+                return
             tagged = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
             if console:
                 tagged.show(truncate=False)
             (
-                tagged.coalesce(1)
+                tagged.repartition(1)
                 .write.mode("overwrite")
                 .format(fmt)
                 .option("header", "true")
@@ -132,11 +133,15 @@ def start_metrics_query(
 
 
 def await_or_stop(query: StreamingQuery, timeout_s: float | None = None) -> None:
-    """Block until the query ends or the timeout passes, always stopping it."""
+    """Block until the query ends or the timeout passes, always stopping it.
+
+    A timeout raises: what was written so far is not the whole stream."""
     try:
-        query.awaitTermination(timeout_s)
+        ended = query.awaitTermination(timeout_s)
     finally:
         query.stop()
+    if timeout_s is not None and not ended:
+        raise TimeoutError(f"the stream had not ended after {timeout_s} seconds")
 
 
 def progress_summary(query: StreamingQuery) -> list[dict]:

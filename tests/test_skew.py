@@ -58,30 +58,53 @@ def test_hot_code_window_metrics(spark):
     assert m.filter("response_code = 200").agg(F.sum("request_count")).first()[0] == 2 * 4000
 
 
-def test_hot_key_join_back_is_split(spark):
-    """The keep-first join-back: with a low hot threshold the hot key's rows
-    meet their aggregate row by broadcast; results equal the plain join."""
-    from mercato.operators.skew import join_per_key
-
-    rows = hot_frame(spark)
-    per_key = rows.groupBy("order_id").agg(F.min("seq").alias("first"), F.count(F.lit(1)).alias("n"))
-    split = join_per_key(rows, per_key, ["order_id"], "n", total_rows=3000, max_hot_keys=10, min_hot_rows=100)
-    plain = rows.join(per_key.drop("n"), "order_id", "left")
-    assert sorted(split.collect()) == sorted(plain.collect())
-    plan = explain(split)
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
-
-
-def test_label_rows_with_hot_key_threshold(spark):
-    rules = clean.CleanRules(order_by=("seq",), max_hot_keys=10, min_hot_rows=50,
-                             required=("order_id",), median_fills=(), label_fills={}, text_cols=(),
-                             quantity_col="seq", price_col="seq", revenue_col="seq", discount_col="d",
-                             date_col="dt", expected_revenue="seq")
-    df = hot_frame(spark).withColumn("d", F.lit(0.1)).withColumn("dt", F.current_date())
-    labelled = clean.label_rows(df, rules)
-    reasons = {r["seq"]: r["reject_reason"] for r in labelled.collect()}
-    hot = [reasons[s] for s in range(0, 3000, 3)]
-    assert hot[0] in (None, "out_of_range") and hot[1:].count("duplicate_key") == 999
+RULES = clean.CleanRules(
+    required=("order_id", "need"), median_fills=(), label_fills={}, text_cols=(), quantity_col="one", price_col="one",
+    revenue_col="one", discount_col="one", date_col="dt", expected_revenue="one",
+)
+
+
+def test_label_rows_spreads_hot_null_and_incomplete_keys(spark):
+    """A hot key, a null key and a key whose rows miss a column: the join to the
+    winners runs on the row id, so no partition gets more than its share."""
+    n = 30000
+    key = F.when(F.col("id") % 4 == 0, F.lit(0)).when(F.col("id") % 4 == 1, F.lit(None)).when(F.col("id") % 4 == 2, F.lit(-1))
+    df = spark.range(n).select(
+        key.otherwise(F.col("id")).alias("order_id"),
+        F.when(F.col("id") % 4 != 2, F.lit(1)).alias("need"),
+        F.lit(1).alias("one"), F.current_date().alias("dt"), F.col("id").alias("seq"),
+    )
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = clean.label_rows(df, RULES).select("seq", "reject_reason", F.spark_partition_id().alias("p")).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    sizes = [len([r for r in rows if r.p == p]) for p in {r.p for r in rows}]
+    assert len(rows) == n and max(sizes) <= 2 * n / len(sizes)
+    kept = {r.seq for r in rows if r.reject_reason is None}
+    assert kept == {0} | set(range(3, n, 4))
+
+
+def test_keep_first_follows_the_files(spark):
+    """The first row of a key is the one in the first file, however Spark packs the files."""
+    path = scratch_path(spark, "file-order")
+    for name, count in (("a", 20), ("b", 4000), ("c", 300)):
+        rows = spark.range(count).select(F.col("id").alias("order_id"), F.lit(name).alias("need"))
+        rows.coalesce(1).write.mode("overwrite").csv(f"{path}-{name}")
+    folder = f"{path}-all"
+    fs = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in "abc":
+        part = next(f for f in os.listdir(f"{path}-{name}".replace("file:", "")) if f.endswith(".csv"))
+        fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder))
+        fs.rename(spark._jvm.org.apache.hadoop.fs.Path(f"{path}-{name}/{part}"), spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.csv"))
+    df = spark.read.schema("order_id long, need string").csv(folder)
+    df = df.withColumns({"one": F.lit(1), "dt": F.current_date()})
+    got = {r.order_id: r.need for r in clean.label_rows(df, RULES).filter("reject_reason is null").collect()}
+    assert got == {k: "a" if k < 20 else "b" for k in range(4000)}
 
 
 def test_aqe_splits_hot_key_between_stored_tables(spark):
