@@ -4,7 +4,7 @@
    works on classes (rows of a class are counted once, however many copies).
 2. Each class gets ``HASHES`` minima over its 5-word shingles. Of each
    minimum only the low ``BITS`` bits are kept, packed into one signature of
-   64 bytes; the first ``BANDS * ROWS`` minima also give ``BANDS`` band keys.
+   128 bytes; the first ``BANDS * ROWS`` minima also give ``BANDS`` band keys.
 3. Classes that share a band key are candidates. Inside a bucket the
    similarity is estimated from the signatures by bit counts, corrected for
    chance agreement of the kept bits. A maximum spanning forest of the
@@ -43,7 +43,7 @@ from mercato.session import materialize
 
 SHINGLE = 5
 LINK_PERCENT = 85  # 100 * |A & B| >= 85 * |A | B|
-HASHES, BITS = 256, 2
+HASHES, BITS = 512, 2
 BANDS, ROWS = 16, 4
 BLOCK = 2048
 CHANCE = 2.0**-BITS  # two different minima agree in their low bits
@@ -92,6 +92,11 @@ def band_keys(m: np.ndarray) -> np.ndarray:
     return key
 
 
+def band_tags(keys: np.ndarray) -> bytes:
+    """Half of each band key, to tell in a bucket which other bands two classes share."""
+    return (keys >> np.uint64(32)).astype(np.uint32).tobytes()
+
+
 def agreements(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     """How many of the minima's kept bits agree between a signature and others."""
     x = one ^ many
@@ -111,7 +116,9 @@ def class_key(text: bytes) -> bytes | None:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
 
 
+#: sig: the packed bits and the band tags
 FEATURE_SCHEMA = "doc_id long, node binary, n_shingles long, sig binary, bands array<long>"
+_SIG_BYTES = HASHES * BITS // 8
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -127,8 +134,9 @@ def signatures(docs: DataFrame) -> DataFrame:
                     nodes.append(class_key(data[at[i] : at[i + 1]]))
                     sizes.append(len(s))
                     m = minima(s) if len(s) else None
-                    sigs.append(None if m is None else low_bits(m).tobytes())
-                    bands.append(None if m is None else to_int64(band_keys(m)))
+                    keys = None if m is None else band_keys(m)
+                    sigs.append(None if m is None else low_bits(m).tobytes() + band_tags(keys))
+                    bands.append(None if m is None else to_int64(keys))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
@@ -160,10 +168,12 @@ def with_class(docs: DataFrame) -> DataFrame:
 
 
 class Bucket:
-    """The classes of one bucket (or of two blocks of it)."""
+    """The classes of one bucket of a band (or of two blocks of it)."""
 
-    def __init__(self, nodes: list[bytes], sigs: np.ndarray, sizes: np.ndarray, comps: list[bytes]):
-        self.nodes, self.sigs, self.sizes = nodes, sigs, sizes
+    def __init__(self, nodes: list[bytes], sigs: np.ndarray, sizes: np.ndarray, comps: list[bytes], band: int, blocks: np.ndarray):
+        self.nodes, self.sizes, self.band, self.blocks = nodes, sizes, band, blocks
+        self.sigs = np.ascontiguousarray(sigs[:, :_SIG_BYTES]).view(np.uint64)
+        self.tags = np.ascontiguousarray(sigs[:, _SIG_BYTES:]).view(np.uint32)
         self.comps = np.unique(np.array(comps, object), return_inverse=True)[1] if comps else np.arange(len(nodes))
 
     def _possible(self, i: int) -> np.ndarray:
@@ -189,15 +199,19 @@ class Bucket:
                 yield int(parent[i]), i
 
     def across(self) -> Iterator[tuple[int, int]]:
-        """All possible links between different components."""
+        """The possible links between different components that no earlier band and no other block pair has."""
+        two = len(np.unique(self.blocks)) > 1
         for i in range(len(self.nodes) - 1):
-            for j in (np.flatnonzero((self._possible(i) >= 0) & (self.comps != self.comps[i]))).tolist():
-                if j > i:
-                    yield i, j
+            j = i + 1 + np.flatnonzero((self._possible(i)[i + 1 :] >= 0) & (self.comps[i + 1 :] != self.comps[i]))
+            if two:
+                j = j[self.blocks[j] != self.blocks[i]]
+            if len(j):
+                earlier = (self.tags[j, : self.band] == self.tags[i, : self.band]).any(axis=1)
+                yield from ((i, int(k)) for k in j[~earlier])
 
 
 def bucket_pairs(members: DataFrame, pairs: Callable[[Bucket], Iterator[tuple[int, int]]]) -> DataFrame:
-    """Distinct candidate pairs ``a < b`` of the buckets ``(gid, node, sig, n_shingles, comp)``."""
+    """Distinct candidate pairs ``a < b`` of the buckets ``gid``."""
     schema = typed("a binary, b binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,14 +232,15 @@ def bucket_pairs(members: DataFrame, pairs: Callable[[Bucket], Iterator[tuple[in
         if not rows.num_rows:
             return
         gid = rows.column(0).to_numpy()
-        sigs = np.frombuffer(b"".join(rows.column(2).to_pylist()), np.uint64).reshape(rows.num_rows, -1)
+        sigs = np.frombuffer(b"".join(rows.column(2).to_pylist()), np.uint8).reshape(rows.num_rows, -1)
         nodes, sizes, comps = rows.column(1).to_pylist(), rows.column(3).to_numpy(), rows.column(4).to_pylist()
+        band, block = rows.column(5).to_numpy(), rows.column(6).to_numpy()
         start = np.flatnonzero(np.append(True, gid[1:] != gid[:-1]))
         end = np.append(start[1:], len(gid))
         a, b = [], []
         for lo, hi in zip(start.tolist(), end.tolist(), strict=True):
             if hi - lo > 1:
-                bucket = Bucket(nodes[lo:hi], sigs[lo:hi], sizes[lo:hi], comps[lo:hi])
+                bucket = Bucket(nodes[lo:hi], sigs[lo:hi], sizes[lo:hi], comps[lo:hi], int(band[lo]), block[lo:hi])
                 for i, j in pairs(bucket):
                     x, y = sorted((nodes[lo + i], nodes[lo + j]))
                     if x != y:
@@ -234,7 +249,7 @@ def bucket_pairs(members: DataFrame, pairs: Callable[[Bucket], Iterator[tuple[in
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    grouped = members.select("gid", "node", "sig", "n_shingles", "comp").repartition("gid")
+    grouped = members.select("gid", "node", "sig", "n_shingles", "comp", "band", "own").repartition("gid")
     return grouped.sortWithinPartitions("gid", "node").mapInArrow(run, schema).distinct()
 
 
@@ -289,7 +304,7 @@ def classify(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame
     )
     nodes = materialize(nodes, spark, "classes")
 
-    keys = nodes.select("node", F.explode("bands").alias("key"))
+    keys = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     members = materialize(keys.join(materialize(shared, spark, "shared_keys"), "key"), spark, "members")
 
@@ -300,7 +315,7 @@ def classify(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame
         rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)))
         gid = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
         sig = nodes.select("node", "sig", "n_shingles")
-        return rows.select("node", gid.alias("gid"), "comp").join(sig, "node")
+        return rows.select("node", gid.alias("gid"), "comp", "band", "own").join(sig, "node")
 
     first = materialize(
         bucket_pairs(blocks(members.withColumn("comp", F.col("node"))), lambda b: b.forest()), spark, "pairs"
