@@ -58,7 +58,7 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(
 WORD = re.compile(r"[^\W_]+")
 FEATURES = [
     "words", "links", "words_before", "links_before", "words_after", "links_after",
-    "in_main", "in_side", "heading", "item", "sentence", "page_has_main",
+    "in_main", "in_side", "heading", "item", "paragraph", "sentence", "page_has_main",
 ]
 
 
@@ -154,7 +154,7 @@ def features(found: list[Block]) -> list[list[float]]:
         [
             words[i], links[i], w[i], k[i], w[i + 2], k[i + 2], float(b.main), float(b.side),
             float(b.tag[:1] == "h" and b.tag[1:].isdigit()), float(b.tag in ("li", "dt", "dd", "td", "th")),
-            float(b.text[-1] in ".!?:;\"'”’»…)"), has_main,
+            float(b.tag in ("p", "blockquote", "pre")), float(b.text[-1] in ".!?:;\"'”’»…)"), has_main,
         ]
         for i, b in enumerate(found)
     ]
@@ -170,7 +170,7 @@ LABELLED = [
     (f"<body><nav><ul>{_LINKS}</ul></nav><div class='ad'>{_AD}</div><article><h1>Bridge report</h1><p>{_LONG}</p><p>{_SHORT}</p><p>Yes.<p>{_LONG}</article><footer>&copy; 2020 The Paper. All rights reserved.</footer>", "0000" "0" "11111" "0"),
     (f"<header><h1>The Daily Paper</h1><p>{_SHORT}</p></header><main><h2>A bridge</h2><p>{_LONG}</p><ul><li>First, the cost.</li><li>Then the time it takes</li></ul><p>{_LONG}</p></main><aside><h3>Most read</h3><p>{_LONG}</p></aside>", "00" "11111" "00"),
     (f"<div id='cookie-notice'><p>{_NOTE}</p></div><div class='post-content'><h1>Title</h1><p>{_LONG}</p><blockquote>{_SHORT}</blockquote><div class='share'>Share this story</div><p>Read <a href='x'>the report of the council</a> too.</p></div><div class='comments'><h3>Comments</h3><p>I was there and I can say that it was the best debate in years, well done to all of them.</p></div>", "0" "111" "0" "1" "00"),
-    (f"<table><tr><td><a href=a>Home</a></td><td><a href=b>Archive of the years</a></td></tr></table><p>{_LONG}</p><p>{_LONG} {_LONG}</p><p>{_LONG}</p><p><a href=c>Next page</a></p><p>Copyright 1999</p>", "00" "111" "00"),
+    (f"<table><tr><td><a href=a>Home</a></td><td><a href=b>Archive of the years</a></td></tr></table><p>{_LONG}</p><p>{_LONG} {_LONG}</p><p>{_LONG}</p><p><a href=c>Next page</a></p><div>Copyright 1999</div>", "00" "111" "00"),
     (f"<div><a href=x>Home</a> | <a href=y>About us</a></div><div>{_LONG} {_LONG}</div><div>{_LONG}</div><div><a href=z>Top</a></div>", "0110"),
     (f"<article><header><h1>Storm</h1></header><p>{_LONG}</p><aside><p>{_LONG}</p></aside><p>{_SHORT}</p><form><p>Your mail address</p><p>{_NOTE}</p></form><section class='comments'><article><p>{_LONG}</p></article></section></article>", "11" "0" "1" "000"),
     (f"<main><p><a href=q>A linked opening line of the story that goes on for a while.</a></p><p>{_LONG}</p><h2>Why</h2><p>{_SHORT}</p><table><tr><th>Year</th><td>Cost</td></tr></table></main><div class='related'><ul>{_LINKS}</ul><p>{_AD}</p></div><footer><p>{_LONG}</p></footer>", "111111" "0000" "0" "0"),
@@ -178,7 +178,16 @@ LABELLED = [
     (f"<div>Login</div><div><a href=1>Sports and more</a></div><h1>Harvest</h1><p>{_LONG}</p><p>{_LONG}</p><h2>Outlook</h2><p>{_LONG}</p><div>Terms</div>", "00" "11111" "0"),
     ("<p>The shop opens at nine.</p><p>It closes at five on most days of the week.</p>", "11"),
     ("A page of plain text that has no tags at all but reads like a sentence.", "1"),
+    (f"<div>{_LONG}</div><div>and then</div><div>{_LONG}</div><div>Terms</div>", "1110"),
+    (f"<div><a href=1>Home</a></div><div>Login</div><div><a href=2>Help</a></div><div>{_LONG}</div><div>he said</div><div>{_LONG}</div>", "000111"),
     ("<p>Back soon</p>", "1"),
+    ("<p>Back soon</p><p>See you then</p><p>or call</p>", "111"),
+    ("<article>Back soon</article>", "1"),
+    (f"<aside><p>{_AD}</p></aside><article>See you</article><aside><p>{_AD}</p></aside>", "010"),
+    (f"<nav><ul>{_LINKS}</ul></nav><article><h1>A</h1><p>One</p><p>Two</p></article><footer><p>{_LONG}</p></footer>", "0000" "111" "0"),
+    ("<main><div>Lost</div><div>and found</div><ul><li>a</li><li>b c</li></ul></main><div>Imprint</div>", "1111" "0"),
+    (f"<main><div>{_LONG}</div><div>and then</div><div>it ended</div></main><div>Contact</div>", "111" "0"),
+    (f"<div class='ad'><p>One</p><p>{_LONG}</p></div><article><div>Two words</div><p><a href=z>a link</a></p><p>{_LONG}</p></article>", "00" "111"),
     ("<div><a href=1>Home</a></div><p>It rained for two days and then the sun came out.</p><p>Nobody minded.</p><div>Imprint</div>", "0110"),
     ("<h1>Notes</h1><p>We met at the station.</p><p>The train was late, so we went home</p>", "111"),
     ("<div>Menu</div><div>Login</div><h1>Notes</h1><p>We met at the station.</p><p>It was late.</p><div>Imprint</div><div>Terms of use</div>", "0011100"),
