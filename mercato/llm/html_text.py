@@ -178,8 +178,6 @@ LABELLED = [
     (f"<div>Login</div><div><a href=1>Sports and more</a></div><h1>Harvest</h1><p>{_LONG}</p><p>{_LONG}</p><h2>Outlook</h2><p>{_LONG}</p><div>Terms</div>", "00" "11111" "0"),
     ("<p>The shop opens at nine.</p><p>It closes at five on most days of the week.</p>", "11"),
     ("A page of plain text that has no tags at all but reads like a sentence.", "1"),
-    (f"<div>{_LONG}</div><div>and then</div><div>{_LONG}</div><div>Terms</div>", "1110"),
-    (f"<div><a href=1>Home</a></div><div>Login</div><div><a href=2>Help</a></div><div>{_LONG}</div><div>he said</div><div>{_LONG}</div>", "000111"),
     ("<p>Back soon</p>", "1"),
     ("<p>Back soon</p><p>See you then</p><p>or call</p>", "111"),
     ("<article>Back soon</article>", "1"),
