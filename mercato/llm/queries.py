@@ -10,6 +10,7 @@ from mercato.llm import (
     decontaminate,
     html_text,
     neardup,
+    oracles,
     packing,
     pii,
     quality,
@@ -56,12 +57,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(documents(spark, sf_dir), decontaminate.benchmark_table(spark, sf_dir))
 
 
-@query("op8_minhash_near_dedup")
+@query("op8_minhash_near_dedup", oracles.NEAR_DUPLICATES)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(spark, documents(spark, sf_dir))
 
 
-@query("op1_automaton_substring_dedup")
+@query("op1_automaton_substring_dedup", oracles.SUBSTRINGS)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(spark, documents(spark, sf_dir))
 
@@ -77,7 +78,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(spark, documents(spark, sf_dir), labels)
 
 
-@query("op9_trigram_secret_scan")
+@query("op9_trigram_secret_scan", oracles.SECRETS)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(spark, documents(spark, sf_dir))
 
