@@ -2,6 +2,16 @@
 
 from __future__ import annotations
 
+from mercato.llm.quality import (
+    CLASSES,
+    COMMON_WORDS,
+    LANGUAGES,
+    MAX_CLASS,
+    MAX_CLASS_SHORT,
+    MAX_WORDS,
+    MIN_WORDS,
+    REFINEMENTS,
+)
 from mercato.llm.secret_scan import BASE_KINDS, CLOSE, OPEN, OTHER, RULES
 
 WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -52,3 +62,70 @@ SELECT documents.doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" f
        sha256({_JOINED.format(only=f"FILTER (o < {len(BASE_KINDS)})")}) AS base_sha256,
        {_JOINED.format(only="FILTER (kind IS NOT NULL)")} AS spans
 FROM documents LEFT JOIN m ON m.doc_id = documents.doc_id GROUP BY documents.doc_id"""
+
+
+def _histogram_sums(source: str) -> str:
+    """Per language the class and common-word shares of the rows of ``source``."""
+    c = ", ".join(f"sum(classes[{i}])" for i in range(1, _CLASSES + 1))
+    w = ", ".join(f"sum(own[{i}])" for i in range(1, _COMMON + 1))
+    share = "list_transform([{0}], lambda x: x / greatest(1, list_sum([{0}])))"
+    return f"SELECT lang, {share.format(c)} AS rc, {share.format(w)} AS rw FROM {source} GROUP BY lang"
+
+
+def _divergence(counts: str, reference: str, n: int) -> str:
+    total = f"greatest(1, list_sum({counts}))"
+    terms = []
+    for i in range(1, n + 1):
+        p, q = f"({counts}[{i}] / {total})", f"{reference}[{i}]"
+        for a in (p, q):
+            terms.append(f"CASE WHEN {a} > 0 THEN {a} * log2({a} / (({p} + {q}) / 2)) ELSE 0 END")
+    return f"(({' + '.join(terms)}) / 2)"
+
+
+_CLASSES = len(CLASSES) + 3
+_COMMON = max(len(w) for w in COMMON_WORDS.values()) + 1
+
+
+def _counts(language: str) -> str:
+    found = ", ".join(f"len(list_filter(ws, lambda w: w = '{w}'))" for w in COMMON_WORDS[language])
+    return f"list_append([{found}], len(ws) - list_sum([{found}]))"
+
+
+def _quality() -> str:
+    other = {k: f"length(t) - length(regexp_replace(t, '{p.replace(chr(39), chr(39) * 2)}', '', 'g'))" for k, p in CLASSES.items()}
+    lower = r"length(t) - length(regexp_replace(t, '\p{Ll}+', '', 'g'))"
+    listed = [f"length(t) - length({_JOIN_WORDS})", lower, *other.values()]
+    classes = f"[{', '.join(listed)}, length(t) - ({' + '.join(f'({x})' for x in listed)})]"
+    near = f"min({_divergence('classes', 'rc', _CLASSES)})"
+    common = "CASE refs.lang " + " ".join(f"WHEN '{k}' THEN w_{k}" for k in LANGUAGES) + " END"
+    steps, last = [f"refs0 AS ({_histogram_sums('good')})"], "refs0"
+    for k, limit in enumerate(REFINEMENTS, 1):
+        steps.append(
+            f"near{k} AS (SELECT doc_id FROM good, (SELECT rc FROM {last}) GROUP BY doc_id HAVING {near} <= {limit}),\n"
+            f"refs{k} AS ({_histogram_sums(f'good SEMI JOIN near{k} USING (doc_id)')})"
+        )
+        last = f"refs{k}"
+    return f"""
+WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS k FROM w, unnest(range(1, len(ws) - 6)) t(i)),
+twice AS (SELECT doc_id, k FROM win GROUP BY ALL HAVING count(*) > 1),
+again AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM win SEMI JOIN twice USING (doc_id, k), unnest(range(8)) t(j) GROUP BY doc_id),
+lines AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM w),
+f AS (SELECT doc_id, lang, len(ws) AS n_words, length({_JOIN_WORDS}) AS word_chars, {other['symbol']} AS n_symbols,
+             len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(again.n, 0) AS n_repeat_words,
+             len(ws) < 20 OR 100 * coalesce(again.n, 0) > 30 * len(ws) AS base_failed,
+             {classes} AS classes, {", ".join(f"{_counts(k)} AS w_{k}" for k in LANGUAGES)}
+      FROM w JOIN lines USING (doc_id) LEFT JOIN again USING (doc_id)),
+good AS (SELECT *, CASE lang {" ".join(f"WHEN '{k}' THEN w_{k}" for k in LANGUAGES)} END AS own FROM f
+         WHERE NOT base_failed AND lang IN ({", ".join(f"'{k}'" for k in LANGUAGES)})),
+{(',' + chr(10)).join(steps)},
+verdict AS (
+  SELECT doc_id, {near} AS jc, min({_divergence('(' + common + ')', 'rw', _COMMON)}) AS jw FROM f, {last} AS refs GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND jc <= CASE WHEN n_words >= {MIN_WORDS} THEN {MAX_CLASS} ELSE {MAX_CLASS_SHORT} END
+         AND (n_words < {MIN_WORDS} OR jw <= {MAX_WORDS}) AS kept
+FROM f JOIN verdict USING (doc_id)"""
+
+
+_JOIN_WORDS = "array_to_string(ws, '')"
+QUALITY = _quality()

@@ -42,7 +42,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, documents(spark, sf_dir))
 
 
-@query("op7_quality_rules")
+@query("op7_quality_rules", oracles.QUALITY)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(spark, documents(spark, sf_dir))
 
