@@ -101,7 +101,7 @@ _NEG_COLS = [
     + ") WHERE negative_count > 0",
 )
 def q_profile_negatives(spark, sf_dir):
-    return profile.negatives(sales_flat(spark, sf_dir))
+    return profile.negatives(sales_flat(spark, sf_dir, category=False))
 
 
 @register(
@@ -199,7 +199,7 @@ SELECT COUNT(*) AS checked_rows,
 FROM sales_flat""",
 )
 def q_business_rule_sales(spark, sf_dir):
-    s = sales_flat(spark, sf_dir)
+    s = sales_flat(spark, sf_dir, category=False)
     return profile.rule_check(s, F.col("revenue"), F.col("gross") * (F.lit(1) - F.col("discount")), 0.05)
 
 

@@ -49,7 +49,7 @@ SELECT region, strftime(order_date, '%Y-%m') AS month,
 FROM sales_flat GROUP BY region, month ORDER BY month, region""",
 )
 def q_revenue_by_region_month(spark, sf_dir):
-    return reports.revenue_by_region_month(sales_flat(spark, sf_dir))
+    return reports.revenue_by_region_month(sales_flat(spark, sf_dir, category=False))
 
 
 @register(
@@ -62,7 +62,7 @@ SELECT region, CAST(year(order_date) AS INTEGER) AS order_year,
 FROM sales_flat GROUP BY region, order_year ORDER BY order_year, region""",
 )
 def q_revenue_by_region_year(spark, sf_dir):
-    return reports.revenue_by_region_year(sales_flat(spark, sf_dir))
+    return reports.revenue_by_region_year(sales_flat(spark, sf_dir, category=False))
 
 
 @register(
@@ -93,7 +93,7 @@ FROM sales_flat WHERE region = 'AMERICA' AND order_date >= DATE '1998-06-01'
 GROUP BY customer_id ORDER BY total_spent DESC, customer_id ASC LIMIT 10""",
 )
 def q_top_customers_filtered(spark, sf_dir):
-    return reports.top_customers_filtered(sales_flat(spark, sf_dir), "AMERICA", "1998-06-01", 10)
+    return reports.top_customers_filtered(sales_flat(spark, sf_dir, category=False), "AMERICA", "1998-06-01", 10)
 
 
 @register(
@@ -105,7 +105,7 @@ SELECT payment_method, CAST(AVG(customer_rating) AS DECIMAL(10,6)) AS avg_rating
 FROM sales_flat GROUP BY payment_method ORDER BY avg_rating DESC""",
 )
 def q_avg_by_priority(spark, sf_dir):
-    return reports.avg_rating_by_payment(sales_flat(spark, sf_dir))
+    return reports.avg_rating_by_payment(sales_flat(spark, sf_dir, category=False))
 
 
 @register(
@@ -121,7 +121,7 @@ SELECT CASE WHEN delivery_days <= 3 THEN '1-3 days'
 FROM sales_flat GROUP BY delivery_bucket ORDER BY delivery_bucket""",
 )
 def q_delivery_bucket(spark, sf_dir):
-    return reports.rating_by_delivery_bucket(sales_flat(spark, sf_dir))
+    return reports.rating_by_delivery_bucket(sales_flat(spark, sf_dir, category=False))
 
 
 @register(
@@ -153,7 +153,7 @@ FROM sales_flat GROUP BY region, customer_id ORDER BY region, best_total DESC"""
 )
 def q_sql_view_top_customers(spark, sf_dir):
     """The customer with the highest revenue in each region."""
-    sales_flat(spark, sf_dir).createOrReplaceTempView("sales")
+    sales_flat(spark, sf_dir, category=False).createOrReplaceTempView("sales")
     return spark.sql(
         """WITH spent AS (SELECT region, customer_id, sum(revenue) AS spent FROM sales GROUP BY region, customer_id)
            SELECT region, max_by(customer_id, spent) AS best_customer, CAST(max(spent) AS DECIMAL(38,2)) AS best_total

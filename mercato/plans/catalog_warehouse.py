@@ -263,7 +263,7 @@ _CHECKS = {
     ),
 )
 def q_violations(spark, sf_dir):
-    return rules.violations(sales_flat(spark, sf_dir), _CHECKS)
+    return rules.violations(sales_flat(spark, sf_dir, category=False), _CHECKS)
 
 
 @register(

@@ -94,3 +94,18 @@ def test_clustered_layout_concentrates_rows(spark):
 
     assert files_with_asia(clustered) <= 6
     assert files_with_asia(plain) == 20
+
+
+@pytest.mark.parametrize("name", ["revenue_by_region_month", "violations", "delivery_bucket", "sql_view_top_customers"])
+def test_reports_without_the_category_shuffle_the_fact_once(spark, name):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = plan_of(all_queries()[name].fn(spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert "l_partkey" not in plan
