@@ -227,7 +227,7 @@ def _ntz_windows(df):
 
 @register(
     "stream_windowed_metrics",
-    covers="T1 T2 T3 T5 T6 T7 T10 T11 T12 T13 T14 T15 K11 K12 K13 F8 S9 (file stream stands in for Kafka)",
+    covers="T1 T2 T3 T6 T7 T11 T12 T14 T15 K12 K13 F8 (a file stream stands in for Kafka)",
     oracle=SLIDING_SQL + "SELECT * FROM metrics",
 )
 def q_stream_windowed_metrics(spark, sf_dir):
@@ -261,7 +261,7 @@ def q_stream_code_share(spark, sf_dir):
 
 @register(
     "stream_append_metrics",
-    covers="T11 T2 T5 (append mode: each window once, when the watermark closes it)",
+    covers="T11 T2 (append mode: each window once, when the watermark closes it)",
     oracle=SLIDING_SQL
     + """
 SELECT * FROM metrics

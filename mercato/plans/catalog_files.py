@@ -149,7 +149,7 @@ def q_overwrite_append(spark, sf_dir):
 
 @register(
     "rename_stage",
-    covers="K9 S7 S8",
+    covers="K9 S7",
     oracle="SELECT o_orderpriority, COUNT(*) AS row_count FROM orders GROUP BY o_orderpriority",
 )
 def q_rename_stage(spark, sf_dir):

@@ -118,7 +118,9 @@ def q_profile_negatives_customer(spark, sf_dir):
     return profile.negatives(table(spark, sf_dir, "customer"))
 
 
-_DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_DESC_COLS = [  # every numeric column of the table
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+]
 
 
 @register(
