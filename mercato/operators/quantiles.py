@@ -130,8 +130,3 @@ def exact_quantiles(
     )
 
 
-def exact_median_value(df: DataFrame, column: str):
-    """The exact median of one column as a Python scalar (one-row result),
-    or None for an all-null column."""
-    row = exact_quantiles(df, [column], [0.5]).select("value").first()
-    return None if row is None else row["value"]

@@ -79,22 +79,26 @@ def upsert(
 #                       after the data write of that version has committed
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
+def _latest(spark: SparkSession, base: str) -> int:
+    """The last published version; 0 if none is.
+
+    Only a log that is not there means an empty table. A log that cannot be
+    read is an error: starting over would write over published data."""
     from pyspark.errors import AnalysisException
 
     try:
         log = spark.read.parquet(f"{base.rstrip('/')}/versions_log")
-    except AnalysisException:  # no version published yet
-        return []
-    return sorted(r["version"] for r in log.select("version").collect())
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+    return log.agg(F.max("version")).first()[0] or 0
 
 
 def read_current(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame | None:
     """The latest published version of a versioned table, or None."""
-    versions = _versions(spark, base)
-    if not versions:
-        return None
-    return spark.read.format(fmt).load(f"{base.rstrip('/')}/version={versions[-1]}")
+    version = _latest(spark, base)
+    return spark.read.format(fmt).load(f"{base.rstrip('/')}/version={version}") if version else None
 
 
 def upsert_table(
@@ -113,10 +117,9 @@ def upsert_table(
     afterwards, so readers see the old or the new table, never a partial
     one, and a failed write leaves only an unpublished folder. Returns the
     published version number."""
-    versions = _versions(spark, base)
     current = read_current(spark, base, fmt)
     merged = updates if current is None else upsert(current, updates, key, update_cols, now)
-    nxt = (versions[-1] + 1) if versions else 1
+    nxt = _latest(spark, base) + 1
     root = base.rstrip("/")
     merged.write.mode("overwrite").format(fmt).save(f"{root}/version={nxt}")
     spark.createDataFrame([(nxt,)], "version int").withColumn("published_at", F.current_timestamp()).write.mode(

@@ -139,3 +139,23 @@ def test_upsert_matches_dict_merge(spark, target, updates):
     for k, (r, v) in updates.items():
         want[k] = (want[k][0], float(v), NOW) if k in want else (r, float(v), NOW)
     assert got == want
+
+
+def test_unreadable_log_is_an_error(spark):
+    """A damaged versions log must not look like an empty table."""
+    import os
+    import uuid
+
+    import pytest
+
+    from mercato.operators.upsert import read_current
+    from mercato.session import ensure_checkpoint_dir
+
+    base = f"{ensure_checkpoint_dir(spark)}/damaged-{uuid.uuid4().hex}"
+    assert read_current(spark, base) is None
+    folder = base.replace("file:", "") + "/versions_log"
+    os.makedirs(folder)
+    with open(f"{folder}/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception, match=r".+"):
+        read_current(spark, base)
