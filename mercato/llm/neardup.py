@@ -4,7 +4,7 @@
    works on classes (rows of a class are counted once, however many copies).
 2. Each class gets ``HASHES`` minima over its 5-word shingles. Of each
    minimum only the low ``BITS`` bits are kept, packed into one signature of
-   128 bytes; the first ``BANDS * ROWS`` minima also give ``BANDS`` band keys.
+   128 bytes; the first minima also give band keys of ``ROWS`` minima each.
 3. Classes that share a band key are candidates. Inside a bucket the
    similarity is estimated from the signatures by bit counts, corrected for
    chance agreement of the kept bits. A maximum spanning forest of the
@@ -15,6 +15,10 @@
    whose estimate does not rule a link out are confirmed as well. So the
    components are those of all links, without listing the pairs inside them.
 
+Two classes are linked at a Jaccard similarity of ``LINK_PERCENT``; the
+pipeline stage links from ``STAGE_PERCENT`` on. The number of bands and the
+estimate that rules a link out follow from the percentage (``Link``).
+
 A bucket of more than ``BLOCK`` classes is compared block against block,
 each pair of blocks in a group of its own, so no task holds more than two
 blocks. Two classes at the threshold share none of the bands with
@@ -43,16 +47,28 @@ from mercato.session import materialize
 
 SHINGLE = 5
 LINK_PERCENT = 85  # 100 * |A & B| >= 85 * |A | B|
+STAGE_PERCENT = 80  # of the pipeline stage
 HASHES, BITS = 512, 2
-BANDS, ROWS = 16, 4
+ROWS = 4  # minima of a band
+MISS = 1e-5  # share of pairs at the threshold that may share no band
 BLOCK = 2048
 CHANCE = 2.0**-BITS  # two different minima agree in their low bits
 
-_J = LINK_PERCENT / 100
-_P = CHANCE + (1 - CHANCE) * _J
-#: estimates of linked pairs lie above this but for four standard deviations
-CUT = _J - 4 * (_P * (1 - _P) / HASHES) ** 0.5 / (1 - CHANCE)
-_AGREE = int(np.ceil(HASHES * (CHANCE + (1 - CHANCE) * CUT)))
+
+class Link:
+    """What follows from a link percentage: bands, and the agreements and sizes that a link needs."""
+
+    def __init__(self, percent: int):
+        j = percent / 100
+        p = CHANCE + (1 - CHANCE) * j
+        self.percent = percent
+        self.bands = int(np.ceil(np.log(MISS) / np.log(1 - j**ROWS)))
+        #: estimates of linked pairs lie above this but for four standard deviations
+        self.cut = j - 4 * (p * (1 - p) / HASHES) ** 0.5 / (1 - CHANCE)
+        self.agree = int(np.ceil(HASHES * (CHANCE + (1 - CHANCE) * self.cut)))
+
+
+_AGREE = Link(LINK_PERCENT).agree
 
 _SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _MULTIPLY = (_SEEDS[:HASHES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -84,9 +100,9 @@ def low_bits(m: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(b << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)), axis=1)
 
 
-def band_keys(m: np.ndarray) -> np.ndarray:
-    rows = m[: BANDS * ROWS].astype(np.uint64).reshape(BANDS, ROWS)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+def band_keys(m: np.ndarray, bands: int) -> np.ndarray:
+    rows = m[: bands * ROWS].astype(np.uint64).reshape(bands, ROWS)
+    key = np.arange(1, bands + 1, dtype=np.uint64)
     for r in range(ROWS):
         key = mix(key * np.uint64(0xC2B2AE3D27D4EB4F) + rows[:, r])
     return key
@@ -121,7 +137,7 @@ FEATURE_SCHEMA = "doc_id long, node binary, n_shingles long, sig binary, bands a
 _SIG_BYTES = HASHES * BITS // 8
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, link: Link) -> DataFrame:
     """Per row: its class, set size, packed signature and band keys (null without words)."""
     schema = typed(FEATURE_SCHEMA)
 
@@ -134,7 +150,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     nodes.append(class_key(data[at[i] : at[i + 1]]))
                     sizes.append(len(s))
                     m = minima(s) if len(s) else None
-                    keys = None if m is None else band_keys(m)
+                    keys = None if m is None else band_keys(m, link.bands)
                     sigs.append(None if m is None else low_bits(m).tobytes() + band_tags(keys))
                     bands.append(None if m is None else to_int64(keys))
                 yield pa.RecordBatch.from_arrays(
@@ -170,7 +186,8 @@ def with_class(docs: DataFrame) -> DataFrame:
 class Bucket:
     """The classes of one bucket of a band (or of two blocks of it)."""
 
-    def __init__(self, nodes: list[bytes], sigs: np.ndarray, sizes: np.ndarray, comps: list[bytes], band: int, blocks: np.ndarray):
+    def __init__(self, link: Link, nodes: list[bytes], sigs: np.ndarray, sizes: np.ndarray, comps: list[bytes], band: int, blocks: np.ndarray):
+        self.link = link
         self.nodes, self.sizes, self.band, self.blocks = nodes, sizes, band, blocks
         self.sigs = np.ascontiguousarray(sigs[:, :_SIG_BYTES]).view(np.uint64)
         self.tags = np.ascontiguousarray(sigs[:, _SIG_BYTES:]).view(np.uint32)
@@ -180,7 +197,7 @@ class Bucket:
         """Agreements of class i with all, -1 where a link is ruled out."""
         agree = agreements(self.sigs[i], self.sigs)
         small, large = np.minimum(self.sizes[i], self.sizes), np.maximum(self.sizes[i], self.sizes)
-        agree[(agree < _AGREE) | (100 * small < LINK_PERCENT * large)] = -1
+        agree[(agree < self.link.agree) | (100 * small < self.link.percent * large)] = -1
         return agree
 
     def forest(self) -> Iterator[tuple[int, int]]:
@@ -210,7 +227,7 @@ class Bucket:
                 yield from ((i, int(k)) for k in j[~earlier])
 
 
-def bucket_pairs(members: DataFrame, pairs: Callable[[Bucket], Iterator[tuple[int, int]]]) -> DataFrame:
+def bucket_pairs(members: DataFrame, link: Link, pairs: Callable[[Bucket], Iterator[tuple[int, int]]]) -> DataFrame:
     """Distinct candidate pairs ``a < b`` of the buckets ``gid``."""
     schema = typed("a binary, b binary")
 
@@ -240,7 +257,7 @@ def bucket_pairs(members: DataFrame, pairs: Callable[[Bucket], Iterator[tuple[in
         a, b = [], []
         for lo, hi in zip(start.tolist(), end.tolist(), strict=True):
             if hi - lo > 1:
-                bucket = Bucket(nodes[lo:hi], sigs[lo:hi], sizes[lo:hi], comps[lo:hi], int(band[lo]), block[lo:hi])
+                bucket = Bucket(link, nodes[lo:hi], sigs[lo:hi], sizes[lo:hi], comps[lo:hi], int(band[lo]), block[lo:hi])
                 for i, j in pairs(bucket):
                     x, y = sorted((nodes[lo + i], nodes[lo + j]))
                     if x != y:
@@ -253,7 +270,7 @@ def bucket_pairs(members: DataFrame, pairs: Callable[[Bucket], Iterator[tuple[in
     return grouped.sortWithinPartitions("gid", "node").mapInArrow(run, schema).distinct()
 
 
-def confirmed(spark: SparkSession, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(spark: SparkSession, pairs: DataFrame, texts: DataFrame, link: Link) -> DataFrame:
     """The pairs that are links on their full shingle sets; ``texts``: (node, text)."""
     schema = typed("a binary, b binary")
 
@@ -267,7 +284,7 @@ def confirmed(spark: SparkSession, pairs: DataFrame, texts: DataFrame) -> DataFr
                         name = a[i]
                         own = next(iter(_sets_of(batch.column(2).slice(i, 1))))
                     both = len(np.intersect1d(own, other, assume_unique=True))
-                    keep[i] = 100 * both >= LINK_PERCENT * (len(own) + len(other) - both)
+                    keep[i] = 100 * both >= link.percent * (len(own) + len(other) - both)
             yield batch.select([0, 1]).filter(pa.array(keep))
 
     def _sets_of(column: pa.Array) -> Iterator[np.ndarray]:
@@ -290,12 +307,13 @@ def _texts(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: DataFr
     return materialize(found.select("node", "text"), spark, "texts")
 
 
-def classify(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def classify(spark: SparkSession, docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Per row ``(doc_id, node, n_shingles)``, and per class ``(node, top, component_id)``.
 
     ``top`` is a class that stands for the component, ``component_id`` the
     smallest id in it (null where all are null)."""
-    feats = materialize(signatures(docs), spark, "signatures")
+    link = Link(percent)
+    feats = materialize(signatures(docs, link), spark, "signatures")
     nodes = feats.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("rep"),
         F.first("n_shingles").alias("n_shingles"),
@@ -318,18 +336,18 @@ def classify(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame
         return rows.select("node", gid.alias("gid"), "comp", "band", "own").join(sig, "node")
 
     first = materialize(
-        bucket_pairs(blocks(members.withColumn("comp", F.col("node"))), lambda b: b.forest()), spark, "pairs"
+        bucket_pairs(blocks(members.withColumn("comp", F.col("node"))), link, lambda b: b.forest()), spark, "pairs"
     )
-    links = confirmed(spark, first, _texts(spark, docs, nodes, first))
+    links = confirmed(spark, first, _texts(spark, docs, nodes, first), link)
     roots = materialize(components(spark, links), spark, "roots")
 
     placed = members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
     placed = materialize(placed, spark, "members")
     mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
     open_buckets = placed.join(materialize(mixed, spark, "mixed_keys"), "key")
-    second = bucket_pairs(blocks(open_buckets), lambda b: b.across()).join(first, ["a", "b"], "left_anti")
+    second = bucket_pairs(blocks(open_buckets), link, lambda b: b.across()).join(first, ["a", "b"], "left_anti")
     second = materialize(second, spark, "pairs")
-    more = confirmed(spark, second, _texts(spark, docs, nodes, second))
+    more = confirmed(spark, second, _texts(spark, docs, nodes, second), link)
     bridges = more
     for end in ("a", "b"):
         bridges = bridges.join(roots.withColumnRenamed("node", end), end, "left")
@@ -353,19 +371,19 @@ def classify(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
-    rows, classes = classify(spark, docs)
+    rows, classes = classify(spark, docs, LINK_PERCENT)
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     kept = F.when(F.col("node").isNull(), True).otherwise(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     return rows.join(classes, "node", "left").select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
-def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, percent: int = STAGE_PERCENT) -> DataFrame:
     """One row of each component, columns unchanged; rows without words stay.
 
     The row whose id names the component stays. Where that id and text come
     several times, one of these rows does; a component in which every id is
     null keeps one row of its smallest class."""
-    rows, classes = classify(spark, docs)
+    rows, classes = classify(spark, docs, percent)
     chosen = rows.filter(F.col("node").isNotNull()).join(classes, "node")
     chosen = chosen.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     sizes = chosen.groupBy("top", "node", "doc_id").agg(F.count("*").alias("n"))

@@ -126,3 +126,31 @@ def test_graph_components(spark):
             x, y = sorted((find(a), find(b)))
             root[y] = x
     assert got == {x: find(x) for x in list(root)}
+
+
+def test_stage_links_from_four_fifths(spark, frame):
+    base = [f"w{i}" for i in range(100)]  # 96 shingles; k other last words leave 96 - k of them
+    rows = [(k, " ".join(base[: 100 - k] + [f"x{k}_{i}" for i in range(k)])) for k in (0, 10, 12)]  # 86 / 106 and 84 / 108 with row 0
+    assert all(r.kept for r in neardup.near_duplicates(spark, frame(rows)).collect())
+    assert sorted(r.doc_id for r in neardup.keep_one(spark, frame(rows[:2])).collect()) == [0]
+    assert sorted(r.doc_id for r in neardup.keep_one(spark, frame(rows[::2])).collect()) == [0, 12]
+    assert neardup.Link(85).bands == 16 and (1 - 0.8**neardup.ROWS) ** neardup.Link(80).bands < neardup.MISS
+
+
+def test_stage_equals_brute_force_on_a_given_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    sets, postings, links = {d: shingles(t) for d, t in rows}, defaultdict(list), []
+    for d, s in sets.items():
+        for h in s:
+            postings[h].append(d)
+    for d, s in sets.items():
+        for o in {o for h in s for o in postings[h] if o < d}:
+            both = len(s & sets[o])
+            if 100 * both >= 80 * (len(s) + len(sets[o]) - both):
+                links.append((o, d))
+    root = {d: d for d in sets}
+    for _ in range(len(links)):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    assert {r.doc_id for r in neardup.keep_one(spark, docs).collect()} == {d for d in sets if root[d] == d}
