@@ -10,7 +10,9 @@ is checked for slot consistency: within a run every value of an item slot
 must stand for one value in the document and the other way round. A copy
 passes with equal values, a re-parameterised question with changed ones; a
 run is cut where a slot contradicts an earlier one, and parts of at least a
-window remain.
+window remain. A template window needs ``MIN_LITERAL`` literal tokens;
+windows are looked up by their case-folded values as well, which need none,
+so an exact copy is found whatever it consists of.
 
 The benchmark is an evaluation set and does not grow with the corpus; still
 its size is checked: it is taken in slices of at most ``SLICE_BYTES`` of
@@ -18,8 +20,8 @@ text, one pass over the documents each, so the table held in a task is
 bounded and every item is compared with every document. Documents are read
 where they are; nothing but the hits leaves a task.
 
-Null texts, and null or too short items (under ``MIN_ITEM`` tokens), match
-nothing; an item shorter than a window is matched whole. Repeated rows are
+Null texts, and null items or items without tokens, match nothing; an item
+shorter than a window is matched whole. Repeated rows are
 reported once per row. Empty tables give empty results.
 """
 
@@ -36,8 +38,7 @@ from mercato.llm.frames import typed
 from mercato.llm.words import _BYTE_POWERS, _BYTES, mix, prefix_sums, range_hash, text_chunks
 
 WINDOW = 10  # template tokens
-MIN_LITERAL = 6  # of a window: the rest may be placeholders
-MIN_ITEM = 6  # tokens of the shortest item that is looked for
+MIN_LITERAL = 6  # of a template window: the rest may be placeholders
 SLICE_BYTES = 8 << 20
 
 LITERAL, NUMBER, UNIT, NAME = range(4)
@@ -118,15 +119,17 @@ class Templates:
         self.code = np.where(self.type == LITERAL, self.value, _SLOT[self.type])
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Start tokens of the windows of ``size`` tokens inside one text, and their hashes."""
+        """Start tokens of the windows of ``size`` tokens inside one text, and their hashes, by templates and by values."""
         m = len(self.start)
         if m < size:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         last = np.repeat(self.first[1:], np.diff(self.first))
         at = np.flatnonzero(np.arange(m) + size <= last)
-        literal = np.concatenate([[0], np.cumsum(self.type == LITERAL)])
-        at = at[literal[at + size] - literal[at] >= min(size, MIN_LITERAL)]
-        return at, range_hash(prefix_sums(self.code), at, at + size)
+        typed = np.concatenate([[0], np.cumsum(self.type != LITERAL)])
+        slots = typed[at + size] - typed[at]
+        one, two = at[size - slots >= min(size, MIN_LITERAL)], at[slots > 0]
+        hashes = [range_hash(prefix_sums(code), x, x + size) for code, x in ((self.code, one), (self.value, two))]
+        return np.concatenate([one, two]), np.concatenate(hashes)
 
 
 class Index:
@@ -140,7 +143,7 @@ class Index:
         self.ids, self.first, self.value, self.type = np.array(ids, np.int64), t.first, t.value, t.type
         sizes = np.diff(t.first)
         self.tables = {}
-        for size in sorted({WINDOW} | {int(s) for s in sizes if MIN_ITEM <= s < WINDOW}):
+        for size in sorted({WINDOW} | {int(s) for s in sizes if 0 < s < WINDOW}):
             at, hashes = t.windows(size)
             item = np.searchsorted(t.first, at, "right") - 1
             fits = sizes[item] == size if size < WINDOW else sizes[item] >= WINDOW
@@ -177,19 +180,24 @@ class Index:
         return [(d, i, s - int(t.first[d]), n, k, c) for (d, i), (s, n, k, c) in sorted(best.items())]
 
     def _consistent(self, t: Templates, start: int, end: int, shift: int, size: int) -> list[tuple[int, int, int, int]]:
-        """The parts of a run in which slots map one to one."""
-        out, there, back, begin, changed, slots = [], {}, {}, start, 0, 0
-        for p in [*(start + np.flatnonzero(t.type[start:end])).tolist(), end]:
-            if p < end:
-                a = (int(self.type[p - shift]), int(self.value[p - shift]))
-                b = (int(t.type[p]), int(t.value[p]))
-                if there.get(a, b) == b and back.get(b, a) == a:
-                    there[a], back[b] = b, a
-                    slots, changed = slots + 1, changed + (a != b)
-                    continue
-            if p - begin >= size:
-                out.append((begin, p - begin, slots, changed))
-            there, back, begin, changed, slots = {}, {}, p + 1, 0, 0
+        """The longest parts of a run in which slots map one to one."""
+        item = slice(start - shift, end - shift)
+        slots = np.flatnonzero((t.type[start:end] == self.type[item]) & (self.type[item] != LITERAL))
+        kinds, ours, theirs = (x[slots].tolist() for x in (self.type[item], self.value[item], t.value[start:end]))
+        changed = t.value[start:end] != self.value[item]
+        parts, there, back, begin = [], {}, {}, 0
+        for p, k, a, b in zip(slots.tolist(), kinds, ours, theirs, strict=True):
+            (b_then, p_a), (a_then, p_b) = there.get((k, a), (b, -1)), back.get((k, b), (a, -1))
+            cut = max(begin, p_a + 1 if b_then != b else 0, p_b + 1 if a_then != a else 0)
+            if cut > begin:  # goes on behind the token that contradicts this one
+                parts.append((begin, p))
+                begin = cut
+            there[k, a], back[k, b] = (b, p), (a, p)
+        out = []
+        for lo, hi in [*parts, (begin, end - start)]:
+            if hi - lo >= size:
+                inside = slots[(slots >= lo) & (slots < hi)]
+                out.append((start + lo, hi - lo, len(inside), int(changed[inside].sum())))
         return out
 
 

@@ -63,3 +63,10 @@ def test_edges(spark, edge_docs, empty_docs, clashing_docs):
 
 def test_short_items_match_whole(spark, frame):
     assert set(found(spark, frame, [(1, "so just six little words in here now"), (2, "just six little words in")], [(4, "Just six little words in here.")])) == {(1, 4)}
+
+
+def test_exact_copies_need_no_literals(spark, frame):
+    items = [(1, "What is 12 plus 7 times 3?"), (2, "Two and two"), (3, "12 7 1990 15 km 3 kg 4 5 6 8 9 10"), (4, "On 3 May 1990 Anna Bell met Tom Hill in Rome for 5 days")]
+    docs = [(i, f"Some words, {t} And more.") for i, t in items] + [(9, "What is 12 plus 8 times 3? Two and three. On 4 June 1991 Eva Cole met Jim Dale in Oslo for 6 days")]
+    assert set(found(spark, frame, docs, items)) == {(i, i) for i in range(1, 5)}
+    assert [r.doc_id for r in decontaminate.clean(frame(docs), bench(spark, items)).collect()] == [9]
