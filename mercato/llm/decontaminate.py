@@ -14,6 +14,10 @@ window remain. A template window needs ``MIN_LITERAL`` literal tokens;
 windows are looked up by their case-folded values as well, which need none,
 so an exact copy is found whatever it consists of.
 
+A token's type depends on what stands before it and on its case. So windows
+have further readings on both sides: names as plain words (a copy in other
+case may still change its numbers), and the first token as a plain word.
+
 The benchmark is an evaluation set and does not grow with the corpus; still
 its size is checked: it is taken in slices of at most ``SLICE_BYTES`` of
 text, one pass over the documents each, so the table held in a task is
@@ -63,6 +67,7 @@ _STOP[list(b".!?:;\n\r\"|")] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _SLOT = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_HEAD = np.uint64(0x9FB21C651E98DF25)
 
 
 def _unit_hashes() -> np.ndarray:
@@ -119,17 +124,28 @@ class Templates:
         self.code = np.where(self.type == LITERAL, self.value, _SLOT[self.type])
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Start tokens of the windows of ``size`` tokens inside one text, and their hashes, by templates and by values."""
+        """Start tokens of the windows of ``size`` tokens inside one text, and their hashes, in all readings."""
         m = len(self.start)
         if m < size:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         last = np.repeat(self.first[1:], np.diff(self.first))
         at = np.flatnonzero(np.arange(m) + size <= last)
-        typed = np.concatenate([[0], np.cumsum(self.type != LITERAL)])
-        slots = typed[at + size] - typed[at]
-        one, two = at[size - slots >= min(size, MIN_LITERAL)], at[slots > 0]
-        hashes = [range_hash(prefix_sums(code), x, x + size) for code, x in ((self.code, one), (self.value, two))]
-        return np.concatenate([one, two]), np.concatenate(hashes)
+        typed, named = (np.concatenate([[0], np.cumsum(x)]) for x in (self.type != LITERAL, self.type == NAME))
+        slots, names = typed[at + size] - typed[at], named[at + size] - named[at]
+        unnamed = np.where(self.type == NAME, self.value, self.code)
+        literal = min(size, MIN_LITERAL)
+        starts, hashes = [], []
+        for code, n, use in (  # a reading, its placeholders, the windows in which it differs from those before
+            (self.code, slots, size - slots >= literal),
+            (unnamed, slots - names, (size - slots + names >= literal) & (names > 0) & (slots > names)),
+            (self.value, 0, slots > 0),
+        ):
+            sums = prefix_sums(code)
+            first = (code[at] != self.value[at]) & (size - n + 1 >= literal) & (n > 1)  # else all are values
+            for head, x in ((code, at[use]), (self.value, at[first])):
+                starts.append(x)
+                hashes.append(mix(range_hash(sums, x + 1, x + size) * _HEAD + head[x]))
+        return np.concatenate(starts), np.concatenate(hashes)
 
 
 class Index:

@@ -70,3 +70,11 @@ def test_exact_copies_need_no_literals(spark, frame):
     docs = [(i, f"Some words, {t} And more.") for i, t in items] + [(9, "What is 12 plus 8 times 3? Two and three. On 4 June 1991 Eva Cole met Jim Dale in Oslo for 6 days")]
     assert set(found(spark, frame, docs, items)) == {(i, i) for i in range(1, 5)}
     assert [r.doc_id for r in decontaminate.clean(frame(docs), bench(spark, items)).collect()] == [9]
+
+
+def test_case_and_surroundings(spark, frame):
+    short, whole = "Just six little words in here now.", "How Many legs do 7 spiders have in all"
+    assert set(found(spark, frame, [(1, "so Just six little words in here now"), (2, f"and {whole.replace('7', '9')}")], [(4, short), (5, whole)])) == {(1, 4), (2, 5)}
+    for text in (ITEM, ITEM.replace("12", "45").replace(" 3 ", " 7 ")):
+        out = found(spark, frame, [(1, f"so {text}"), (2, f"so {text.lower()}"), (3, f"so {text.upper()}")], [(8, ITEM)])
+        assert {k: r.n_tokens for k, r in out.items()} == {(d, 8): 22 for d in (1, 2, 3)}
