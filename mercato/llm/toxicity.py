@@ -6,9 +6,10 @@ insult arcs are learnt, as whole words and as stems (a word's first bytes),
 and carry their log-odds as weight. Four small transducers read the classes
 of a clause: one remembers whether someone is addressed, one whether a
 negation is near, one whether speech is reported, one turns a threat into
-weight only if it meets a target. They are composed into one machine; what
-it writes at an insult or threat depends on all of them, so the same word
-weighs differently in "you idiot", "not an idiot" and "he called it trash".
+weight only if it meets a target, before or after it. Those for insults and
+those for threats are composed into a machine each; what it writes depends
+on all its parts, so the same word weighs differently in "you idiot", "not
+an idiot" and "he called it trash", and "I will not hurt you" is no threat.
 A document is described by the weights of its matched clauses and scored by
 a logistic regression.
 
@@ -73,12 +74,19 @@ class Transducer:
         return self.step[state].get(symbol, (state, False))
 
 
-def _memory(trigger: int) -> Transducer:
-    """Flags insults and threats that come after a ``trigger`` word of the clause."""
-    return Transducer([{trigger: (1, False)}, {INSULT: (1, True), THREAT: (1, True)}])
+def _memory(trigger: int, at: tuple[int, ...] = (INSULT, THREAT)) -> Transducer:
+    """Flags the classes ``at`` that come after a ``trigger`` word of the clause."""
+    return Transducer([{trigger: (1, False)}, {k: (1, True) for k in at}])
+
+
+def _meeting() -> Transducer:
+    """Flags a threat after a target, and a target after a threat that met none before."""
+    return Transducer([{TARGET: (1, False), THREAT: (2, False)}, {THREAT: (1, True)}, {TARGET: (1, True)}])
 
 
 PARTS = {"target": _memory(TARGET), "negated": _memory(NEGATION), "reported": _memory(REPORT)}
+#: threats are written at the threat or the later target, so negation and report are flagged at both
+THREATS = {"threat": _meeting(), "negated": _memory(NEGATION, (THREAT, TARGET)), "reported": _memory(REPORT, (THREAT, TARGET))}
 
 
 def compose(parts: dict[str, Transducer]) -> tuple[list[list[int]], list[list[int]]]:
@@ -132,17 +140,18 @@ class Tokens:
         return out
 
 
-FEATURES = ["plain", "target", "negated", "reported", "threat", "heaviest", "matches"]
+FEATURES = ["plain", "target", "negated", "reported", "threat", "heaviest", "matches", "threat_ahead"]  # threat: its target stands before
 
 
 class Grammar:
-    """The insult arcs and the composed machine."""
+    """The insult arcs and the composed machines."""
 
     def __init__(self, insults: dict[bytes, float]):
         words = {w: v for w, v in insults.items() if not w.endswith(b"*")}
         self.words = self._table([(w, INSULT, v) for w, v in words.items()] + [(w.encode(), c, 1.0) for c, ws in LEXICON.items() for w in ws.split() if w.encode() not in words])
         self.stems = {n: self._table([(w[:-1], INSULT, v) for w, v in insults.items() if w.endswith(b"*") and len(w) == n + 1]) for n in STEMS}
         self.next, self.flags = compose(PARTS)
+        self.threat_next, self.threat_flags = compose(THREATS)
 
     @staticmethod
     def _table(arcs: list[tuple[bytes, int, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,16 +184,17 @@ class Grammar:
             return out
         read = np.flatnonzero((kind > 0) & np.isin(t.clause, matched))
         # a target may also follow: the clause is read forward and the flag of a later target is added
-        state, clause, place, text, total, owed = 0, -1, 0, -1, 0.0, []
+        state, threat, clause, place, text, total, owed, due = 0, 0, -1, 0, -1, 0.0, [], []
         for i, c, k, w, d in zip(read.tolist(), t.clause[read].tolist(), kind[read].tolist(), weight[read].tolist(), t.owner[read].tolist(), strict=True):
             if c != clause:
                 if text >= 0:
                     out[text, 5] = max(out[text, 5], total)
-                state, clause, total, owed = 0, c, 0.0, []
+                state, threat, clause, total, owed, due = 0, 0, c, 0.0, [], []
             elif i - place > REACH:
-                state = 0
+                state = threat = 0
             text, place = d, i
             flags, state = self.flags[state][k], self.next[state][k]
+            menace, threat = self.threat_flags[threat][k], self.threat_next[threat][k]
             row = out[d]
             if k == INSULT:
                 row[2 if flags & 2 else 3 if flags & 4 else 1 if flags & 1 else 0] += w
@@ -192,10 +202,14 @@ class Grammar:
                 total += w if not flags & 6 else w / 2
                 if not flags:
                     owed.append((i, w))
-            elif k == THREAT and flags & 1:
-                row[4] += w
-                total += w
-            elif k == TARGET:
+            elif k == THREAT and not menace & 1:
+                due.append((i, w))
+            elif k == THREAT or k == TARGET:
+                met = w if k == THREAT else sum(v for j, v in due if i - j <= REACH) if menace & 1 else 0.0
+                row[2 if menace & 2 else 3 if menace & 4 else 4 if k == THREAT else 7] += met
+                total += met if not menace & 6 else met / 2
+            if k == TARGET:
+                due = []
                 for j, v in owed:
                     if i - j <= REACH:
                         row[0] -= v

@@ -37,6 +37,17 @@ def test_composition_is_the_product():
         state = nxt[state][symbol]
 
 
+def test_threats_meet_their_target():
+    g = toxicity.Grammar({b"idiot": 4.0})
+    assert features(g, "I will hurt you")["threat_ahead"] > 0 and features(g, "We will kill and burn you")["threat_ahead"] > features(g, "I will hurt you")["threat_ahead"]
+    for text, flag in (("You will not kill", "negated"), ("I will not hurt you", "negated"), ("Quoted: fine. A claimed plan to kill you", "reported")):
+        f = features(g, text)
+        assert f[flag] > 0 and f["threat"] == f["threat_ahead"] == 0
+    assert not any(features(g, "They are gone. Kill the light").values())
+    assert features(g, "kill one two three four five six seven you")["threat_ahead"] == 0  # out of reach
+    assert features(g, "I will hurt you")["heaviest"] > features(g, "I will not hurt you")["heaviest"] > 0
+
+
 def auc(good, bad):
     good, bad = np.array(good), np.array(bad)
     return (good[:, None] > bad).mean() + 0.5 * (good[:, None] == bad).mean()
