@@ -8,10 +8,12 @@ decision tree. The tree is trained on a small labelled table, the blocks of
 ``LABELLED``. Main blocks are joined in page order.
 
 Inside a block character references are decoded and white space becomes one
-space; comments, scripts, styles, form controls and everything in the head
-are no text. Broken markup is read as it comes: an end tag closes the
-nearest open tag of its name or nothing, an unclosed comment or script ends
-with the page.
+space; comments, scripts, styles, drawings, form controls and everything in
+the head are no text; formulas are. Broken markup is read as it comes: an end
+tag closes the nearest open tag of its name or nothing, an unclosed comment
+or script ends with the page. A drawing ends at its end tag, its own '/>' or
+a block tag inside it; of other hidden elements without an end tag only the
+tag is left out, if browsers read their content as markup or it ends in '/>'.
 
 Null and empty pages give an empty text, rows are independent, an empty
 table gives an empty result. Each page is read once from start to end.
@@ -37,7 +39,9 @@ BLOCK = set(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-HIDDEN = "script|style|noscript|template|svg|math|iframe|textarea|title"  # up to their end tag, else to the page's end
+RAW = set("script style iframe textarea title".split())  # up to their end tag, else to the page's end
+HIDDEN = [*sorted(RAW), "noscript", "template", "svg", "annotation", "annotation-xml"]  # up to their end tag, if there is one
+FOREIGN = {"svg", "annotation", "annotation-xml"}  # '/>' closes them
 CONTROLS = set("select button canvas audio video object datalist".split())  # up to their end tag or the next block
 SIDE_TAGS = set("nav aside footer form menu dialog fieldset".split())
 SIDE_CUES = set(
@@ -50,10 +54,14 @@ MAIN_CUES = set("article content post entry story main text body prose richtext"
 MAIN_ROLES, SIDE_ROLES = {"main", "article"}, {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "note"}
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({HIDDEN})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({'|'.join(HIDDEN)})(?=[\s/>])"
+    r"""(?:(?:[^<>"']|"[^"<]*"|'[^'<]*')*+>|[^>]*>)"""
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*+)>|</?[a-zA-Z!?][^<>]*>""",
     re.S | re.I,
 )
+END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in HIDDEN}
+BREAKOUT = re.compile(rf"<(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.I)  # ends a drawing, but not inside a foreign object
+OBJECT = re.compile(r"<foreignobject(?=[\s/>])", re.I)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 WORD = re.compile(r"[^\W_]+")
 FEATURES = [
@@ -89,12 +97,29 @@ def _cues(tag: str, attributes: str, main: bool, side: bool) -> tuple[bool, bool
     return main or (own_main and not own_side), side or own_side
 
 
+def _hidden_end(page: str, name: str, at: int, ends: dict[str, tuple[int, int]]) -> int:
+    """Where the text goes on after the tag of a hidden element that ends at ``at``; ``ends`` holds the end tags found."""
+    closed = page[at - 2] == "/"
+    if closed and name in FOREIGN:
+        return at
+    if ends.get(name, (-1, 0))[0] < at:  # the next end tag is not known
+        end = END[name].search(page, at)
+        ends[name] = end.span() if end else (len(page) + 1, 0)
+    start, stop = ends[name]
+    if start > len(page):
+        return len(page) if name in RAW and not closed else at
+    if name == "svg" and (block := BREAKOUT.search(page, at, start)) and not OBJECT.search(page, at, block.start()):
+        return block.start()
+    return stop
+
+
 def blocks(page: str) -> list[Block]:
     """The flat text blocks of a page in order."""
     out: list[Block] = []
     open_tags: list[tuple[str, bool, bool]] = []  # block tags that are open, with what they make of their content
     parts: list[str] = []
     linked, in_link, control, at = 0, 0, "", 0
+    ends: dict[str, tuple[int, int]] = {}
 
     def end_block() -> None:
         nonlocal linked
@@ -106,19 +131,24 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         if m.start() > at and not control:
             piece = page[at : m.start()]
             parts.append(piece)
             if in_link:
                 linked += len(piece.strip())
         at = m.end()
+        if m.group(1):
+            at = _hidden_end(page, m.group(1).lower(), at, ends)
         name = m.group(3)
         if not name:
             continue
         name = name.lower()
         if name in CONTROLS:
-            control = "" if m.group(2) else name
+            if m.group(2):
+                control = ""
+            elif not m.group(4).endswith("/"):
+                control = name
         elif name == "a":
             in_link = 0 if m.group(2) else 1
         elif name == "br":

@@ -45,6 +45,31 @@ def test_long_broken_pages_are_linear():
         text_of(page)
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<article><p>One <svg class=i/> two</p><p>three</p></article>", "One two\nthree"),
+        ("<article><p>One <svg class='i'><path d=x/><title>t</title></svg> two</p><p>three</p></article>", "One two\nthree"),
+        ("<article><p>One <svg class=i> two</p><p>three</p><p>four <svg></svg></p></article>", "One\nthree\nfour"),
+        ("<article><p>One <svg><foreignObject><p>no</p></foreignObject></svg> two</p></article>", "One two"),
+        ("<article><p>One <noscript> two</p><p>three <template> four</p></article>", "One two\nthree four"),
+        ("<article><title-bar>x</title-bar><p>three</p><template-x>y</template-x></article>", "x\nthree\ny"),
+        ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> holds <math/> here.</p></article>", "So x=2 holds here."),
+        ("<article><p>One <audio/> two <video src='a' /> three <object/> four</p></article>", "One two three four"),
+        ("<article><script src='a'/><p>One</p><iframe src='b'/><p>two</p></article>", "One\ntwo"),
+        ("<article><script>x</script foo><p>One</p></article>", "One"),
+        ("<title>T</title ><article><p>One</p><textarea>no", "One"),
+    ],
+)
+def test_nothing_is_cut_after_hidden_elements(page, want):
+    assert text_of(page) == want
+
+
+def test_unclosed_hidden_elements_are_linear():
+    for page in ("<svg>" * 50_000, "<svg><p>" * 30_000 + "</svg>", "<noscript>" * 30_000, "<script/>" * 30_000, "<script>" + "</script " * 40_000, "<template><svg>" * 20_000):
+        text_of(page)
+
+
 def test_labelled_table_is_learnt():
     tree = html_text.train()
     for page, labels in html_text.LABELLED:
