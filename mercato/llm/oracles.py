@@ -12,6 +12,7 @@ from mercato.llm.quality import (
     MIN_WORDS,
     REFINEMENTS,
 )
+from mercato.llm import spots
 from mercato.llm.secret_scan import BASE_KINDS, CLOSE, OPEN, OTHER, RULES
 
 WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -129,3 +130,69 @@ FROM f JOIN verdict USING (doc_id)"""
 
 _JOIN_WORDS = "array_to_string(ws, '')"
 QUALITY = _quality()
+
+
+TERMS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(text=_LOWER)
+
+RANKED = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS ts FROM documents),
+s AS (SELECT count(*) FILTER (len(ts) > 0) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS length FROM d),
+p AS (SELECT r, doc_id, t, CAST(len(ts) AS BIGINT) AS n, count(*) AS tf FROM d, unnest(ts) u(t) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY t, n_docs),
+i AS (SELECT row_number() OVER () AS i, item_id, unnest(list_distinct({TERMS})) AS t FROM benchmark),
+h AS (SELECT i, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // length)))) AS BIGINT) AS score
+      FROM i JOIN w USING (t) JOIN p USING (t), s GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM h WHERE score > 0 QUALIFY rank <= 50"""
+
+
+def _listed(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _spots(text: str) -> str:
+    """The fingerprint of a text: a sorted list of hashes."""
+    words = rf"list_filter(string_split_regex(lower({text}), '{spots.NOT_WORD}'), lambda x: x <> '')"
+    content = f"list_filter(ws[i + 1:i + {spots.SPAN}], lambda x: NOT list_contains({_listed(spots.COMMON)}, x))"
+    return f"""(
+  SELECT list_sort(list_distinct(list_transform(CASE WHEN len(cs) = 0 AND len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE cs END, lambda c: substr(md5(c), 1, 16))))
+  FROM (SELECT ws, list_filter(list_transform(list_filter(range(1, len(ws) + 1), lambda i: list_contains({_listed(spots.ANCHORS)}, ws[i])),
+                 lambda i: array_to_string(list_prepend(ws[i], {content}[1:{spots.CHAIN}]), ' ')), lambda c: contains(c, ' ')) AS cs
+        FROM (SELECT {words} AS ws)))"""
+
+
+def _likeness(a: str, b: str) -> str:
+    both = f"len(list_intersect({a}, {b}))"
+    return f"CASE WHEN len({a}) + len({b}) = 0 THEN 1.0 ELSE CAST({both} AS DOUBLE) / (len({a}) + len({b}) - {both}) END"
+
+
+SPOTS = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT doc_id, t, coalesce(lead(t) OVER o, first_value(t) OVER o) AS nt FROM d WINDOW o AS (ORDER BY doc_id DESC)),
+e AS (SELECT doc_id, t, nt, left(t, length(t) - length(t) // 2) || left(nt, length(t) // 2) AS et FROM n),
+f AS (SELECT doc_id, length(t) AS n_chars, et, {_spots("t")} AS f, {_spots("et")} AS ef, {_spots("nt")} AS nf FROM e)
+SELECT doc_id, n_chars, sha256(et) AS edited_sha256, array_to_string(f, ' ') AS fingerprint, array_to_string(ef, ' ') AS edited_fingerprint,
+       {_likeness("f", "ef")} AS near_edited, {_likeness("f", "nf")} AS near_next FROM f"""
+
+AUDIT = f"""
+WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, list_filter([
+        CASE WHEN len(ws) < 100 THEN 'A' END, CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' END,
+        CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' END,
+        CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+        CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY t) THEN 'E' END], lambda x: x IS NOT NULL) AS fails
+      FROM w LEFT JOIN l USING (doc_id)),
+k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM k a, k b, k c, k d, k e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS own, string_split(filter_order[1:step], '') AS up_to,
+             CASE WHEN step = 1 THEN [] ELSE string_split(filter_order[1:step - 1], '') END AS before FROM o, unnest(range(1, 6)) t(step)),
+r AS (SELECT part, filter_order, step, own, count(*) FILTER (NOT list_has_any(fails, up_to)) AS kept,
+             count(*) FILTER (list_contains(fails, own) AND NOT list_has_any(fails, before)) AS removed,
+             count(*) FILTER (list_contains(fails, own) AND list_has_any(fails, before)) AS redundant,
+             count(*) FILTER (fails = [own]) AS unique_fails,
+             count(*) FILTER (good = 1 AND list_contains(fails, own) AND NOT list_has_any(fails, before)) AS good_lost,
+             count(*) FILTER (toxic = 1 AND list_contains(fails, own) AND NOT list_has_any(fails, before)) AS toxic_lost
+      FROM f, s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r"""

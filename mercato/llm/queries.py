@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato.llm import (
+    audit,
     decontaminate,
     html_text,
     neardup,
@@ -14,8 +15,10 @@ from mercato.llm import (
     packing,
     pii,
     quality,
+    ranked,
     secret_scan,
     sharding,
+    spots,
     substrings,
     toxicity,
 )
@@ -86,3 +89,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_html_main_text")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op11_blocked_ranked_search", oracles.RANKED)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op12_spot_fingerprints", oracles.SPOTS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spots.edited_fingerprints(documents(spark, sf_dir))
+
+
+@query("op13_filter_audit", oracles.AUDIT)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return audit.audit(audit.masks(documents(spark, sf_dir), labels))

@@ -15,7 +15,7 @@ def test_registered():
 
     names = __spark_entry__.queries()
     assert [n for n in names if n.startswith("op")] and set(QUERIES) <= set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "minhash_near_dedup", "template_decontamination", "boosted_pii", "best_fit_packing"]
 
 
