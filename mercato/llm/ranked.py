@@ -19,8 +19,9 @@ For each block:
    vector is copied for each of its terms, and a hot term's list is spread
    over all tasks.
 3. Seeds: every run scores, for each item, the documents of the block with
-   the highest bound. The ``top``-th best seed score is a score that the
-   result cannot fall below.
+   the highest bound, and gives the best of them (fewer, the more runs there
+   are). The ``top``-th best seed score is a score that the result cannot
+   fall below.
 4. Search: lists whose terms cannot reach that score together are left out
    (their greatest gains in the run add up to less); of the other lists each
    block whose summary's score is lower is skipped. The documents of all other blocks are
@@ -423,7 +424,8 @@ def rank(spark: SparkSession, docs: DataFrame, items: DataFrame, top: int = TOP)
         coordinates = Coordinates(block)
         signed = materialize(with_signature(table, block, n_docs, length), spark, "ranked_signed")
         runs = index(spark, signed, coordinates, len(block.vocabulary))
-        seeds = _best(search(runs, block, coordinates, None, top), top).filter(F.col("rank") == top)
+        each = min(top, -(-4 * top // max(1, runs.count())))  # seeds of a run: any scores that occur give a bound
+        seeds = _best(search(runs, block, coordinates, None, each), top).filter(F.col("rank") == top)
         least = np.ones(len(block.ids), np.int64)
         for r in seeds.select("item", "score").collect():  # a row per item of the block
             least[r["item"]] = max(1, r["score"])
