@@ -82,13 +82,13 @@ def clean_load_job(
     the job removes its intermediate tables when its outputs are stored."""
     # keep-first without order columns keeps the first row in file order
     with scratch_scope(spark):
-        raw = files.read_sales_csv(spark, raw_path)
+        raw = files.read_sales_csv(spark, raw_path, bad_fields=rules_.bad_fields)
         labelled = materialize(clean.label_rows(raw, rules_), spark, "labelled")
-        valid, rejected = clean.split_labelled(labelled)
+        valid, rejected = clean.split_labelled(labelled, rules_.bad_fields)
         valid = valid.drop("revenue_mismatch")
         files.write_table(valid, f"{out_dir}/processed", "csv")
         files.write_table(rejected, f"{out_dir}/rejected", "parquet")
-        files.write_table(clean.clean_report(labelled), f"{out_dir}/report", "parquet")
+        files.write_table(clean.clean_report(labelled, rules_.bad_fields), f"{out_dir}/report", "parquet")
         loaded = rules.with_default_timestamp(valid, "loaded_at", now)
         version = upsert_table(spark, f"{out_dir}/orders", loaded, [rules_.key], ["revenue"], now)
     report = spark.read.parquet(f"{out_dir}/report")

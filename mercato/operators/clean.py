@@ -4,6 +4,8 @@ The reference's nine eager steps become one lazy plan that labels every
 input row with the first rule it breaks (``reject_reason``) instead of
 dropping it. The order of the steps is part of the semantics and is kept:
 
+0. a field whose text is not of its type (only where the reader lists
+   such fields in ``bad_fields``)    -> ``malformed_field``            (S1)
 1. parse the order date, bad text -> null                         (N1)
 2. missing required column            -> ``missing_required``      (N2)
 3. fill rating / delivery days with medians of the step-2 rows      (N3, N4)
@@ -33,8 +35,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.functions.scalar import clip, is_missing, match_key, nan_to_null, normalise_label, parse_date, strip_all
-from mercato.operators.quantiles import exact_quantiles
+from mercato.operators.quantiles import medians
 
+MALFORMED = "malformed_field"
 MISSING = "missing_required"
 DUPLICATE = "duplicate_key"
 OUT_OF_RANGE = "out_of_range"
@@ -65,52 +68,35 @@ class CleanRules:
     clip_bounds: tuple = (0, 1)
     revenue_tolerance: float = 1.0
     expected_revenue: str | Column | None = None
+    bad_fields: str = "bad_fields"
 
 
-def _median_values(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Exact medians of ``cols`` (one small job; one row per column)."""
-    if not cols:
-        return {}
-    rows = exact_quantiles(df, list(cols), [0.5]).select("column_name", "value").collect()
-    return {r["column_name"]: r["value"] for r in rows}
-
-
-_ROW = (1 << 33) - 1  # the row part of monotonically_increasing_id
-
-
-def _with_place(df: DataFrame) -> DataFrame:
-    """Add where a row stands: its file, the start of its split, and an id
-    that rises inside a split (file and split are null for derived input)."""
+def _file_place(df: DataFrame) -> dict[str, Column]:
+    """Columns that say where a row of a file scan stands: its file and the start of its split; none for derived input."""
     context = logging.getLogger("DataFrameQueryContextLogger")
     quiet, context.disabled = context.disabled, True  # the question may fail, which is an answer
     try:
-        place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
-        df.select(*place)  # only the scan of one file source has these
+        place = {"__file": F.col("_metadata.file_path"), "__split": F.col("_metadata.file_block_start")}
+        df.select(*place.values())  # only the scan of one file source has these
+        return place
     except AnalysisException:
-        place = [F.lit(None).cast("string"), F.lit(None).cast("long")]
+        return {}
     finally:
         context.disabled = quiet
-    return df.withColumns(dict(zip(("__file", "__split"), place, strict=True))).withColumn(
-        "__mono", F.monotonically_increasing_id()
-    )
 
 
-def _with_row_id(placed: DataFrame) -> DataFrame:
-    """``__rid``: unique, and rising in file order (file name, then position).
+def _first_ids(rows: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """``__rid`` of the first row of each key: by ``order_by``, then in file order.
 
-    Spark packs splits into partitions by size, so the id that it counts up
-    does not follow the files. Splits are ranked by file and start (one row
-    per split, not per input row) and the rank leads the id."""
-    splits = placed.select("__file", "__split").distinct()
-    order = Window.orderBy(F.col("__file").asc_nulls_first(), F.col("__split").asc_nulls_first())
-    ranks = splits.select(
-        F.col("__file").alias("__f"), F.col("__split").alias("__s"), F.row_number().over(order).cast("long").alias("__rank")
-    )
-    same = F.col("__file").eqNullSafe(F.col("__f")) & F.col("__split").eqNullSafe(F.col("__s"))
-    # derived input has one unknown "split": its ids must keep their partition part
-    low = F.when(F.col("__file").isNull(), F.col("__mono")).otherwise(F.col("__mono").bitwiseAND(F.lit(_ROW)))
-    rid = F.when(F.col("__file").isNull(), low).otherwise(F.shiftleft("__rank", 33) + low)
-    return placed.join(ranks, same).withColumn("__rid", rid).drop("__file", "__split", "__mono", "__f", "__s", "__rank")
+    The id is unique but does not follow the files (Spark packs splits into
+    partitions by size), so file and split lead it where a row has them; they
+    only decide between rows of a key and are not part of the id. Without
+    either the minimum is numeric, a hash aggregate. A hot key is collapsed
+    in each task."""
+    place = [c for c in ("__file", "__split") if c in rows.columns]
+    lead = [*order_by, *place]
+    first = F.min_by("__rid", F.struct(*lead, "__rid")) if lead else F.min("__rid")
+    return rows.groupBy(*key).agg(first.alias("__rid")).select("__rid")
 
 
 def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFrame:
@@ -129,7 +115,7 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
     ``stage=False`` skips the copy and is safe only for a direct scan of
     columnar files, whose row ids are the same in every pass."""
     r = rules
-    out = _with_place(df)
+    out = df.withColumns({**_file_place(df), "__rid": F.monotonically_increasing_id()})
     if isinstance(df.schema[r.date_col].dataType, T.StringType):
         out = out.withColumn(r.date_col, parse_date(r.date_col, r.date_format))
     else:
@@ -138,18 +124,15 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
     missing = F.lit(False)
     for c in r.required:
         missing = missing | is_missing(c, out.schema[c].dataType)
-    out = out.withColumn("__missing", missing)
+    malformed = F.size(r.bad_fields) > 0 if r.bad_fields in df.columns else F.lit(False)
+    out = out.withColumns({"__missing": missing, "__malformed": malformed})
     if stage:
         from mercato.session import materialize
 
         out = materialize(out, df.sparkSession, "clean-stage")
-    out = _with_row_id(out)
 
-    survivors = out.filter(~F.col("__missing"))
-    medians = _median_values(survivors, [c for c in r.median_fills if c in df.columns])
-    for c, m in medians.items():
-        if m is None:
-            continue
+    survivors = out.filter(~F.col("__missing") & ~F.col("__malformed"))
+    for c, m in medians(survivors, [c for c in r.median_fills if c in df.columns]).items():
         dtype = df.schema[c].dataType
         if c in r.truncate_fills:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(int(m)).cast(dtype)))
@@ -158,13 +141,8 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
     for c, label in r.label_fills.items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(label)))
 
-    # without order columns the first row in file order wins (the reference's
-    # keep="first"): a numeric minimum, so a hash aggregate
-    if r.order_by:
-        first = F.min_by("__rid", F.struct(*r.order_by, "__rid"))
-    else:
-        first = F.min("__rid")
-    winners = survivors.groupBy(r.key).agg(first.alias("__rid")).select("__rid", F.lit(True).alias("__won"))
+    # without order columns the first row in file order wins (the reference's keep="first")
+    winners = _first_ids(survivors, [r.key], r.order_by).withColumn("__won", F.lit(True))
     # both sides grow with the input and every join key is unique
     out = out.join(winners, "__rid", "left").withColumn("__is_first", F.coalesce("__won", F.lit(False)))
 
@@ -185,7 +163,8 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
             out = out.withColumn(c, normalise_label(c))
 
     reason = (
-        F.when(F.col("__missing"), F.lit(MISSING))
+        F.when(F.col("__malformed"), F.lit(MALFORMED))
+        .when(F.col("__missing"), F.lit(MISSING))
         .when(~F.col("__is_first"), F.lit(DUPLICATE))
         .when(~in_range, F.lit(OUT_OF_RANGE))
         .when(~domain_ok, F.lit(INVALID_DOMAIN))
@@ -201,13 +180,13 @@ def label_rows(df: DataFrame, rules: CleanRules, stage: bool = True) -> DataFram
         if c in r.domains:
             out = out.withColumn(c, F.coalesce(F.col(f"__canon_{c}"), F.col(c))).drop(f"__canon_{c}")
     return out.withColumn("revenue_mismatch", F.when(F.col("reject_reason").isNull(), mismatch)).drop(
-        "__missing", "__won", "__is_first", "__rid"
+        "__missing", "__malformed", "__won", "__is_first", "__rid", "__file", "__split"
     )
 
 
-def split_labelled(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) of :func:`label_rows`."""
-    valid = labelled.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+def split_labelled(labelled: DataFrame, bad_fields: str = "bad_fields") -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) of :func:`label_rows`; only rejected rows keep the list of malformed fields."""
+    valid = labelled.filter(F.col("reject_reason").isNull()).drop("reject_reason", bad_fields)
     return valid, labelled.filter(F.col("reject_reason").isNotNull()).drop("revenue_mismatch")
 
 
@@ -220,21 +199,23 @@ def clean_sales(df: DataFrame, rules: CleanRules) -> tuple[DataFrame, DataFrame,
     ``report`` is :func:`clean_report`.
     """
     labelled = label_rows(df, rules)
-    return *split_labelled(labelled), clean_report(labelled)
+    return *split_labelled(labelled, rules.bad_fields), clean_report(labelled, rules.bad_fields)
 
 
-def clean_report(labelled: DataFrame) -> DataFrame:
-    """Rows per stage (N12, A20): input, each reject reason, kept, the
+def clean_report(labelled: DataFrame, bad_fields: str = "bad_fields") -> DataFrame:
+    """Rows per stage (N12, A20): input, each reject reason (malformed
+    fields only where the reader looked for them), kept, the
     revenue warning, each with its share of the input rounded to 2.
 
     One aggregate over the labelled rows instead of a count per step."""
+    reasons = (MALFORMED, *REASONS) if bad_fields in labelled.columns else REASONS
     counts = labelled.agg(
         F.count(F.lit(1)).alias("input"),
-        *[F.count_if(F.col("reject_reason") == F.lit(x)).alias(x) for x in REASONS],
+        *[F.count_if(F.col("reject_reason") == F.lit(x)).alias(x) for x in reasons],
         F.count_if(F.col("reject_reason").isNull()).alias("kept"),
         F.count_if(F.col("revenue_mismatch")).alias("revenue_mismatch"),
     )
-    stages = ["input", *REASONS, "kept", "revenue_mismatch"]
+    stages = ["input", *reasons, "kept", "revenue_mismatch"]
     long = counts.select("input", *[F.col(s).alias(f"s_{s}") for s in stages]).unpivot(
         ["input"], [f"s_{s}" for s in stages], "stage", "row_count"
     )
@@ -260,12 +241,8 @@ def fill_median(df: DataFrame, cols: Sequence[str], truncate: Sequence[str] = ()
     """``fillna(median)`` with the exact median of each column (N3, N4, A18);
     columns in ``truncate`` get ``int(median)`` like ``.astype(int)``. NaN
     counts as missing, as in pandas."""
-    medians = _median_values(df, cols)
     out = df
-    for c in cols:
-        m = medians.get(c)
-        if m is None:
-            continue
+    for c, m in medians(df, cols).items():
         dtype = df.schema[c].dataType
         fill = F.lit(int(m)).cast(dtype) if c in truncate else F.lit(float(m))
         out = out.withColumn(c, F.coalesce(nan_to_null(c, dtype), fill))
@@ -277,15 +254,17 @@ def fill_const(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return df.na.fill(dict(values))
 
 
-def keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key: the first by ``order_by`` (N6, ``keep="first"``).
+def keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the first by ``order_by``, else in file order (N6, ``keep="first"``).
+
+    The rows are written once with an id; the winning id of each key is an
+    aggregate over (key, order, id) only, and the rows meet the winners on
+    the id: whole rows are neither sorted nor gathered by key."""
+    from mercato.session import materialize
 
-    ``min(struct(order..., row...))`` per key: partial aggregation keeps a
-    hot key to one row per task before the shuffle; the order columns must
-    be unique within a key (file order: a monotonically increasing id)."""
-    rest = [c for c in df.columns if c not in key and c not in order_by]
-    packed = df.groupBy(*key).agg(F.min(F.struct(*order_by, *rest)).alias("__r"))
-    return packed.select(*key, *[F.col(f"__r.{c}").alias(c) for c in (*order_by, *rest)]).select(*df.columns)
+    rows = df.withColumns({**_file_place(df), "__rid": F.monotonically_increasing_id()})
+    rows = materialize(rows, df.sparkSession, "keep-first")
+    return rows.join(_first_ids(rows, key, order_by), "__rid", "left_semi").select(*df.columns)
 
 
 def range_filter(df: DataFrame, condition: Column) -> DataFrame:

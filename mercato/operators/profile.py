@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.functions.scalar import is_missing
-from mercato.operators.quantiles import exact_quantiles, long_values
+from mercato.operators.quantiles import interpolated, select_ranks, value_of
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -82,18 +82,24 @@ def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Full-row and key duplicate counts as pandas ``duplicated()`` counts
     them (Q3, A14, A15); a null key is a value like any other.
 
-    Two aggregations: distinct full rows (partial aggregate), then rows
-    per key. A key holding a third of the rows is collapsed map-side in both.
-    """
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
-    per_key = rows.groupBy(*key).agg(
-        F.sum("copies").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct_rows")
-    )
-    return per_key.agg(
-        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.col("n_rows") - F.col("n_distinct_rows")), F.lit(0)).alias("duplicate_rows"),
-        F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("duplicate_keys"),
+    Equal rows have equal keys, so only rows of a repeated key can be
+    duplicates: keys are counted first, and whole rows are grouped only where
+    their key occurs more than once (a semi join on the repeated keys). Rows
+    of unique keys are never shuffled whole. A key or row that a third of the
+    table shares is collapsed in each task before either shuffle."""
+    keys = [F.col(f"`{k}`") for k in key]
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    none = F.lit(0).cast("long")
+    per_key = counted.select(
+        F.col("__n").alias("row_count"), none.alias("duplicate_rows"), (F.col("__n") - 1).alias("duplicate_keys")
     )
+    repeated = counted.filter("__n > 1").select(*[k.alias(f"__k{i}") for i, k in enumerate(keys)])
+    same = [k.eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    suspects = df.join(repeated, same, "left_semi")
+    rows = suspects.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__copies"))
+    copies = rows.select(none.alias("row_count"), (F.col("__copies") - 1).alias("duplicate_rows"), none.alias("duplicate_keys"))
+    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in per_key.columns]
+    return per_key.unionByName(copies).agg(*totals)
 
 
 def negatives(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -114,27 +120,23 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, scale: int = 6
     max. Values are rounded to ``scale`` decimals."""
     cols = list(columns) if columns is not None else numeric_columns(df)
     dec = f"decimal(38,{scale})"
-    values = long_values(df, cols)
-    stats = values.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.round(F.avg("v"), scale).cast(dec).alias("mean"),
-        F.round(F.stddev_samp("v"), scale).cast(dec).alias("std"),
-        F.round(F.min("v"), scale).cast(dec).alias("min"),
-        F.round(F.max("v"), scale).cast(dec).alias("max"),
-    )
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
-    qw = q.groupBy("column_name").agg(
-        *[
-            F.round(F.max(F.when(F.col("prob") == p, F.col("value"))), scale).cast(dec).alias(name)
-            for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
-        ]
-    )
+    moments = (("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
+    aggs = [
+        F.round(f(value_of(df, c)), scale).cast(dec).alias(f"{name}_{i}") for i, c in enumerate(cols) for name, f in moments
+    ]
+    # the moments ride along with the first pass of the rank selection
+    counts, found, row = select_ranks(df, cols, [0.25, 0.5, 0.75], aggs)
+    rows = [
+        (c, counts[c], *[row[f"{name}_{i}"] for name, _ in moments], *[interpolated(counts, found, c, p) for p in (0.25, 0.5, 0.75)])
+        for i, c in enumerate(cols)
+    ]
+    fields = [f"{name} {dec}" for name, _ in moments] + [f"{q} double" for q in ("p25", "p50", "p75")]
+    out = df.sparkSession.createDataFrame(rows, f"column_name string, count long, {', '.join(fields)}")
     # every requested column appears, an all-null one with count 0 (as pandas)
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-    return names.join(stats, "column_name", "left").join(qw, "column_name", "left").select(
-        "column_name", F.coalesce("count", F.lit(0)).alias("count"),
-        "mean", "std", "min", "p25", "p50", "p75", "max",
-    )
+    return out.select(
+        "column_name", "count", "mean", "std", "min",
+        *[F.round(q, scale).cast(dec).alias(q) for q in ("p25", "p50", "p75")], "max",
+    )
 
 
 def distinct_values(df: DataFrame, exclude: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:

@@ -248,6 +248,67 @@ def q_csv_clean_report(spark, sf_dir):
     return clean.clean_report(clean.label_rows(raw, SALES_RULES))
 
 
+_MALFORMED = "(order_id % 23 = 0 OR order_id % 29 = 0)"
+
+
+@register(
+    "csv_malformed_fields",
+    covers="S1 N13 (fields whose text is not of their type, by field and reason)",
+    oracle=_LABELLED_SQL.replace("OR discount IS NULL) AS missing", f"OR discount IS NULL OR {_MALFORMED}) AS missing")
+    + f"""
+SELECT concat_ws(',', CASE WHEN order_id % 29 = 0 THEN 'delivery_days' END,
+                 CASE WHEN order_id % 23 = 0 THEN 'customer_rating' END) AS fields,
+       CASE WHEN {_MALFORMED} THEN 'malformed_field' ELSE coalesce(reject_reason, 'kept') END AS outcome,
+       COUNT(*) AS row_count
+FROM reasoned GROUP BY ALL""",
+)
+def q_csv_malformed_fields(spark, sf_dir):
+    """Ratings written as ``n/a`` (every 23rd order) and delivery days as
+    ``3 days`` (every 29th) reach the quarantine with the fields' names;
+    they take no part in medians and keep-first."""
+    path = scratch_path(spark, "sales-malformed-csv")
+    k = F.col("order_id")
+    raw = sales_raw(spark, sf_dir).withColumns(
+        {
+            "customer_rating": F.when(k % 23 == 0, F.lit("n/a")).otherwise(F.col("customer_rating").cast("string")),
+            "delivery_days": F.when(k % 29 == 0, F.lit("3 days")).otherwise(F.col("delivery_days").cast("string")),
+        }
+    )
+    files.write_table(raw, path, "csv")
+    read = files.read_sales_csv(spark, path, _RAW_CSV_SCHEMA, bad_fields=SALES_RULES.bad_fields)
+    labelled = clean.label_rows(read, SALES_RULES)
+    return labelled.groupBy(
+        F.array_join(SALES_RULES.bad_fields, ",").alias("fields"), F.coalesce("reject_reason", F.lit("kept")).alias("outcome")
+    ).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+_FILE_ORDER = ["file_no", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+@register(
+    "csv_keep_first",
+    covers="N6 S5 (several CSV files, first row in file order)",
+    oracle=f"""
+SELECT {", ".join(_FILE_ORDER)}
+FROM (SELECT *, 8 - l_linenumber AS file_no FROM lineitem)
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY {", ".join(_FILE_ORDER)}) = 1""",
+)
+def q_csv_keep_first(spark, sf_dir):
+    """Line items in CSV files whose order is that of ``file_no`` and then of
+    the row (later lines first): each order keeps the first row of the first
+    file that has one, however Spark packs the files into tasks."""
+    path = scratch_path(spark, "keep-first-csv")
+    rows = table(spark, sf_dir, "lineitem").withColumn("file_no", 8 - F.col("l_linenumber")).select(*_FILE_ORDER)
+    (
+        rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *_FILE_ORDER)
+        .sortWithinPartitions(*_FILE_ORDER)
+        .write.option("header", True)
+        .partitionBy("file_no")
+        .csv(path)
+    )
+    return clean.keep_first(files.read_table(spark, path, "csv", rows.schema), ["l_orderkey"])
+
+
 @register(
     "bucketed_customer_spend",
     covers="Y3 (bucketBy layout) A5",

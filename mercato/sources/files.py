@@ -35,10 +35,22 @@ SALES_CSV_SCHEMA = T.StructType(
 )
 
 
-def read_sales_csv(spark: SparkSession, path: str, schema: T.StructType = SALES_CSV_SCHEMA) -> DataFrame:
-    """Header CSV with an explicit schema (S1); a malformed field becomes
-    null (PERMISSIVE) and is caught by the cleaning rules."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+def read_sales_csv(
+    spark: SparkSession, path: str, schema: T.StructType = SALES_CSV_SCHEMA, bad_fields: str | None = None
+) -> DataFrame:
+    """Header CSV with an explicit schema (S1); a malformed field becomes null.
+
+    With ``bad_fields`` the text is read first and every field cast on its
+    own; a column of that name lists the fields whose text is there but is
+    not of their type. Without it nothing tells a malformed optional number
+    from a missing one. The cleaning rules send such rows to the quarantine."""
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    if bad_fields is None:
+        return reader.schema(schema).csv(path)
+    text = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])).csv(path)
+    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
+    wrong = [F.when(F.col(f"`{n}`").isNotNull() & c.isNull(), F.lit(n)) for n, c in typed.items()]
+    return text.select(*[c.alias(n) for n, c in typed.items()], F.array_compact(F.array(*wrong)).alias(bad_fields))
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:

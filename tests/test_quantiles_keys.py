@@ -15,11 +15,12 @@ from mercato.sources.synth import synth_events, synth_sales
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     values=st.lists(st.one_of(st.none(), st.integers(-5, 5), st.floats(-1e3, 1e3, allow_nan=False)), min_size=0, max_size=60),
-    buckets=st.integers(1, 7),
+    sample=st.sampled_from([2, 5, 10_000]),
+    limit=st.sampled_from([1, 4, 1000]),
 )
-def test_exact_quantiles_match_numpy(spark, values, buckets):
+def test_exact_quantiles_match_numpy(spark, values, sample, limit):
     df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double")
-    got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.75, 1.0], buckets).collect()}
+    got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.75, 1.0], sample, limit).collect()}
     clean = np.array([v for v in values if v is not None], dtype=float)
     if clean.size == 0:
         assert got == {}
@@ -37,6 +38,16 @@ def test_quantiles_hot_value(spark):
         assert got[p] == pytest.approx(float(np.quantile(arr, p)))
 
 
+def test_narrowing_leaves_few_rows_to_order(spark):
+    """Large intervals are narrowed by samples; only a small part of the column is ever ordered."""
+    df = spark.range(200_000).selectExpr("CAST((id * 7919) % 200003 AS DOUBLE) AS x", "CASE WHEN id % 3 = 0 THEN 5 ELSE id % 1000 END AS y")
+    rows = df.collect()
+    got = {(r["column_name"], r["prob"]): r["value"] for r in exact_quantiles(df, ["x", "y"], [0.01, 0.5, 0.99], 1000, 500).collect()}
+    for i, c in enumerate(("x", "y")):
+        for p in (0.01, 0.5, 0.99):
+            assert got[c, p] == pytest.approx(float(np.quantile([r[i] for r in rows], p)), rel=1e-12)
+
+
 def test_quantiles_several_columns(spark):
     df = spark.createDataFrame([(1.0, 10), (2.0, 20), (3.0, None), (4.0, 40)], "a double, b int")
     got = {(r["column_name"], r["prob"]): r["value"] for r in exact_quantiles(df, ["a", "b"], [0.5]).collect()}
