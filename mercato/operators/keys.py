@@ -12,8 +12,11 @@ written once to the shared checkpoint folder, so both uses of them agree.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -65,3 +68,40 @@ def with_surrogate_key(
         .withColumn(key_name, F.col("__offset") + F.col("__at") - F.col("__start") + 1)
         .drop("__bucket", "__at", "__start", "__offset")
     )
+
+
+def lasting_keys(
+    spark: SparkSession, path: str, names: DataFrame, name: str = "name", key_name: str = "id", group_by: Sequence[str] = ()
+) -> DataFrame:
+    """The key map ``(group..., key, name)`` stored at ``path``, after ``names`` were added to it (AUTO_INCREMENT).
+
+    A name that has a key keeps it for good, whatever later loads bring; new
+    names are numbered in their order after the greatest key of their group.
+    Known names are left out by an anti join before they are numbered, so a
+    load that brings nothing new numbers nothing, and a load that is repeated
+    changes nothing. The map is append-only: one writer at a time."""
+    group_by = list(group_by)
+    fields = [*group_by, key_name, name]
+    new = names.select(*group_by, name).filter(F.col(name).isNotNull()).distinct()
+    try:
+        known = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = None
+    if known is not None:
+        same = reduce(and_, [new[c].eqNullSafe(known[c]) for c in [*group_by, name]])
+        new = new.join(known, same, "left_anti")
+    numbered = with_surrogate_key(new, [name], key_name, group_by=group_by)
+    if known is None:
+        numbered.select(*fields).write.parquet(path)
+        return spark.read.parquet(path)
+    last = known.groupBy(*group_by).agg(F.max(key_name).alias("__last"))
+    if group_by:
+        renamed = last.select("__last", *[F.col(g).alias(f"__g_{g}") for g in group_by])
+        numbered = numbered.join(renamed, reduce(and_, [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in group_by]), "left")
+    else:
+        numbered = numbered.withColumn("__last", F.lit(last.first()["__last"]))
+    numbered = numbered.withColumn(key_name, F.col(key_name) + F.coalesce("__last", F.lit(0)))
+    numbered.select(*fields).write.mode("append").parquet(path)
+    return spark.read.parquet(path)

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from mercato.operators import rules, warehouse
 from mercato.operators.clean import keep_first
+from mercato.operators.merge import merge_table, read_merged
 from mercato.operators.upsert import upsert
 from mercato.plans.registry import register
 from mercato.plans.sql_fragments import SALES_FLAT, with_ctes
+from mercato.session import scratch_path
 from mercato.sources.tables import TABLES, sales_flat, table
 
 # The oracles state each table's definition over the staging rows: a label's
@@ -296,16 +298,16 @@ def q_fk_orphans(spark, sf_dir):
     "lookup_orphans",
     covers="J6",
     oracle="""
-SELECT o_orderkey, label FROM (
-  SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN 'no such label' ELSE o_orderpriority END AS label FROM orders)
-WHERE label = 'no such label'""",
+SELECT c_custkey, n_name AS label FROM customer JOIN nation ON n_nationkey = c_nationkey
+WHERE n_name NOT IN (SELECT n_name FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_acctbal < 0)""",
 )
 def q_lookup_orphans(spark, sf_dir):
-    """Rows that an inner join with a lookup would lose, listed instead."""
-    label = F.when(F.col("o_orderkey") % 17 == 0, F.lit("no such label")).otherwise(F.col("o_orderpriority"))
-    orders = table(spark, sf_dir, "orders")
-    known = warehouse.lookup_table(orders, "o_orderpriority", "id", "name")
-    return rules.orphans(orders.select("o_orderkey", label.alias("label")), known, ["label"], ["name"])
+    """Rows that an inner join with a lookup would lose, listed instead: customers of nations without a supplier in debt."""
+    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))  # 25 rows
+    labelled = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    debtors = table(spark, sf_dir, "supplier").filter("s_acctbal < 0").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    known = warehouse.lookup_table(debtors, "n_name", "id", "name")
+    return rules.orphans(labelled.select("c_custkey", F.col("n_name").alias("label")), known, ["label"], ["name"])
 
 
 @register(
@@ -378,3 +380,78 @@ def q_upsert(spark, sf_dir):
         (F.col("o_totalprice").cast("decimal(18,2)") + 1).alias("revenue"),
     )
     return upsert(target, updates, ["o_orderkey"], ["revenue"], now=F.expr(_NOW_TS).cast("timestamp_ntz"))
+
+
+@register(
+    "merge_two_loads",
+    covers="K6 K10 (two loads into a table stored by key hash, touched partitions replaced)",
+    oracle=f"""
+WITH target AS (
+  SELECT o_orderkey, o_custkey, o_orderpriority, CAST(o_totalprice AS DECIMAL(18,2)) AS revenue
+  FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'),
+late AS (
+  SELECT o_orderkey, o_custkey + 1 AS o_custkey, 'CHANGED' AS o_orderpriority, CAST(o_totalprice AS DECIMAL(18,2)) + 1 AS revenue
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00')
+SELECT late.o_orderkey, COALESCE(target.o_custkey, late.o_custkey) AS o_custkey,
+       COALESCE(target.o_orderpriority, late.o_orderpriority) AS o_orderpriority, late.revenue, {_NOW_TS} AS loaded_at
+FROM late LEFT JOIN target USING (o_orderkey)
+UNION ALL
+SELECT *, {_BASE_TS} FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM late)""",
+)
+def q_merge_two_loads(spark, sf_dir):
+    """A first load of the orders placed before 1999 and a second of those from 1998 on, with other values."""
+    o = table(spark, sf_dir, "orders")
+    rows = o.select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.col("o_totalprice").cast("decimal(18,2)").alias("revenue"),
+        F.expr(_BASE_TS).cast("timestamp_ntz").alias("loaded_at"),
+    )
+    day = lambda text: F.lit(text).cast("timestamp_ntz")
+    changed = rows.withColumns(
+        {"o_custkey": F.col("o_custkey") + 1, "o_orderpriority": F.lit("CHANGED"), "revenue": (F.col("revenue") + 1).cast("decimal(18,2)")}
+    )
+    base = scratch_path(spark, "merge-orders")
+    merge_table(spark, base, rows.filter(o["o_orderdate"] < day("1999-01-01 00:00:00")), ["o_orderkey"], ["revenue"])
+    late = changed.filter(o["o_orderdate"] >= day("1998-01-01 00:00:00"))
+    merge_table(spark, base, late, ["o_orderkey"], ["revenue"], now=F.expr(_NOW_TS).cast("timestamp_ntz"))
+    return read_merged(spark, base)
+
+
+_SECOND_LOAD = "order_date >= DATE '1998-01-01'"
+
+
+@register(
+    "lasting_lookup_ids",
+    covers="D1 D6 A22 (ids that last over two loads)",
+    oracle=with_ctes(SALES_FLAT, STAGING_SQL)
+    + f"""
+SELECT lookup, name, row_number() OVER (PARTITION BY lookup ORDER BY bool_or(early) DESC, name) AS id
+FROM (SELECT 'regions' AS lookup, region AS name, region > 'B' AND NOT {_SECOND_LOAD} AS early FROM staging
+      UNION ALL SELECT 'categories', product_category, region > 'B' AND NOT {_SECOND_LOAD} FROM staging
+      UNION ALL SELECT 'payments', payment_method, region > 'B' AND NOT {_SECOND_LOAD} FROM staging)
+GROUP BY lookup, name""",
+)
+def q_lasting_lookup_ids(spark, sf_dir):
+    """The first load holds early orders of some regions, the second all orders, whose other regions sort before them: known labels keep their ids."""
+    flat = staging(spark, sf_dir)
+    store = scratch_path(spark, "lookup-keys")
+    early = flat.filter((F.col("region") > "B") & ~F.expr(_SECOND_LOAD))
+    warehouse.build_warehouse(early, persist_to="first-load", key_store=store).lookups
+    return warehouse.build_warehouse(flat, persist_to="second-load", key_store=store).lookups.select("lookup", "id", "name")
+
+
+@register(
+    "fact_region_of_order",
+    covers="J1 D7 X4 (the order's own region instead of the customer's)",
+    oracle=with_ctes(SALES_FLAT, STAGING_SQL)
+    + """
+, areas AS (SELECT payment_method AS name, row_number() OVER (ORDER BY payment_method) AS id FROM staging GROUP BY payment_method)
+SELECT areas.id AS region_id, COUNT(*) AS row_count, CAST(SUM(revenue) AS DECIMAL(38,2)) AS total_revenue
+FROM staging JOIN areas ON areas.name = payment_method GROUP BY areas.id""",
+)
+def q_fact_region_of_order(spark, sf_dir):
+    """The payment method stands in for the region: a customer's orders have several, so the two rules differ."""
+    flat = staging(spark, sf_dir).withColumn("region", F.col("payment_method"))
+    wh = warehouse.build_warehouse(flat, persist_to="order-region", persist="shared", region_of="order")
+    return wh.fact_orders.groupBy("region_id").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("revenue").cast("decimal(38,2)").alias("total_revenue")
+    )
