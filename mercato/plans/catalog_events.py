@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,8 +19,10 @@ from mercato.plans.registry import register
 from mercato.session import scratch_path
 from mercato.sources.synth import synth_events, synth_sales
 from mercato.sources.tables import table
+from mercato.streaming import compaction, late, runner
 from mercato.streaming import events as ev
-from mercato.streaming import runner
+from mercato.streaming.journal import BatchJournal, last_watermark, read_journal
+from mercato.streaming.sinks import Sink, append_sink
 
 SIZE, SLIDE, WATERMARK = "1 hour", "30 minutes", "2 hours"
 
@@ -165,34 +168,47 @@ def _record_value():
     ).alias("value")
 
 
-def _run_stream_in_chunks(spark, sf_dir, output_mode: str = "update"):
-    """Append the event records to a topic folder one time-ordered chunk at
-    a time; after each chunk the checkpointed query runs with
-    ``availableNow`` and stops (a restart from the checkpoint each time:
-    offsets, watermark and window state carry over). Returns the update
-    output folder, its schema and {batch id: chunk} from the query progress."""
+def _deliver(chunked, src: str, k: int) -> None:
+    """Put the records of chunk ``k`` into the topic folder."""
+    chunked.filter(F.col("chunk") == k).select("value").write.mode("overwrite").text(f"{src}/chunk={k:04d}")
+
+
+def _read_events(spark, src: str):
+    """The topic folder as a stream of parsed events with their ``arrival`` (the chunk)."""
+    raw = runner.read_record_files(spark, src).select("value", runner.arrival_number().alias("arrival"))
+    return ev.parse_events(raw, STANDIN_SCHEMA, keep=["arrival"])[0]
+
+
+def _metrics(events):
+    return runner.metrics_stream(
+        events, "timestamp", "response_code", "response_time_ms", WATERMARK, SIZE, SLIDE, arrival_col="arrival"
+    )
+
+
+def _run_stream_in_chunks(spark, sf_dir, output_mode: str = "update", chunked=None, after=None, sinks=()):
+    """Append the event records to a topic folder one chunk at a time; after
+    each chunk the checkpointed query runs with ``availableNow`` and stops (a
+    restart from the checkpoint each time: offsets, watermark and window state
+    carry over). ``after(out, schema, journal)`` runs between the chunks.
+    Returns the update output folder and its schema."""
     src = scratch_path(spark, "event-records")
     out = scratch_path(spark, "metrics-out")
     ckpt = scratch_path(spark, "metrics-ckpt")
-    chunked = _chunked_events(spark, sf_dir).select("chunk", _record_value())
-    schema, batch_chunk = None, {}
+    journal_path = scratch_path(spark, "metrics-journal")
+    chunked = (chunked or _chunked_events(spark, sf_dir)).select("chunk", _record_value())
     for k in range(CHUNKS):
-        chunked.filter(F.col("chunk") == k).select("value").write.mode("overwrite").text(f"{src}/chunk={k:04d}")
-        raw = runner.read_record_files(spark, src)
-        events, _bad = ev.parse_events(raw, STANDIN_SCHEMA)
-        metrics = runner.metrics_stream(
-            events, "timestamp", "response_code", "response_time_ms", WATERMARK, SIZE, SLIDE
-        )
+        _deliver(chunked, src, k)
+        metrics = _metrics(_read_events(spark, src))
         schema = runner.update_schema(metrics)
+        journal = BatchJournal(spark, journal_path)
         query = runner.start_metrics_query(
             metrics, out, ckpt, trigger={"availableNow": True}, state_partitions=STATE_PARTITIONS,
-            output_mode=output_mode,
-        )
-        runner.await_or_stop(query)
-        for p in query.recentProgress:
-            if p.get("numInputRows", 0) > 0:
-                batch_chunk[int(p["batchId"])] = k
-    return out, schema, batch_chunk
+            output_mode=output_mode, sinks=sinks,
+        )
+        runner.await_or_stop(query, journal=journal)
+        if after is not None:
+            after(out, schema, journal_path)
+    return out, schema
 
 
 @register(
@@ -233,7 +249,7 @@ def _ntz_windows(df):
 def q_stream_windowed_metrics(spark, sf_dir):
     """Compacted update output of the chunked stream: equals the batch
     answer because no chunk is older than the watermark."""
-    out, schema, _ = _run_stream_in_chunks(spark, sf_dir)
+    out, schema = _run_stream_in_chunks(spark, sf_dir)
     latest = runner.compact_updates(spark, out, schema)
     return _ntz_windows(latest).select(*ev.METRIC_COLUMNS)
 
@@ -254,7 +270,7 @@ def q_stream_code_share(spark, sf_dir):
     stream. An update batch may carry only some codes of a window, so the
     share is taken over the compacted output (latest row per window and
     code), where every window has all its codes."""
-    out, schema, _ = _run_stream_in_chunks(spark, sf_dir)
+    out, schema = _run_stream_in_chunks(spark, sf_dir)
     latest = _ntz_windows(runner.compact_updates(spark, out, schema)).select(*ev.METRIC_COLUMNS)
     return ev.code_share(ev.requests_per_minute(latest))
 
@@ -271,7 +287,7 @@ def q_stream_append_metrics(spark, sf_dir):
     """The same stream in ``append`` mode: a (window, code) row is written
     once, when the watermark (latest event time - 2 h) passes the window's
     end; windows still open at the end of the input are not written."""
-    out, schema, _ = _run_stream_in_chunks(spark, sf_dir, output_mode="append")
+    out, schema = _run_stream_in_chunks(spark, sf_dir, output_mode="append")
     rows = runner.read_updates(spark, out, schema)
     return _ntz_windows(rows).select(*ev.METRIC_COLUMNS)
 
@@ -309,12 +325,158 @@ def q_stream_update_rows(spark, sf_dir):
     chunk that caused it: a (window, code) appears once per chunk that
     touched it, carrying the running count and mean over all chunks so far
     (what the reference's CSV output holds, X9)."""
-    out, schema, batch_chunk = _run_stream_in_chunks(spark, sf_dir)
-    mapping = F.create_map(*[x for b, k in sorted(batch_chunk.items()) for x in (F.lit(b), F.lit(k))])
-    updates = runner.read_updates(spark, out, schema).withColumn("chunk", F.element_at(mapping, F.col("batch_id")))
+    out, schema = _run_stream_in_chunks(spark, sf_dir)
+    updates = runner.read_updates(spark, out, schema).withColumnRenamed("last_arrival", "chunk")
     return _ntz_windows(updates).select("chunk", *ev.METRIC_COLUMNS)
 
 
+@register(
+    "stream_two_sinks",
+    covers="T13 K11 T11 T12 K12 (two outputs of one state stage, a restart in mid batch)",
+    oracle=f"SELECT s.sink, u.* FROM ({_CHUNK_SQL}) u, (VALUES ('folders'), ('appended')) s(sink)",
+)
+def q_stream_two_sinks(spark, sf_dir):
+    """Update rows to a folder per batch and to an appended table. In the
+    second chunk a third output fails after both have written; the batch comes again
+    and neither gets it twice."""
+    table_path = scratch_path(spark, "metrics-appended")
+    src, out, ckpt = (scratch_path(spark, n) for n in ("event-records", "metrics-out", "metrics-ckpt"))
+    chunked = _chunked_events(spark, sf_dir).select("chunk", _record_value())
+    broken = [1]  # the chunk at which the third output fails, once
+
+    def fails_once(batch, batch_id):
+        if broken and batch.agg(F.max("last_arrival")).first()[0] == broken[0]:
+            broken.clear()
+            raise RuntimeError("the third output is away")
+
+    outputs = [append_sink(table_path), Sink("third", fails_once)]
+    for k in range(CHUNKS):
+        _deliver(chunked, src, k)
+        for _ in range(2):
+            query = runner.start_metrics_query(
+                _metrics(_read_events(spark, src)), out, ckpt, trigger={"availableNow": True},
+                state_partitions=STATE_PARTITIONS, sinks=outputs,
+            )
+            try:
+                runner.await_or_stop(query)
+                break
+            except StreamingQueryException:
+                if broken:  # another failure than the planted one
+                    raise
+    folders = runner.read_updates(spark, out, runner.update_schema(_metrics(_read_events(spark, src))))
+    both = folders.withColumn("sink", F.lit("folders")).unionByName(
+        spark.read.parquet(table_path).withColumn("sink", F.lit("appended"))
+    )
+    return _ntz_windows(both.withColumnRenamed("last_arrival", "chunk")).select("sink", "chunk", *ev.METRIC_COLUMNS)
+
+
+@register(
+    "stream_incremental_compaction",
+    covers="T7 X9 T11 (a step after every chunk reads open windows and new batches only)",
+    oracle=SLIDING_SQL + "SELECT * FROM metrics",
+)
+def q_stream_incremental_compaction(spark, sf_dir):
+    base = scratch_path(spark, "metrics-compacted")
+
+    def step(out, schema, journal):
+        compaction.compact_step(spark, out, schema, base, last_watermark(spark, journal))
+
+    out, schema = _run_stream_in_chunks(spark, sf_dir, after=step)
+    return _ntz_windows(compaction.read_compacted(spark, out, schema, base)).select(*ev.METRIC_COLUMNS)
+
+
+@register(
+    "stream_processing_time",
+    covers="T10 T2 T11 (processing-time trigger, a file per batch)",
+    oracle=SLIDING_SQL + "SELECT * FROM metrics",
+)
+def q_stream_processing_time(spark, sf_dir):
+    """All chunks wait in the topic folder; a query with a processing-time trigger takes one file after the other."""
+    src, out, ckpt = (scratch_path(spark, n) for n in ("event-records", "metrics-out", "metrics-ckpt"))
+    chunked = _chunked_events(spark, sf_dir).select("chunk", _record_value())
+    for k in range(CHUNKS):
+        chunked.filter(F.col("chunk") == k).select("value").coalesce(1).write.text(f"{src}/chunk={k:04d}")
+    raw = runner.read_record_files(spark, src, max_files_per_trigger=1).select("value", runner.arrival_number().alias("arrival"))
+    metrics = _metrics(ev.parse_events(raw, STANDIN_SCHEMA, keep=["arrival"])[0])
+    query = runner.start_metrics_query(
+        metrics, out, ckpt, trigger={"processingTime": "100 milliseconds"}, state_partitions=STATE_PARTITIONS
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _ntz_windows(runner.compact_updates(spark, out, runner.update_schema(metrics))).select(*ev.METRIC_COLUMNS)
+
+
+# Every fortieth event arrives two chunks after the others of its time.
+_LATE_ARRIVAL = f"LEAST(chunk + CASE WHEN event_id % 40 = 0 THEN 2 ELSE 0 END, {CHUNKS - 1})"
+_LATE_SQL = f"""
+WITH bounds AS (SELECT MIN(ts) AS lo, MAX(ts) AS hi FROM events),
+ev AS (
+  SELECT e.*, CAST(LEAST(date_diff('microsecond', b.lo, e.ts)
+                         // GREATEST(1, date_diff('microsecond', b.lo, b.hi) // {CHUNKS}), {CHUNKS - 1}) AS INTEGER)
+           AS chunk
+  FROM events e, bounds b),
+arrived AS (SELECT * REPLACE ({_LATE_ARRIVAL} AS chunk) FROM ev),
+marks AS (
+  SELECT c AS chunk, (SELECT MAX(ts) FROM arrived WHERE arrived.chunk < c) - INTERVAL 2 HOUR AS watermark
+  FROM unnest(range({CHUNKS})) t(c)),
+placed AS (
+  SELECT arrived.*, unnest([time_bucket(INTERVAL 30 MINUTE, ts, TIMESTAMP '1970-01-01 00:00:00'),
+                            time_bucket(INTERVAL 30 MINUTE, ts, TIMESTAMP '1970-01-01 00:00:00') - INTERVAL 30 MINUTE])
+           AS window_start, watermark
+  FROM arrived JOIN marks USING (chunk)),
+judged AS (SELECT *, coalesce(window_start + INTERVAL 1 HOUR <= watermark, FALSE) AS closed FROM placed)
+"""
+
+
+def _late_chunks(spark, sf_dir):
+    return _chunked_events(spark, sf_dir).withColumn("chunk", F.expr(_LATE_ARRIVAL).cast("int"))
+
+
+@register(
+    "stream_late_rows",
+    covers="T5 (late events with a side output)",
+    oracle=_LATE_SQL
+    + """
+SELECT event_id, chunk AS arrival, CAST(COUNT(*) FILTER (closed) AS INTEGER) AS closed_windows,
+       CAST(COUNT(*) FILTER (NOT closed) AS INTEGER) AS open_windows
+FROM judged GROUP BY event_id, chunk HAVING COUNT(*) FILTER (closed) > 0""",
+)
+def q_stream_late_rows(spark, sf_dir):
+    """Events that arrive after some of their windows were closed, kept with what they missed."""
+    src, out, ckpt = (scratch_path(spark, n) for n in ("event-records", "late-out", "late-ckpt"))
+    chunked = _late_chunks(spark, sf_dir).select("chunk", _record_value())
+    for k in range(CHUNKS):
+        _deliver(chunked, src, k)
+        events = _read_events(spark, src)
+        runner.await_or_stop(late.start_late_router(events, out, ckpt, "timestamp", WATERMARK, SIZE, SLIDE, {"availableNow": True}))
+    return late.read_late(spark, out).select("event_id", "arrival", "closed_windows", "open_windows")
+
+
+@register(
+    "stream_metrics_without_late",
+    covers="T5 T2 T6 (windows closed by the watermark stay as they were)",
+    oracle=_LATE_SQL
+    + """
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type AS response_code, COUNT(*) AS request_count,
+       CAST(((2 * CAST(SUM(CAST(value AS DECIMAL(12,2))) * 100 AS BIGINT) + 10 * COUNT(*))
+             // (20 * COUNT(*))) * 0.1 AS DECIMAL(12,1)) AS avg_response_time_ms,
+       (SELECT COUNT(*) FROM judged WHERE closed) > 0 AS some_dropped
+FROM judged WHERE NOT closed GROUP BY window_start, event_type""",
+)
+def q_stream_metrics_without_late(spark, sf_dir):
+    """The metrics of the same arrivals: Spark leaves late rows out of closed
+    windows, and the journal says so."""
+    journals = []
+    out, schema = _run_stream_in_chunks(
+        spark, sf_dir, chunked=_late_chunks(spark, sf_dir), after=lambda out, schema, journal: journals.append(journal)
+    )
+    dropped = read_journal(spark, journals[0]).agg(F.sum("dropped_by_watermark")).first()[0]
+    latest = _ntz_windows(runner.compact_updates(spark, out, schema)).select(*ev.METRIC_COLUMNS)
+    return latest.withColumn("some_dropped", F.lit(dropped > 0))
+
+
 @register("synth_sales", covers="S14 G18 G20")
 def q_synth_sales(spark, sf_dir):
     ids = table(spark, sf_dir, "lineitem").select(

@@ -61,17 +61,19 @@ def decode_records(records: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> D
     ).select("key", *extra, "data.*")
 
 
-def parse_events(records: DataFrame, schema: T.StructType = EVENT_SCHEMA, time_col: str = "timestamp") -> tuple[DataFrame, DataFrame]:
-    """(events, bad_records) from raw records.
+def parse_events(
+    records: DataFrame, schema: T.StructType = EVENT_SCHEMA, time_col: str = "timestamp", keep: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(events, bad_records) from raw records (T1, P6, P7, F9); both carry the record columns in ``keep``.
 
     A record whose JSON does not parse or whose event time is missing can
     never enter a window; it goes to ``bad_records`` with its raw text
     instead of vanishing."""
-    text = records.select(F.col("value").cast("string").alias("raw"))
-    parsed = text.select("raw", F.from_json("raw", schema).alias("data"))
+    text = records.select(F.col("value").cast("string").alias("raw"), *keep)
+    parsed = text.select("raw", F.from_json("raw", schema).alias("data"), *keep)
     ok = F.col(f"data.{time_col}").isNotNull()
-    events = parsed.filter(ok).select("data.*")
-    bad = parsed.filter(~ok | F.col("data").isNull()).select("raw")
+    events = parsed.filter(ok).select("data.*", *keep)
+    bad = parsed.filter(~ok | F.col("data").isNull()).select("raw", *keep)
     return events, bad
 
 
@@ -91,9 +93,12 @@ def windowed_metrics(
     latency_col: str = "response_time_ms",
     size: str = "10 seconds",
     slide: str | None = "5 seconds",
+    arrival_col: str | None = None,
 ) -> DataFrame:
     """Request count and mean latency (rounded to 1) per (window, code)
     (A21, T3, T4, G17). ``slide=None`` gives tumbling windows.
+    ``arrival_col``, a label that rises with arrival (a file's number, an
+    offset), adds ``last_arrival``: an update row then says which arrival caused it.
 
     Windows are aligned to the epoch. A row with a null event time has no
     window (route such rows away first: :func:`parse_events`). The
@@ -105,12 +110,14 @@ def windowed_metrics(
         F.round(F.avg(F.col(latency_col).cast("decimal(12,2)")), 1).cast("decimal(12,1)").alias(
             "avg_response_time_ms"
         ),
+        *([F.max(arrival_col).alias("last_arrival")] if arrival_col else []),
     ).select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         "response_code",
         "request_count",
         "avg_response_time_ms",
+        *(["last_arrival"] if arrival_col else []),
     )
 
 

@@ -8,20 +8,26 @@ states, one of them without a checkpoint).
 
 The file sink of each micro-batch goes to ``<out>/batch_id=<N>/`` with
 overwrite, so a batch replayed after a failure replaces its own output
-instead of appending a second copy; :func:`compact_updates` turns the
-update rows into the latest value per (window, code).
+instead of appending a second copy; other sinks get a batch once by their
+tokens (:mod:`mercato.streaming.sinks`). :func:`compact_updates` turns the
+update rows into the latest value per (window, code), in one fold;
+:mod:`mercato.streaming.compaction` does it step by step. What each batch
+read and dropped is in the journal (:mod:`mercato.streaming.journal`).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from mercato.streaming.events import latest_per_key, windowed_metrics
+from mercato.streaming.journal import BatchJournal
+from mercato.streaming.sinks import Sink, console_sink, fan_out, folder_sink
 
 
 def read_record_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -37,6 +43,11 @@ def read_record_files(spark: SparkSession, path: str, max_files_per_trigger: int
     return reader.load(path)
 
 
+def arrival_number(folder: str = "chunk") -> Column:
+    """The N of the folder ``<folder>=N`` a record file lies in: an arrival label that travels with the rows."""
+    return F.regexp_extract(F.col("_metadata.file_path"), rf"{folder}=(\d+)", 1).cast("int")
+
+
 def metrics_stream(
     events: DataFrame,
     time_col: str = "timestamp",
@@ -45,12 +56,13 @@ def metrics_stream(
     watermark: str = "30 seconds",
     size: str = "10 seconds",
     slide: str | None = "5 seconds",
+    arrival_col: str | None = None,
 ) -> DataFrame:
     """Watermarked windowed metrics (T2, T3, T5). Rows older than the
     watermark are dropped by Spark and their window state is evicted once
     the watermark passes the window end."""
     return windowed_metrics(
-        events.withWatermark(time_col, watermark), time_col, code_col, latency_col, size, slide
+        events.withWatermark(time_col, watermark), time_col, code_col, latency_col, size, slide, arrival_col
     )
 
 
@@ -60,36 +72,15 @@ def batch_writer(
     console: bool = False,
     extra: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function.
-
-    The batch is persisted and counted once at the full width of the state
-    stage, so that stage runs once however many outputs follow; empty
-    batches are skipped. Each batch goes to its own ``batch_id=N`` folder
-    in overwrite mode (replay-safe). Only its rows (one per changed window
-    and code) are shuffled into a single file; the state stage keeps its
-    partitions."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if not batch.count():
-                return
-            tagged = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            if console:
-                tagged.show(truncate=False)
-            (
-                tagged.repartition(1)
-                .write.mode("overwrite")
-                .format(fmt)
-                .option("header", "true")
-                .save(f"{out_path.rstrip('/')}/batch_id={batch_id}")
-            )
-            if extra is not None:
-                extra(tagged, batch_id)
-        finally:
-            batch.unpersist()
-
-    return write
+    """The ``foreachBatch`` function of one file output (T6, K12, K13, F8), with the console and one more function if asked.
+
+    Nothing is remembered between batches; :func:`start_metrics_query` takes
+    sinks with tokens."""
+    sinks = [console_sink()] if console else []
+    sinks.append(folder_sink(out_path, fmt))
+    if extra is not None:
+        sinks.append(Sink("extra", extra))
+    return fan_out(sinks, None)
 
 
 def start_metrics_query(
@@ -102,9 +93,11 @@ def start_metrics_query(
     output_mode: str = "update",
     query_name: str | None = None,
     state_partitions: int | None = None,
+    sinks: Sequence[Sink] = (),
 ) -> StreamingQuery:
     """Start the checkpointed query (T10, T11, T12). ``trigger`` defaults to
-    a 15-second processing-time trigger; tests pass ``{"availableNow": True}``.
+    a 15-second processing-time trigger; ``{"availableNow": True}`` takes what is there and ends.
+    Besides the files at ``out_path`` (and the console) each batch goes once to every one of ``sinks``.
 
     ``state_partitions`` sets the shuffle/state-store partition count of the
     query. The window state holds (watermark + window) / slide windows per
@@ -112,10 +105,11 @@ def start_metrics_query(
     scale (the reference used 4). It is applied only while the query starts
     (the query keeps a copy of the session conf, and the first run writes
     the count into the checkpoint); the session value is restored."""
+    outputs = [folder_sink(out_path, fmt), *([console_sink()] if console else []), *sinks]
     trig = trigger or {"processingTime": "15 seconds"}
     writer = (
         metrics.writeStream.outputMode(output_mode)
-        .foreachBatch(batch_writer(out_path, fmt, console))
+        .foreachBatch(fan_out(outputs, f"{checkpoint.rstrip('/')}_sinks"))
         .option("checkpointLocation", checkpoint)
         .trigger(**trig)
     )
@@ -132,37 +126,26 @@ def start_metrics_query(
         spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
-def await_or_stop(query: StreamingQuery, timeout_s: float | None = None) -> None:
+def await_or_stop(query: StreamingQuery, timeout_s: float | None = None, journal: BatchJournal | None = None) -> None:
     """Block until the query ends or the timeout passes, always stopping it.
 
-    A timeout raises: what was written so far is not the whole stream."""
+    A timeout raises: what was written so far is not the whole stream. The
+    ``journal`` is written out while the query runs, and closed."""
+    limit = None if timeout_s is None else time.monotonic() + timeout_s
+    ended = False
     try:
-        ended = query.awaitTermination(timeout_s)
+        while not ended and (limit is None or time.monotonic() < limit):
+            ended = query.awaitTermination(10 if limit is None else max(0.1, min(10, limit - time.monotonic())))
+            if journal is not None:
+                journal.flush()
     finally:
         query.stop()
-    if timeout_s is not None and not ended:
+        if journal is not None:
+            journal.close(query)
+    if not ended:
         raise TimeoutError(f"the stream had not ended after {timeout_s} seconds")
 
 
-def progress_summary(query: StreamingQuery) -> list[dict]:
-    """Per micro-batch: input rows, rows the state store dropped as older
-    than the watermark (Spark counts them after the sliding-window
-    expansion, so one late event can count once per window it falls in),
-    and the watermark (T5)."""
-    out = []
-    for p in query.recentProgress:
-        ops = p.get("stateOperators", [])
-        out.append(
-            {
-                "batch_id": p["batchId"],
-                "input_rows": p.get("numInputRows", 0),
-                "dropped_by_watermark": sum(o.get("numRowsDroppedByWatermark", 0) for o in ops),
-                "watermark": p.get("eventTime", {}).get("watermark"),
-            }
-        )
-    return out
-
-
 def update_schema(metrics: DataFrame) -> T.StructType:
     """Schema of the written update rows: the metrics plus ``batch_id``."""
     return T.StructType(list(metrics.schema.fields) + [T.StructField("batch_id", T.LongType())])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from mercato.session import ensure_checkpoint_dir
 from mercato.streaming import events as ev
 from mercato.streaming import runner
+from mercato.streaming.journal import BatchJournal, read_journal
 
 UTC = dt.timezone.utc
 
@@ -80,9 +81,10 @@ def _stream_run(spark, chunks, watermark="30 seconds"):
         events, _ = ev.parse_events(raw)
         metrics = runner.metrics_stream(events, watermark=watermark)
         schema = runner.update_schema(metrics)
+        journal = BatchJournal(spark, f"{ckpt}_journal")
         q = runner.start_metrics_query(metrics, out, ckpt, trigger={"availableNow": True})
-        runner.await_or_stop(q)
-        PROGRESS.extend(runner.progress_summary(q))
+        runner.await_or_stop(q, journal=journal)
+    PROGRESS.extend(r.asDict() for r in read_journal(spark, f"{ckpt}_journal").collect())
     return out, ckpt, schema
 
 
