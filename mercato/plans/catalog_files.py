@@ -131,6 +131,48 @@ def q_format_sizes(spark, sf_dir):
     return files.size_vs(files.storage_size(spark, paths), "csv")
 
 
+@register(
+    "format_facts",
+    covers="K16 K17 (rows and files of each format, sizes against CSV)",
+    oracle="""
+SELECT f.dataset, (SELECT COUNT(*) FROM lineitem) AS row_count, f.smaller_than_csv, TRUE AS rows_in_every_file
+FROM (VALUES ('csv', FALSE), ('orc', TRUE), ('parquet', TRUE), ('parquet_by_year', TRUE)) f(dataset, smaller_than_csv)""",
+)
+def q_format_facts(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    formats = {"csv": "csv", "orc": "orc", "parquet": "parquet", "parquet_by_year": "parquet"}
+    paths = {name: scratch_path(spark, f"facts-{name}") for name in formats}
+    for name, fmt in formats.items():
+        files.write_table(li, paths[name], fmt, partition_by=["ship_year"] if name.endswith("year") else ())
+    facts = files.size_vs(files.file_facts(spark, paths, formats), "csv")
+    return facts.select(
+        "dataset", "row_count", (F.col("reduction_pct") > 0).alias("smaller_than_csv"),
+        (F.col("files") == F.col("non_empty_files")).alias("rows_in_every_file"),
+    )
+
+
+@register(
+    "cross_database_join",
+    covers="S8 K9 S7 (stored tables of two databases, one renamed)",
+    oracle="""
+SELECT o_orderpriority, COUNT(*) AS row_count, COUNT(DISTINCT c_custkey) AS customers
+FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY o_orderpriority""",
+)
+def q_cross_database_join(spark, sf_dir):
+    """Orders staged in one database and renamed there, customers in another, joined by two-part names."""
+    import uuid
+
+    tag = uuid.uuid4().hex[:12]
+    first, second = f"oltp_{tag}", f"olap_{tag}"
+    files.save_catalog_table(table(spark, sf_dir, "orders"), f"{first}.orders_flat", scratch_path(spark, "orders-flat"))
+    files.rename_catalog_table(spark, f"{first}.orders_flat", f"{first}.stg_orders_flat")
+    files.save_catalog_table(table(spark, sf_dir, "customer"), f"{second}.dim_customer", scratch_path(spark, "dim-customer"))
+    return spark.sql(
+        f"SELECT o.o_orderpriority, count(*) AS row_count, count(DISTINCT c.c_custkey) AS customers "
+        f"FROM {first}.stg_orders_flat o JOIN {second}.dim_customer c ON c.c_custkey = o.o_custkey GROUP BY o.o_orderpriority"
+    )
+
+
 @register(
     "overwrite_append",
     covers="K7 K8",

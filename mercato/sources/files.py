@@ -90,6 +90,23 @@ def rename_view(spark: SparkSession, old: str, new: str) -> DataFrame:
     return spark.table(new)
 
 
+def save_catalog_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> DataFrame:
+    """Store a frame as the external table ``database.table`` of the session catalog at ``path``."""
+    spark = df.sparkSession
+    if "." in name:
+        database = name.split(".")[0]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{path.rsplit('/', 1)[0]}/{database}.db'")
+    df.write.mode("overwrite").format(fmt).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def rename_catalog_table(spark: SparkSession, old: str, new: str) -> DataFrame:
+    """``RENAME TABLE old TO new`` of a stored table (K9): only the catalog's
+    entry changes, its files stay where they are; the old name is gone."""
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
+    return spark.table(new)
+
+
 def _row_hash(df: DataFrame):
     """A per-row hash used as the last range-partitioning column: rows
     sharing one partition or cluster value are spread over several tasks."""
@@ -192,6 +209,25 @@ def storage_size(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return out.withColumn("mb", F.round(F.col("bytes") / (1024 * 1024), 1))
 
 
+def file_facts(spark: SparkSession, paths: dict[str, str], formats: dict[str, str]) -> DataFrame:
+    """(dataset, files, non_empty_files, row_count, bytes) per dataset folder.
+
+    Rows are counted per file through the scan's file metadata: for Parquet
+    and ORC no column is read, the counts come from the files' footers. Files
+    without rows appear in the listing only."""
+    parts = []
+    for name, path in paths.items():
+        reader = spark.read.format(formats[name])
+        rows = (reader.option("header", "true") if formats[name] == "csv" else reader).load(path)
+        per_file = rows.select(F.col("_metadata.file_path").alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+        counts = per_file.agg(F.count(F.lit(1)).alias("non_empty_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"))
+        parts.append(counts.select(F.lit(name).alias("dataset"), "non_empty_files", "row_count"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return storage_size(spark, paths).join(out, "dataset").select("dataset", "files", "non_empty_files", "row_count", "bytes")
+
+
 def size_vs(sizes: DataFrame, baseline: str) -> DataFrame:
     """Add the reduction against one dataset in percent (K16). ``sizes``
     has one row per dataset, so the window over it is a handful of rows."""
