@@ -7,6 +7,14 @@ link densities of its neighbours, and classified as main text or not by a
 decision tree. The tree is trained on a small labelled table, the blocks of
 ``LABELLED``. Main blocks are joined in page order.
 
+What encloses a block is read from tags, roles and the words in ``class`` and
+``id``. Class words are only hints: one that begins with a modifier
+(``has-sidebar``, ``no-comments``) says nothing of its own, and a container
+whose class reads like a side part is taken for a layout wrapper if the page
+has no main part outside such containers and most of its plain words are in
+it. A link is an ``a`` with ``href``, up to its end tag or that of the block it
+began in.
+
 Inside a block character references are decoded and white space becomes one
 space; comments, scripts, styles, drawings, form controls and everything in
 the head are no text; formulas are. Broken markup is read as it comes: an end
@@ -50,6 +58,7 @@ SIDE_CUES = set(
     "related recommended recommendations breadcrumb breadcrumbs comment comments reply replies respond disqus discussion widget "
     "form login search copyright legal pagination pager tags toolbar skip byline meta disclaimer rail teaser teasers trending".split()
 )
+MODIFIERS = set("no not non has have with without hide is tag tags category cat type format status".split())
 MAIN_CUES = set("article content post entry story main text body prose richtext".split())
 MAIN_ROLES, SIDE_ROLES = {"main", "article"}, {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "note"}
 
@@ -63,6 +72,8 @@ END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in H
 BREAKOUT = re.compile(rf"<(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.I)  # ends a drawing, but not inside a foreign object
 OBJECT = re.compile(r"<foreignobject(?=[\s/>])", re.I)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+HREF = re.compile(r"\bhref\s*=", re.I)
+VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 WORD = re.compile(r"[^\W_]+")
 FEATURES = [
     "words", "links", "words_before", "links_before", "words_after", "links_after",
@@ -70,31 +81,81 @@ FEATURES = [
 ]
 
 
+class Container:
+    """An element whose class or id reads like a side part."""
+
+    __slots__ = ("has_main", "words")
+
+    def __init__(self):
+        self.has_main, self.words = False, 0
+
+
 class Block:
-    __slots__ = ("text", "linked", "main", "side", "tag")
+    __slots__ = ("text", "linked", "main", "side", "tag", "hints")
+
+    def __init__(self, text: str, linked: int, main: bool, side: bool, tag: str, hints: tuple[Container, ...]):
+        self.text, self.linked, self.main, self.side, self.tag, self.hints = text, linked, main, side, tag, hints
+
+    def plain_words(self) -> int:
+        return round((self.text.count(" ") + 1) * max(0.0, 1 - self.linked / len(self.text)))
+
 
-    def __init__(self, text: str, linked: int, main: bool, side: bool, tag: str):
-        self.text, self.linked, self.main, self.side, self.tag = text, linked, main, side, tag
+class Place:
+    """What encloses a block: its tag, whether it is in a main part, in a side part for sure, and in which hinted ones."""
 
+    __slots__ = ("tag", "main", "side", "hints")
 
-def _cues(tag: str, attributes: str, main: bool, side: bool) -> tuple[bool, bool]:
-    """Whether the content of a tag is inside main and inside side containers."""
+    def __init__(self, tag: str = "", main: bool = False, side: bool = False, hints: tuple[Container, ...] = ()):
+        self.tag, self.main, self.side, self.hints = tag, main, side, hints
+
+
+def _unseen(name: str, value: str) -> bool:
+    return name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", ""))
+
+
+def _inside(tag: str, attributes: str, outer: Place) -> Place:
+    """The place that a block tag opens."""
     if tag in ("html", "body"):
-        return main, side
+        return Place(tag, outer.main, outer.side, outer.hints)
     words: set[str] = set()
     roles: set[str] = set()
+    side = outer.side or tag in SIDE_TAGS or (tag == "header" and not outer.main)
     if attributes and ("=" in attributes or "hidden" in attributes):
         for name, value in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
             if name == "role":
                 roles.add(value)
             elif name in ("class", "id"):
-                words.update(WORD.findall(value))
-            elif name == "hidden" or (name == "aria-hidden" and value == "true") or "display:none" in value.replace(" ", ""):
+                for token in value.split():
+                    parts = WORD.findall(token)
+                    if parts and parts[0] not in MODIFIERS:
+                        words.update(parts)
+            elif _unseen(name, value):
                 side = True
-    own_side = tag in SIDE_TAGS or bool(words & SIDE_CUES) or bool(roles & SIDE_ROLES) or (tag == "header" and not main)
-    own_main = tag in ("article", "main") or bool(words & MAIN_CUES) or bool(roles & MAIN_ROLES)
-    return main or (own_main and not own_side), side or own_side
+    side = side or bool(roles & SIDE_ROLES)
+    hinted = bool(words & SIDE_CUES)
+    element = tag in ("article", "main") or bool(roles & MAIN_ROLES)
+    main = element or (bool(words & MAIN_CUES) and not hinted)
+    hints = (*outer.hints, Container()) if hinted else outer.hints
+    if main and not side:
+        for container in hints:
+            container.has_main = True
+    return Place(tag, outer.main or (main and not side), side, hints)
+
+
+def _settle(found: list[Block]) -> None:
+    """Decide which hinted containers are side parts and mark their blocks."""
+    outside = 0
+    for block in found:
+        if not block.side:
+            for container in block.hints:
+                container.words += block.plain_words()
+            if not block.hints:
+                outside += block.plain_words()
+    clear_main = any(b.main and not b.side and not b.hints for b in found)
+    for block in found:
+        wrappers = 0 if clear_main else sum(c.has_main and c.words > outside for c in block.hints)
+        block.side = block.side or wrappers < len(block.hints)
 
 
 def _hidden_end(page: str, name: str, at: int, ends: dict[str, tuple[int, int]]) -> int:
@@ -116,9 +177,9 @@ def _hidden_end(page: str, name: str, at: int, ends: dict[str, tuple[int, int]])
 def blocks(page: str) -> list[Block]:
     """The flat text blocks of a page in order."""
     out: list[Block] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # block tags that are open, with what they make of their content
+    open_tags: list[Place] = []  # of the block tags that are open
     parts: list[str] = []
-    linked, in_link, control, at = 0, 0, "", 0
+    linked, in_link, control, at = 0, 0, "", 0  # in_link: one more than the depth at which a link began
     ends: dict[str, tuple[int, int]] = {}
 
     def end_block() -> None:
@@ -126,8 +187,8 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                tag, main, side = open_tags[-1] if open_tags else ("", False, False)
-                out.append(Block(text, linked, main, side, tag))
+                place = open_tags[-1] if open_tags else Place()
+                out.append(Block(text, linked, place.main, place.side, place.tag, place.hints))
             parts.clear()
         linked = 0
 
@@ -149,28 +210,36 @@ def blocks(page: str) -> list[Block]:
                 control = ""
             elif not m.group(4).endswith("/"):
                 control = name
+        elif control and name == control and m.group(2):
+            control = ""
         elif name == "a":
-            in_link = 0 if m.group(2) else 1
+            in_link = 0 if m.group(2) or not HREF.search(m.group(4)) else len(open_tags) + 1
         elif name == "br":
             parts.append(" ")
-        elif name in BLOCK:
+        elif name not in BLOCK:
+            if not control and not m.group(2) and name not in VOID and not m.group(4).endswith("/") and m.group(4):
+                if any(_unseen(n.lower(), v.strip("\"'").lower()) for n, v in ATTRIBUTE.findall(m.group(4))):
+                    control = name  # up to its end tag or the next block
+        else:
             end_block()
             control = ""
             if m.group(2):
                 for i in range(len(open_tags) - 1, -1, -1):
-                    if open_tags[i][0] == name:
+                    if open_tags[i].tag == name:
                         del open_tags[i:]
                         break
             elif not m.group(4).endswith("/") and name != "hr":
-                if name in ("p", "li") and open_tags and open_tags[-1][0] == name:
+                if name in ("p", "li") and open_tags and open_tags[-1].tag == name:
                     open_tags.pop()  # a paragraph or item ends where the next one starts
-                _, main, side = open_tags[-1] if open_tags else ("", False, False)
-                open_tags.append((name, *_cues(name, m.group(4), main, side)))
+                open_tags.append(_inside(name, m.group(4), open_tags[-1] if open_tags else Place()))
+            if len(open_tags) < in_link - 1:
+                in_link = 0
     if at < len(page) and not control:
         parts.append(page[at:])
         if in_link:
             linked += len(page[at:].strip())
     end_block()
+    _settle(out)
     return out
 
 
@@ -221,6 +290,11 @@ LABELLED = [
     ("<div>Menu</div><div>Login</div><h1>Notes</h1><p>We met at the station.</p><p>It was late.</p><div>Imprint</div><div>Terms of use</div>", "0011100"),
     (f"<div class='main'><p>{_SHORT}</p><p>Yes</p><p>{_AD}</p></div><p>{_AD}</p>", "1110"),
     ("<div><a href=1>One</a></div><div><a href=2>Two links here</a></div><div>Menu</div>", "000"),
+    (f"<div class='layout has-sidebar'><nav><ul>{_LINKS}</ul></nav><article><h1>A</h1><p>{_LONG}</p></article><div class='sidebar'><p>{_AD}</p></div></div>", "0000" "11" "0"),
+    (f"<div class='page sidebar-right'><div class='content'><h1>A</h1><p>{_LONG}</p></div><div class='sidebar'><p>{_AD}</p></div></div><footer>Imprint</footer>", "11" "0" "0"),
+    (f"<nav><a href=1>Home</a></nav><article><p>First.</p><div class='banner'>{_AD}</div><p>Two</p></article>", "0" "101"),
+    (f"<nav><a href=1>Home</a></nav><main><h1>A</h1><p>{_LONG}</p><div class='banner'>{_AD}</div><p>Two</p><div>three</div></main><div>Imprint</div>", "0" "110" "11" "0"),
+    (f"<div><h1>A</h1><p>{_LONG}</p><p>{_LONG}</p></div><section class='comments'><article><p>{_LONG}</p></article></section>", "111" "0"),
 ]
 
 
@@ -260,3 +334,9 @@ def extract(pages: DataFrame) -> DataFrame:
 
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     return rows.mapInArrow(run, schema)
+
+
+def empty_share(extracted: DataFrame) -> DataFrame:
+    """``pages, empty, share``: how many pages gave no text, the first thing to look at on an unknown crawl."""
+    empty = F.count_if(F.col("n_chars") == 0)
+    return extracted.agg(F.count("*").alias("pages"), empty.alias("empty"), F.try_divide(empty, F.count("*")).alias("share"))

@@ -140,7 +140,7 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # the byte-level alphabet
         self.alphabet = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(plain))}
@@ -197,7 +197,29 @@ class _Encoder:
             self.known[key] = k
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each followed by the end token, and the texts' borders in them."""
+        """Ids of all texts, each followed by the end token, and the texts' borders in them.
+
+        The tokenizer finds the strings of its special tokens anywhere, also
+        inside words; a text that holds one is given to it whole."""
+        data = buf.tobytes()
+        if not any(s in data for s in self.special):
+            return self._encode_words(buf, offsets)
+        ids, sizes, lo = [], [], 0
+        for i in range(len(offsets)):
+            text = data[offsets[i] : offsets[i + 1]] if i + 1 < len(offsets) else None
+            if text is not None and not any(s in text for s in self.special):
+                continue
+            if i > lo:  # the texts before
+                part, borders = self._encode_words(buf[offsets[lo] : offsets[i]], offsets[lo : i + 1] - offsets[lo])
+                ids.append(part)
+                sizes.append(np.diff(borders))
+            if text is not None:
+                ids.append(np.array([*self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, END_ID], np.int32))
+                sizes.append(np.array([len(ids[-1])]))
+            lo = i + 1
+        return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
+    def _encode_words(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         words = Words(buf, offsets, lower=True, breaks=self._breaks(buf))
         uniq, where, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
         if len(self.known) + len(uniq) > CACHED_WORDS:

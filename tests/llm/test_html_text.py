@@ -40,6 +40,46 @@ def test_pages(page, want):
     assert text_of(page) == want
 
 
+STORY = "<h1>Title</h1><p>The story of the old bridge, which the town wants to keep.</p><p>It was short.</p>"
+TOLD = "Title\nThe story of the old bridge, which the town wants to keep.\nIt was short."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='layout has-sidebar'><article>{STORY}</article></div>",
+        f"<main class='no-sidebar'>{STORY}</main>",
+        f"<article class='post tags-news'>{STORY}</article>",
+        f"<div id='content' class='with-header'>{STORY}</div>",
+        f"<div class='post-content no-comments'>{STORY}</div>",
+        f"<div class='page sidebar-left'><nav><a href=x>Home</a></nav><div class='content'>{STORY}</div><div class='sidebar'><p>Most read stories of the week.</p></div></div>",
+        f"<div class='header-fixed'><main>{STORY}</main></div><footer>Imprint</footer>",
+        f"<article class='widget'>{STORY}</article>",
+        f"<article>{STORY}</article><section class='comments'><article><p>I like this story a lot, thank you for it, and I hope that there are more like it.</p></article></section>",
+        f"<div class='related'><article><p><a href=x>Another story</a></p></article></div><article>{STORY}</article>",
+    ],
+)
+def test_class_words_are_hints(page):
+    assert text_of(page) == TOLD
+
+
+def test_links_and_hidden_parts():
+    plain = "<p>It rained for two days and then the sun came out.</p>"
+    told = "It rained for two days and then the sun came out."
+    assert text_of(f"<article><a name=top>{plain * 3}</article>") == "\n".join([told] * 3)
+    assert text_of(f"<div><a name=top></div>{plain}{plain}{plain}") == "\n".join([told] * 3)
+    assert text_of(f"<div><a href=x>Home</div>{plain}{plain}") == "\n".join([told] * 2)
+    assert text_of(f"<article>{plain}<p>One <span hidden>two <b>and</b></span> three <i style='display: none'>four</i> five</p></article>") == told + "\nOne three five"
+
+
+def test_empty_share_and_extra_columns(spark):
+    rows = [(1, "u", "<p>One sentence is here.</p>", 7), (2, "u", "", 7), (3, "u", None, 7)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    assert tuple(html_text.empty_share(html_text.extract(pages)).first()) == (3, 2, 2 / 3)
+    long = spark.createDataFrame([(1, "u", f"<article>{'<p>The word is long.</p>' * 20_000}</article>")], "page_id long, url string, html string")
+    assert html_text.extract(long).first().n_chars == 20_000 * 18 - 1
+
+
 def test_long_broken_pages_are_linear():
     for page in ("<" * 200_000, "<p " * 60_000, "<a href='" * 50_000, "&" * 200_000, "<div>" * 20_000 + "x", "<!--" * 50_000):
         text_of(page)

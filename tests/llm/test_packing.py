@@ -55,14 +55,13 @@ def test_segment_tree_finds_the_tightest():
         assert tree.at_least(q) == min((x for x in on if x >= q), default=None)
 
 
-TRICKY = ["it's we'll.  a—b. “x”. 3.14, É. foo.,bar (x) [y] İ ß. Σας. ×. ÷,  z '.s", "<|endoftext|> x", "", None, "a\x00b \x1c c"]
+TRICKY = ["it's we'll.  a—b. “x”. 3.14, É. foo.,bar (x) [y] İ ß. Σας. ×. ÷,  z '.s", "<|endoftext|> x", "a<|endoftext|>b  <|startoftext|>", "<|ENDOFTEXT|> x <|endoftext", "", None, "a\x00b \x1c c"]
 
 
 def test_ids_equal_the_tokenizer(spark):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(packing.default_vocabulary())
-    whole.encode_special_tokens = True
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
     texts += TRICKY
     encoder, got = packing._Encoder(packing.default_vocabulary()), []
@@ -78,7 +77,6 @@ def check_rows(rows, texts):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(packing.default_vocabulary())
-    whole.encode_special_tokens = True
     by_seq, by_doc = {}, {}
     for r in rows:
         by_seq.setdefault(r.sequence_id, []).append((r.offset, r.length))
