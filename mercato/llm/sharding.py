@@ -8,16 +8,25 @@ until no move makes them more equal, and the edited map is stored as the
 next version. Records are never ranked or moved one by one, only the map
 is.
 
-A slot that holds more than ``1 / HOT_PARTS`` of an average shard (many
-repeated rows, one very frequent key) is divided into ``PARTS`` parts by a
-salt that was drawn when the records were staged, and its parts move like
-slots. At most ``shards * HOT_PARTS`` slots can be that large, so the map
-and all that reaches the driver are bounded by the parameters.
+The map lives in a folder (``map_path``) with all its versions. A later call
+loads the latest one, edits that and stores the result as the next version,
+unless the loads are within ``SLACK`` of each other as they are. Records of
+slots that were not edited stay where they were; more shards than before take
+slots only by edits.
+
+A slot that holds more than ``1 / HOT_PARTS`` of an average shard is divided
+into ``PARTS`` parts by a second hash of the record plus the number of its
+copy, so also the copies of one repeated row are spread; its parts move like
+slots, and it stays divided in later versions. Slot and part follow from the
+record and not from files, splits or tasks: reading the corpus again moves
+nothing. At most ``shards * HOT_PARTS`` slots can be that large at a time, so
+the map and all that reaches the driver are bounded by the parameters.
 
 The law is ``bytes``: shard sizes are as near equal as whole slots allow.
 Null texts have no bytes (size 8, checksum of nothing), null ids hash like
-any other value, repeated rows are placed one by one, an empty table gives
-an empty result.
+any other value, repeated rows are placed one by one, very long texts are one
+record each, an empty table gives an empty result. Other columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations
@@ -25,17 +34,19 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_right, insort
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.frames import running_base
-from mercato.session import materialize
+from mercato.session import materialize, scratch_path
 
 SHARDS = 24
 SLOTS = 4096
 PARTS = 64
 HOT_PARTS = 16
 ROW_BYTES = 8
+SLACK = 0.01  # a stored map is edited if the heaviest and the lightest shard differ by more of the mean
 WHOLE = -1  # the part number of an undivided slot
 
 Unit = tuple[int, int]  # slot, part
@@ -80,39 +91,97 @@ def rebalanced(current: SlotMap, sizes: dict[Unit, int], shards: int) -> SlotMap
     return out
 
 
-def assign(spark: SparkSession, docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+def fitted(current: SlotMap, units: list[Unit], shards: int) -> SlotMap:
+    """``current`` over other units: the parts of a newly divided slot start where it was."""
+    out = {}
+    for slot, part in units:
+        shard = current.get((slot, part), current.get((slot, WHOLE), slot % shards))
+        out[slot, part] = shard if shard < shards else slot % shards
+    return out
+
+
+def spread(current: SlotMap, sizes: dict[Unit, int], shards: int) -> float:
+    """The difference between the heaviest and the lightest shard as a share of the mean."""
+    load = [0] * shards
+    for unit, shard in current.items():
+        load[shard] += sizes.get(unit, 0)
+    return (max(load) - min(load)) * shards / max(1, sum(load))
+
+
+def next_map(stored: SlotMap | None, sizes: dict[Unit, int], units: list[Unit], shards: int) -> list[SlotMap]:
+    """The versions to be added: two for a new map, at most one to a stored one."""
+    if stored is None:
+        start = first_map(units, shards)
+        return [start, rebalanced(start, sizes, shards)]
+    kept = fitted(stored, units, shards)
+    if spread(kept, sizes, shards) > SLACK:
+        kept = rebalanced(kept, sizes, shards)
+    return [] if kept == stored else [kept]
+
+
+def latest_map(spark: SparkSession, map_path: str) -> tuple[int, SlotMap | None]:
+    """The number and content of the last stored version; 0 and None where there is none."""
+    try:
+        table = spark.read.parquet(map_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, None
+    last = table.agg(F.max("map_version")).first()[0]
+    rows = table.filter(F.col("map_version") == last).collect()  # bounded by the numbers of slots and parts
+    return last, {(r["virtual_slot"], r["part"]): r["shard"] for r in rows}
+
+
+def with_parts(records: DataFrame, shards: int, divided: set[int]) -> tuple[DataFrame, dict[Unit, int]]:
+    """Records with their unit (``virtual_slot, part``), and the bytes of each unit; ``divided`` slots stay divided."""
+    spark = records.sparkSession
+    # at most SLOTS rows
+    slots = {r[0]: r[1] for r in records.groupBy("virtual_slot").agg(F.sum("size")).collect()}
+    limit = sum(slots.values()) / (shards * HOT_PARTS)
+    hot = sorted(divided | {s for s, b in slots.items() if b > limit})
+    sizes: dict[Unit, int] = {(s, WHOLE): slots.get(s, 0) for s in range(SLOTS) if s not in set(hot)}
+    if not hot:
+        return records.withColumn("part", F.lit(WHOLE)), sizes
+    inside = F.col("virtual_slot").isin(hot)
+    rows = records.filter(inside)
+    counts = materialize(rows.groupBy("pid", "key").agg(F.count("*").alias("n")), spark, "shard_copies")
+    copy = F.row_number().over(Window.partitionBy("pid", "key").orderBy("place")) - 1 + F.col("base")
+    rows = rows.join(running_base(counts, "key"), ["pid", "key"]).withColumn("copy", copy)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(F.lit(1), "key") + F.col("copy"), F.lit(PARTS)).cast("int"))
+    rest = records.filter(~inside).withColumn("part", F.lit(WHOLE))
+    units = materialize(rest.unionByName(rows.select(*rest.columns)), spark, "shard_units")
+    # at most PARTS rows per divided slot
+    found = units.filter(inside).groupBy("virtual_slot", "part").agg(F.sum("size").alias("b")).collect()
+    sizes |= {(s, p): 0 for s in hot for p in range(PARTS)} | {(r["virtual_slot"], r["part"]): r["b"] for r in found}
+    return units, sizes
+
+
+def assign(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, map_path: str | None = None) -> DataFrame:
     """Every row's shard and its place there.
 
     ``doc_id, size, text_crc32, law, shard, slot`` (the row's place in its
     shard, gapless from 0), ``grown_shard`` (null under this law),
-    ``virtual_slot`` and ``map_version``."""
+    ``virtual_slot`` and ``map_version``. The slot map at ``map_path`` is
+    loaded, edited and stored; without a path a new map is made."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    records = materialize(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
-            F.crc32(text.cast("binary")).alias("text_crc32"),
-            F.pmod(F.xxhash64(F.col("doc_id").cast("long"), text), F.lit(SLOTS)).cast("int").alias("virtual_slot"),
-            F.spark_partition_id().alias("pid"),
-            F.monotonically_increasing_id().alias("place"),
-        ).withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(PARTS)).cast("int")),
-        spark,
-        "records",
-    )
-    # at most SLOTS rows
-    slots = {r[0]: r[1] for r in records.groupBy("virtual_slot").agg(F.sum("size")).collect()}
-    hot = {s for s, b in slots.items() if b * shards * HOT_PARTS > sum(slots.values())}
-    sizes: dict[Unit, int] = {(s, WHOLE): b for s, b in slots.items() if s not in hot}
-    if hot:  # at most shards * HOT_PARTS * PARTS rows
-        parts = records.filter(F.col("virtual_slot").isin(sorted(hot))).groupBy("virtual_slot", "salt")
-        sizes |= {(r[0], r[1]): r[2] for r in parts.agg(F.sum("size")).collect()}
-    versions = [first_map([(s, WHOLE) for s in range(SLOTS) if s not in hot] + [u for u in sizes if u[1] != WHOLE], shards)]
-    versions.append(rebalanced(versions[0], sizes, shards))
-    table = stored_map(spark, versions)
-    now = table.filter(F.col("map_version") == len(versions))
-    part = F.when(F.col("virtual_slot").isin(sorted(hot)), F.col("salt")).otherwise(F.lit(WHOLE)) if hot else F.lit(WHOLE)
+    records = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.xxhash64(F.col("doc_id").cast("long"), text).alias("key"),
+        F.spark_partition_id().alias("pid"),
+        F.monotonically_increasing_id().alias("place"),
+    ).withColumn("virtual_slot", F.pmod("key", F.lit(SLOTS)).cast("int"))
+    path = map_path or scratch_path(spark, "slot_map")
+    last, stored = latest_map(spark, path)
+    divided = {s for s, part in stored or {} if part != WHOLE}
+    records, sizes = with_parts(materialize(records, spark, "records"), shards, divided)
+    versions = next_map(stored, sizes, sorted(sizes), shards)
+    if versions:
+        store_map(spark, path, versions, last + 1)
     # the map is bounded by the numbers of slots and parts
-    placed = records.withColumn("part", part).join(F.broadcast(now), ["virtual_slot", "part"])
+    now = spark.read.parquet(path).filter(F.col("map_version") == last + len(versions))
+    placed = records.join(F.broadcast(now), ["virtual_slot", "part"])
     counts = materialize(placed.groupBy("pid", "shard").agg(F.count("*").alias("n")), spark, "shard_counts")
     rank = F.row_number().over(Window.partitionBy("pid", "shard").orderBy("place")) - 1
     return (
@@ -132,9 +201,8 @@ def assign(spark: SparkSession, docs: DataFrame, shards: int = SHARDS) -> DataFr
     )
 
 
-def stored_map(spark: SparkSession, versions: list[SlotMap]) -> DataFrame:
-    """All versions as a written table: the first whole, later ones whole as well, so any can be read alone."""
-    rows = [(v, s, p, shard) for v, m in enumerate(versions, 1) for (s, p), shard in sorted(m.items())]
-    return materialize(
-        spark.createDataFrame(rows, "map_version int, virtual_slot int, part int, shard int"), spark, "slot_map"
-    )
+def store_map(spark: SparkSession, map_path: str, versions: list[SlotMap], first: int) -> None:
+    """Append versions, each whole, so any can be read alone."""
+    rows = [(v, s, p, shard) for v, m in enumerate(versions, first) for (s, p), shard in sorted(m.items())]
+    table = spark.createDataFrame(rows, "map_version int, virtual_slot int, part int, shard int")
+    table.coalesce(1).write.mode("append").parquet(map_path)
