@@ -123,8 +123,9 @@ good AS (SELECT *, CASE lang {" ".join(f"WHEN '{k}' THEN w_{k}" for k in LANGUAG
 verdict AS (
   SELECT doc_id, {near} AS jc, min({_divergence('(' + common + ')', 'rw', _COMMON)}) AS jw FROM f, {last} AS refs GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND jc <= CASE WHEN n_words >= {MIN_WORDS} THEN {MAX_CLASS} ELSE {MAX_CLASS_SHORT} END
-         AND (n_words < {MIN_WORDS} OR jw <= {MAX_WORDS}) AS kept
+       NOT base_failed AND (coalesce(f.lang NOT IN (SELECT lang FROM {last}), TRUE)
+         OR jc <= CASE WHEN n_words >= {MIN_WORDS} THEN {MAX_CLASS} ELSE {MAX_CLASS_SHORT} END
+            AND (n_words < {MIN_WORDS} OR jw <= {MAX_WORDS})) AS kept
 FROM f JOIN verdict USING (doc_id)"""
 
 

@@ -13,14 +13,17 @@ far from it and the sums are taken again (``REFINEMENTS``): at most one row
 per language reaches the driver, whatever the corpus.
 
 A document is kept if the base rules pass and it is near the reference of
-any language. Histograms of short texts are noisy, so the limits are guarded
+any language. That is asked only of documents whose own language has a
+reference: for another ``lang``, or none, there is nothing to measure against
+(a text in a script of its own is far from all of them), and the base rules
+decide alone. Histograms of short texts are noisy, so the limits are guarded
 by length: below ``MIN_WORDS`` words only a gross divergence of character
 classes counts, and common words are not looked at.
 
-Null texts have no words and fail the base rules. Null or unknown ``lang``
-only keeps a row out of the references. Rows are judged one by one, so
-repeated rows get equal verdicts. Without any reference (an empty table, no
-known language) the base rules decide alone.
+Null texts have no words and fail the base rules. Very long texts are read
+whole. Rows are judged one by one, so
+repeated rows get equal verdicts. An empty table has no references and gives
+an empty result. Extra columns, whatever their names, do not take part.
 """
 
 from __future__ import annotations
@@ -205,7 +208,8 @@ def verdict(refs: References) -> Column:
     long_enough = F.col("n_words") >= MIN_WORDS
     far = F.when(long_enough, _nearest(refs, True) > MAX_CLASS).otherwise(_nearest(refs, True) > MAX_CLASS_SHORT)
     odd = long_enough & (_nearest(refs, False) > MAX_WORDS)
-    return passed & ~far & ~odd
+    measured = F.coalesce(F.col("lang").isin(sorted(refs)), F.lit(False))
+    return passed & ~(measured & (far | odd))
 
 
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -225,10 +229,10 @@ def assess(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, columns unchanged."""
-    refs = references(feature_table(spark, docs))
-    rows = with_features(docs.select(F.struct(*docs.columns).alias("__row"), "text", "lang"))
-    # A filter on computed columns would be pushed below them, and their expressions copied into it
-    # once for each use; a column that is not deterministic keeps it where it is.
-    rows = rows.select("__row", verdict(refs).alias("__kept"), F.monotonically_increasing_id().alias("__place"))
-    return rows.filter(F.col("__kept") & (F.col("__place") >= 0)).select("__row.*")
+    """The rows of ``docs`` that the rules keep, columns unchanged.
+
+    Rows are written once with their features, so each text is read through
+    once; the references read only the histograms of that table."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text", "lang")
+    table = materialize(with_features(rows).drop("text"), spark, "quality_rows")
+    return table.filter(verdict(references(table))).select("__row.*")

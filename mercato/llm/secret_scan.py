@@ -1,13 +1,15 @@
 """Secret scan with a trigram inverted index, in DataFrame functions only.
 
 A rule's regex is parsed, and a Boolean query of trigrams that every match
-must contain is derived from it: alternatives, each a set of trigrams. The
+must contain is derived from it: all of several clauses (one for each
+mandatory run of the regex), each any of some alternatives, each all of a set
+of trigrams. The
 inverted index holds, for each trigram that some query names, the documents
 in whose lower-cased text it occurs (one posting row each, written once).
 A query is answered by intersecting postings: posting rows are joined with
 the alternatives that name their trigram (a fixed, small table) and counted
-per document and alternative; a full count makes the document a candidate
-of the rule. Candidates are verified with the regex itself. Rules without
+per document and alternative; a document that completes an alternative of
+every clause is a candidate of the rule. Candidates are verified with the regex itself. Rules without
 mandatory trigrams scan all documents.
 
 Documents are keyed by id and a hash of their text, so postings of rows that
@@ -44,17 +46,18 @@ RULES = [
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
     Rule("access", r"AKIA[A-Z0-9]+", 16),
     Rule("hex", r"[0-9a-f]{32,}", 32),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("bearer", r"(?i:bearer)\x20+[A-Za-z0-9._~+/-]{20,}"),
-    Rule("url_password", r"[a-z]{1,12}://[A-Za-z0-9._-]{1,64}:[^\x20\x09-\x0D:/@]{4,64}@"),
+    Rule("url_password", r"[a-z]+://[A-Za-z0-9._-]+:[^\x20\x09-\x0D:/@]{4,}@"),
 ]
 BASE_KINDS = ["assign", "access", "hex"]
 
-Query = set[frozenset[str]]  # any of the sets; all trigrams of a set
+Clause = frozenset[frozenset[str]]  # any of the sets; all trigrams of a set
+Query = set[Clause]  # all clauses
 
 
 def trigrams(s: str) -> frozenset[str]:
@@ -64,7 +67,7 @@ def trigrams(s: str) -> frozenset[str]:
 def trigram_query(pattern: str) -> Query | None:
     """Trigrams (lower case) that every match contains; None if there are none to rely on."""
     parser = re._parser
-    best: list[Query] = []
+    found: Query = set()
 
     def literals(node) -> set[str] | None:
         """All texts a node can match, if they are few."""
@@ -108,7 +111,7 @@ def trigram_query(pattern: str) -> Query | None:
     def close(run: set[str]) -> None:
         if all(len(s) >= 3 for s in run):
             sets = {trigrams(s) for s in run}
-            best.append({s for s in sets if not any(t < s for t in sets)})
+            found.add(frozenset(s for s in sets if not any(t < s for t in sets)))
 
     def walk(nodes) -> None:
         run = {""}
@@ -126,12 +129,11 @@ def trigram_query(pattern: str) -> Query | None:
         close(run)
 
     walk(list(parser.parse(pattern)))
-    # all runs are mandatory; the one with the fewest alternatives selects best
-    return min(best, key=lambda q: (len(q), -min(map(len, q)))) if best else None
+    return found or None  # all runs are mandatory
 
 
 QUERIES = {r.kind: q for r in RULES if (q := trigram_query(r.pattern))}
-GRAMS = sorted({g for q in QUERIES.values() for s in q for g in s})
+GRAMS = sorted({g for q in QUERIES.values() for clause in q for s in clause for g in s})
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -151,17 +153,21 @@ def candidates(spark: SparkSession, index: DataFrame) -> DataFrame:
     """``(doc_id, text_key, rules)``: the indexed rules whose query the document satisfies."""
     number = {g: i for i, g in enumerate(GRAMS)}
     table = [
-        (kind, alternative, len(grams), number[g])
-        for kind, q in QUERIES.items()
-        for alternative, grams in enumerate(sorted(map(sorted, q)))
+        (kind, clause, len(query), alternative, len(grams), number[g])
+        for kind, query in QUERIES.items()
+        for clause, sets in enumerate(sorted(sorted(map(sorted, c)) for c in query))
+        for alternative, grams in enumerate(sets)
         for g in grams
     ]
-    queries = spark.createDataFrame(table, "kind string, alternative int, need int, gram int")
+    queries = spark.createDataFrame(table, "kind string, clause int, clauses int, alternative int, need int, gram int")
     met = (
         index.join(F.broadcast(queries), "gram")  # as large as the rule set
-        .groupBy("doc_id", "text_key", "kind", "alternative", "need")
+        .groupBy("doc_id", "text_key", "kind", "clause", "clauses", "alternative", "need")
         .agg(F.size(F.collect_set("gram")).alias("n"))
         .filter("n = need")
+        .groupBy("doc_id", "text_key", "kind", "clauses")
+        .agg(F.size(F.collect_set("clause")).alias("n"))
+        .filter("n = clauses")
     )
     return met.groupBy("doc_id", "text_key").agg(F.collect_set("kind").alias("rules"))
 

@@ -96,3 +96,27 @@ def test_divergence_is_jensen_shannon(spark, counts):
     want = sum((a * log2(a / c) if a else 0) + (b * log2(b / c) if b else 0) for a, b, c in zip(p, ref, m, strict=True)) / 2
     got = spark.range(1).select(quality.divergence(F.array(*[F.lit(c).cast("long") for c in counts]), ref)).first()[0]
     assert abs(got - want) < 1e-12
+
+
+def test_languages_without_a_reference_are_not_measured(spark):
+    """A clean text in another script stays if its language is none of the known ones, or not given."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    words = [chr(0x430 + i % 30) * (2 + i % 7) + chr(0x430 + i // 7 % 30) for i in range(200)]
+    odd = [(9_000 + k, " ".join(words), lang) for k, lang in enumerate(["ru", None, "en"])]
+    kept = {r.doc_id: r.kept for r in quality.assess(spark, docs.unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string"))).collect()}
+    assert [kept[9_000], kept[9_001], kept[9_002]] == [True, True, False]
+
+
+def test_native(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for df in (quality.assess(spark, docs), quality.keep_good(spark, docs), quality.with_features(docs)):
+        plan = df._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_kept_rows_are_those_judged_good(spark, clashing_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    kept = {r.doc_id for r in quality.assess(spark, docs).collect() if r.kept}
+    good = quality.keep_good(spark, docs)
+    assert good.columns == docs.columns and {r.doc_id for r in good.collect()} == kept
+    assert quality.keep_good(spark, clashing_docs).columns == clashing_docs.columns

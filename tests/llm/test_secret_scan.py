@@ -59,17 +59,30 @@ def test_queries_are_necessary(rule):
     for _, text in HARD:
         for m in re.finditer(rule.pattern, text):
             grams = secret_scan.trigrams(m.group().lower())
-            assert query is None or any(s <= grams for s in query)
+            assert query is None or all(any(s <= grams for s in clause) for clause in query)
 
 
 def test_trigram_queries():
-    q = secret_scan.trigram_query
-    assert q("abcd") == {frozenset({"abc", "bcd"})}
-    assert q("(abc|xyz)[0-9]+") == {frozenset({"abc"}), frozenset({"xyz"})}
-    assert q("ab?cd") == {frozenset({"abc", "bcd"}), frozenset({"acd"})}
+    def q(pattern):
+        found = secret_scan.trigram_query(pattern)
+        return found and {frozenset(frozenset(x) for x in clause) for clause in found}
+
+    def clause(*sets):
+        return frozenset(frozenset(s.split()) for s in sets)
+
+    assert q("abcd") == {clause("abc bcd")}
+    assert q("(abc|xyz)[0-9]+") == {clause("abc", "xyz")}
+    assert q("ab?cd") == {clause("abc bcd", "acd")}
+    assert q("abc[0-9]+xyz") == {clause("abc"), clause("xyz")}  # both runs are asked for
     assert q("[0-9a-f]+") is None and q("a[0-9]b") is None
 
 
+def test_candidates_hold_every_run(spark, frame):
+    docs = frame([(1, "-----BEGIN RSA PRIVATE KEY-----"), (2, "private key----- only"), (3, "-----begin and nothing"), (4, "secret=abcdefgh")])
+    found = secret_scan.candidates(spark, secret_scan.postings(spark, docs)).collect()
+    assert {r.doc_id: sorted(r.rules) for r in found} == {1: ["private_key"], 4: ["assign"]}
+
+
 def test_native(spark):
     plan = secret_scan.scan(spark, spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
