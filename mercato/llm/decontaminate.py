@@ -18,15 +18,29 @@ A token's type depends on what stands before it and on its case. So windows
 have further readings on both sides: names as plain words (a copy in other
 case may still change its numbers), and the first token as a plain word.
 
-The benchmark is an evaluation set and does not grow with the corpus; still
-its size is checked: it is taken in slices of at most ``SLICE_BYTES`` of
-text, one pass over the documents each, so the table held in a task is
-bounded and every item is compared with every document. Documents are read
-where they are; nothing but the hits leaves a task.
+Everything is a join of tables:
+
+* Items of one template (equal codes, and equal slots in the same places) are
+  one class; :func:`members` lists them. A benchmark of thousands of
+  arithmetic questions of one form is one class, and a document that holds
+  one of them is one row, not thousands.
+* ``item_windows`` has a row per window hash, class and place.
+* A pass over the documents looks their windows up in a bit filter of the
+  item hashes (at most ``2 ** FILTER_BITS`` bits, whatever the benchmark), and
+  keeps the windows that it may hold, with their tokens.
+* These are hash-joined with the item windows by Spark, which broadcasts
+  either side only below its size limit, and the runs of each document
+  and class are checked.
+
+Only windows that the filter lets through are shuffled. :func:`clean` writes the
+documents once with them: a document without any is kept as it is, the
+others are joined with the confirmed matches.
 
 Null texts, and null items or items without tokens, match nothing; an item
-shorter than a window is matched whole. Repeated rows are
-reported once per row. Empty tables give empty results.
+shorter than a window is matched whole. Repeated rows, and rows without an id, are
+reported once per row. Very long texts are read whole, as one chunk. Empty
+tables give empty results. Other columns, whatever their names, are kept by :func:`clean`
+and ignored by :func:`matches`.
 """
 
 from __future__ import annotations
@@ -34,16 +48,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm.frames import typed
-from mercato.llm.words import _BYTE_POWERS, _BYTES, mix, prefix_sums, range_hash, text_chunks
+from mercato.llm.words import _BYTE_POWERS, _BYTES, mix, prefix_sums, range_hash, text_chunks, to_int64
+from mercato.session import materialize
 
 WINDOW = 10  # template tokens
 MIN_LITERAL = 6  # of a template window: the rest may be placeholders
-SLICE_BYTES = 8 << 20
+FILTER_BITS = 27  # of the filter at most
+BITS_PER_WINDOW = 64
 
 LITERAL, NUMBER, UNIT, NAME = range(4)
 # fixed values: units that may follow a number
@@ -123,156 +140,263 @@ class Templates:
             self.type[unit] = UNIT
         self.code = np.where(self.type == LITERAL, self.value, _SLOT[self.type])
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Start tokens of the windows of ``size`` tokens inside one text, and their hashes, in all readings."""
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start tokens of the windows of ``size`` tokens inside one text, their hashes in all readings, and whether a reading holds all values."""
         m = len(self.start)
         if m < size:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
         last = np.repeat(self.first[1:], np.diff(self.first))
         at = np.flatnonzero(np.arange(m) + size <= last)
         typed, named = (np.concatenate([[0], np.cumsum(x)]) for x in (self.type != LITERAL, self.type == NAME))
         slots, names = typed[at + size] - typed[at], named[at + size] - named[at]
         unnamed = np.where(self.type == NAME, self.value, self.code)
         literal = min(size, MIN_LITERAL)
-        starts, hashes = [], []
+        starts, hashes, exact = [], [], []
         for code, n, use in (  # a reading, its placeholders, the windows in which it differs from those before
             (self.code, slots, size - slots >= literal),
             (unnamed, slots - names, (size - slots + names >= literal) & (names > 0) & (slots > names)),
-            (self.value, 0, slots > 0),
+            (self.value, 0 * slots, slots > 0),
         ):
             sums = prefix_sums(code)
             first = (code[at] != self.value[at]) & (size - n + 1 >= literal) & (n > 1)  # else all are values
-            for head, x in ((code, at[use]), (self.value, at[first])):
-                starts.append(x)
-                hashes.append(mix(range_hash(sums, x + 1, x + size) * _HEAD + head[x]))
-        return np.concatenate(starts), np.concatenate(hashes)
-
-
-class Index:
-    """Hash table of the items' windows, by window size."""
-
-    def __init__(self, ids: list[int], texts: list[str]):
-        self.units = _unit_hashes()
-        data = [t.encode() for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
-        t = Templates(np.frombuffer(b"".join(data), np.uint8), offsets, self.units)
-        self.ids, self.first, self.value, self.type = np.array(ids, np.int64), t.first, t.value, t.type
-        sizes = np.diff(t.first)
-        self.tables = {}
-        for size in sorted({WINDOW} | {int(s) for s in sizes if 0 < s < WINDOW}):
-            at, hashes = t.windows(size)
-            item = np.searchsorted(t.first, at, "right") - 1
-            fits = sizes[item] == size if size < WINDOW else sizes[item] >= WINDOW
-            at, hashes, item = at[fits], hashes[fits], item[fits]
-            order = np.argsort(hashes, kind="stable")
-            self.tables[size] = hashes[order], at[order], item[order]
-
-    def matches(self, buf: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
-        """``(text, item, start token, tokens, slots, changed slots)`` of the best run of each pair."""
-        t = Templates(buf, offsets, self.units)
-        best: dict[tuple[int, int], tuple] = {}
-        for size, (hashes, item_at, items) in self.tables.items():
-            at, h = t.windows(size)
-            lo = np.searchsorted(hashes, h)
-            hit = np.flatnonzero((lo < len(hashes)) & (hashes[np.minimum(lo, max(0, len(hashes) - 1))] == h)) if len(hashes) else []
-            if not len(hit):
-                continue
-            lo, count = lo[hit], np.searchsorted(hashes, h[hit], "right") - lo[hit]
-            place = np.repeat(lo - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            doc_at = np.repeat(at[hit], count)
-            text = np.searchsorted(t.first, doc_at, "right") - 1
-            shift = doc_at - item_at[place]
-            order = np.lexsort((doc_at, shift, items[place], text))
-            text, item, shift, doc_at = text[order], items[place][order], shift[order], doc_at[order]
-            new = np.ones(len(order), bool)
-            new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (shift[1:] != shift[:-1]) | (doc_at[1:] > doc_at[:-1] + size)
-            begin = np.flatnonzero(new)
-            end = np.append(begin[1:], len(order)) - 1
-            for b, e in zip(begin.tolist(), end.tolist(), strict=True):
-                for run in self._consistent(t, int(doc_at[b]), int(doc_at[e]) + size, int(shift[b]), size):
-                    key = (int(text[b]), int(item[b]))
-                    if run[1] > best.get(key, (0, 0))[1]:
-                        best[key] = run
-        return [(d, i, s - int(t.first[d]), n, k, c) for (d, i), (s, n, k, c) in sorted(best.items())]
-
-    def _consistent(self, t: Templates, start: int, end: int, shift: int, size: int) -> list[tuple[int, int, int, int]]:
-        """The longest parts of a run in which slots map one to one."""
-        item = slice(start - shift, end - shift)
-        slots = np.flatnonzero((t.type[start:end] == self.type[item]) & (self.type[item] != LITERAL))
-        kinds, ours, theirs = (x[slots].tolist() for x in (self.type[item], self.value[item], t.value[start:end]))
-        changed = t.value[start:end] != self.value[item]
-        parts, there, back, begin = [], {}, {}, 0
-        for p, k, a, b in zip(slots.tolist(), kinds, ours, theirs, strict=True):
-            (b_then, p_a), (a_then, p_b) = there.get((k, a), (b, -1)), back.get((k, b), (a, -1))
-            cut = max(begin, p_a + 1 if b_then != b else 0, p_b + 1 if a_then != a else 0)
-            if cut > begin:  # goes on behind the token that contradicts this one
-                parts.append((begin, p))
-                begin = cut
-            there[k, a], back[k, b] = (b, p), (a, p)
-        out = []
-        for lo, hi in [*parts, (begin, end - start)]:
-            if hi - lo >= size:
-                inside = slots[(slots >= lo) & (slots < hi)]
-                out.append((start + lo, hi - lo, len(inside), int(changed[inside].sum())))
+            for head, x in ((code, use), (self.value, first)):
+                starts.append(at[x])
+                hashes.append(mix(range_hash(sums, at[x] + 1, at[x] + size) * _HEAD + head[at[x]]))
+                exact.append(n[x] == 0)
+        return np.concatenate(starts), np.concatenate(hashes), np.concatenate(exact)
+
+
+def _consistent(values: np.ndarray, types: np.ndarray, item_values: np.ndarray, item_types: np.ndarray, size: int) -> list[tuple[int, int, int, int]]:
+    """``(start, tokens, slots, changed slots)`` of the longest parts of a run in which slots map one to one."""
+    slots = np.flatnonzero((types == item_types) & (item_types != LITERAL))
+    kinds, ours, theirs = (x[slots].tolist() for x in (item_types, item_values, values))
+    changed = values != item_values
+    parts, there, back, begin = [], {}, {}, 0
+    for p, k, a, b in zip(slots.tolist(), kinds, ours, theirs, strict=True):
+        (b_then, p_a), (a_then, p_b) = there.get((k, a), (b, -1)), back.get((k, b), (a, -1))
+        cut = max(begin, p_a + 1 if b_then != b else 0, p_b + 1 if a_then != a else 0)
+        if cut > begin:  # goes on behind the token that contradicts this one
+            parts.append((begin, p))
+            begin = cut
+        there[k, a], back[k, b] = (b, p), (a, p)
+    out = []
+    for lo, hi in [*parts, (begin, len(values))]:
+        if hi - lo >= size:
+            inside = slots[(slots >= lo) & (slots < hi)]
+            out.append((lo, hi - lo, len(inside), int(changed[inside].sum())))
+    return out
+
+
+def _list(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat).cast(kind))
+
+
+ITEM_SCHEMA = "item_id long, class long, values array<long>, types array<tinyint>, size array<int>, at array<int>, hash array<long>, exact array<boolean>"
+
+
+def item_templates(benchmark: DataFrame) -> DataFrame:
+    """A row per item with tokens: its class, its template tokens and its windows."""
+    schema = typed(ITEM_SCHEMA)
+
+    def one(item_id, text: str, units: np.ndarray) -> tuple | None:
+        buf = np.frombuffer(text.encode(), np.uint8)
+        t = Templates(buf, np.array([0, len(buf)]), units)
+        if not len(t.value):
+            return None
+        seen: dict[tuple[int, int], int] = {}
+        slot = [seen.setdefault((k, v), len(seen) + 1) if k != LITERAL else 0 for k, v in zip(t.type.tolist(), t.value.tolist(), strict=True)]
+        sums = prefix_sums(t.code + mix(np.array(slot, np.uint64)))
+        key = range_hash(sums, np.array([0]), np.array([len(slot)]))
+        size = min(WINDOW, len(slot))
+        at, hashes, exact = t.windows(size)
+        return item_id, to_int64(key)[0], to_int64(t.value), t.type, np.full(len(at), size), at, to_int64(hashes), exact
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = _unit_hashes()
+        for batch in batches:
+            found = [r for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if x and (r := one(i, x, units))]
+            if found:
+                columns = list(zip(*found, strict=True))
+                lists = [_list(list(c), f.type.value_type) for c, f in zip(columns[2:], arrow[2:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), *lists], names=schema.fieldNames())
+
+    kinds = [pa.int64(), pa.int8(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()]
+    arrow = [pa.field("item_id", pa.int64()), pa.field("class", pa.int64()), *(pa.field("x", pa.list_(k)) for k in kinds)]
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    return materialize(rows.mapInArrow(run, schema), benchmark.sparkSession, "item_templates")
+
+
+def members(templates: DataFrame) -> DataFrame:
+    """``item_id`` (the class's smallest) and ``member_id`` of every item of :func:`item_templates`."""
+    least = templates.groupBy("class").agg(F.min("item_id").alias("least"))
+    return templates.join(least, "class").select(F.col("least").alias("item_id"), F.col("item_id").alias("member_id"))
+
+
+def item_windows(templates: DataFrame) -> DataFrame:
+    """``hash, size, class, item_at, exact``: the windows of all members, each once."""
+    zipped = F.arrays_zip("size", "at", "hash", "exact")
+    rows = templates.select("class", F.inline(zipped))
+    rows = rows.groupBy("hash", "size", "class", F.col("at").alias("item_at")).agg(F.max("exact").alias("exact"))
+    return materialize(rows, templates.sparkSession, "item_windows")
+
+
+class WindowFilter:
+    """Which window hashes may be an item's: two bits of each are set."""
+
+    def __init__(self, n: int):
+        bits = min(FILTER_BITS, max(10, int(n * BITS_PER_WINDOW).bit_length()))
+        self.mask = np.uint64((1 << bits) - 1)
+        self.bits = np.zeros(1 << (bits - 3), np.uint8)
+
+    def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return hashes & self.mask, (hashes >> np.uint64(32)) & self.mask
+
+    def add(self, hashes: np.ndarray) -> None:
+        for place in self._places(hashes):
+            np.bitwise_or.at(self.bits, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.ones(len(hashes), bool)
+        for place in self._places(hashes):
+            out &= (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
         return out
 
 
-def indexes(benchmark: DataFrame) -> Iterator[Index]:
-    """The benchmark in slices of bounded size (one index at a time)."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.filter(F.col("text").isNotNull())
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    slices = 1 + total // SLICE_BYTES
-    for k in range(slices):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
-        rows = part.collect()  # about SLICE_BYTES of text
-        if rows:
-            yield Index([-1 if r["item_id"] is None else r["item_id"] for r in rows], [r["text"] for r in rows])
-
-
-MATCH_SCHEMA = "doc_id long, item_id long, start_token long, n_tokens long, n_slots long, n_changed long"
+def window_filter(windows: DataFrame) -> tuple[WindowFilter, list[int]]:
+    """The filter of all item windows and their sizes. The hashes pass through the driver in small parts; only the bits stay."""
+    state = windows.agg(F.count("*").alias("n"), F.collect_set("size").alias("sizes")).first()  # sizes: at most WINDOW
+    found = WindowFilter(state["n"])
+    part: list[int] = []
+    for r in windows.select("hash").distinct().toLocalIterator():
+        part.append(r["hash"])
+        if len(part) == 1 << 16:
+            found.add(np.array(part, np.int64).view(np.uint64))
+            part = []
+    found.add(np.array(part, np.int64).view(np.uint64))
+    return found, sorted(state["sizes"])
+
+
+HIT = "array<struct<at:int,size:int,hash:long,values:array<long>,types:array<tinyint>>>"
+
+
+def with_hits(rows: DataFrame, known: WindowFilter, sizes: list[int], kept: str) -> DataFrame:
+    """``(place, <kept>, hits)``: the windows of each text that may be an item's; null without any."""
+    schema = typed(f"place long, {kept} {rows.schema[kept].dataType.simpleString()}, hits {HIT}")
+
+    def hits_of(t: Templates, n: int) -> pa.Array:
+        at, size, hashes = [], [], []
+        for k in sizes:
+            a, h, _ = t.windows(k)
+            hit = known.may_hold(h)
+            at.append(a[hit])
+            hashes.append(h[hit])
+            size.append(np.full(int(hit.sum()), k))
+        at, size, hashes = np.concatenate(at), np.concatenate(size), np.concatenate(hashes)
+        order = np.argsort(at, kind="stable")
+        at, size, hashes = at[order], size[order], hashes[order]
+        text = np.searchsorted(t.first, at, "right") - 1
+        ends = np.concatenate([[0], np.cumsum(size)])
+        tokens = np.repeat(at - ends[:-1], size) + np.arange(ends[-1])
+        offsets = pa.array(ends, pa.int32())
+        structs = pa.StructArray.from_arrays(
+            [
+                pa.array(at - t.first[text], pa.int32()),
+                pa.array(size, pa.int32()),
+                pa.array(to_int64(hashes), pa.int64()),
+                pa.ListArray.from_arrays(offsets, pa.array(to_int64(t.value[tokens]), pa.int64())),
+                pa.ListArray.from_arrays(offsets, pa.array(t.type[tokens], pa.int8())),
+            ],
+            names=["at", "size", "hash", "values", "types"],
+        )
+        borders = np.searchsorted(text, np.arange(n + 1))
+        empty = np.append(borders[1:] == borders[:-1], False)
+        return pa.ListArray.from_arrays(pa.array(borders, pa.int32(), mask=empty), structs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = _unit_hashes()
+        for batch in batches:
+            for lo, hi, buf, offsets in text_chunks(batch.column(2)):
+                found = hits_of(Templates(buf, offsets, units), hi - lo)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), found], names=schema.fieldNames())
+
+    rows = rows.select(F.monotonically_increasing_id().alias("place"), kept, F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, schema)
+
+
+RUN_SCHEMA = "place long, class long, start_token long, n_tokens long, n_slots long, n_changed long, n_exact long"
+
+
+def _best_run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The longest consistent run of one document row and one class (the first of equal ones)."""
+    item_values, item_types = (np.asarray(rows[c].iloc[0]) for c in ("item_values", "item_types"))
+    rows = rows.assign(shift=rows["at"] - rows["item_at"]).sort_values(["size", "shift", "at"], kind="stable")
+    best = None
+    for (size, shift), part in rows.groupby(["size", "shift"], sort=True):
+        at = part["at"].to_numpy()
+        cuts = np.flatnonzero(np.diff(at) > size) + 1
+        for run in np.split(np.arange(len(at)), cuts):
+            start, end = int(at[run[0]]), int(at[run[-1]]) + int(size)
+            values, types, exact = np.zeros(end - start, np.int64), np.zeros(end - start, np.int8), np.zeros(end - start, bool)
+            for i in run.tolist():
+                inside = slice(int(at[i]) - start, int(at[i]) - start + int(size))
+                values[inside], types[inside] = part["values"].iloc[i], part["types"].iloc[i]
+                exact[inside] |= bool(part["exact"].iloc[i])
+            item = slice(start - int(shift), end - int(shift))
+            for lo, n, slots, changed in _consistent(values, types, item_values[item], item_types[item], int(size)):
+                if best is None or n > best[1]:
+                    best = (start + lo, n, slots, changed, int(exact[lo : lo + n].sum()))
+    return pd.DataFrame([] if best is None else [(*key, *best)], columns=RUN_COLUMNS)
+
+
+RUN_COLUMNS = [c.split()[0] for c in RUN_SCHEMA.split(", ")]
+
+
+def runs(scanned: DataFrame, windows: DataFrame, templates: DataFrame) -> DataFrame:
+    """The best run of each row of :func:`with_hits` and class."""
+    first = F.struct(F.col("item_id").isNull(), "item_id", "values", "types")
+    chosen = templates.groupBy("class").agg(F.min_by(F.struct("values", "types"), first).alias("t"))
+    chosen = chosen.select("class", F.col("t.values").alias("item_values"), F.col("t.types").alias("item_types"))
+    hits = scanned.filter(F.col("hits").isNotNull()).select("place", F.inline("hits"))
+    found = hits.join(windows, ["hash", "size"]).groupBy("place", "class", "size", "at", "item_at")
+    found = found.agg(F.first("values").alias("values"), F.first("types").alias("types"), F.max("exact").alias("exact"))
+    return found.join(chosen, "class").groupBy("place", "class").applyInPandas(_best_run, typed(RUN_SCHEMA))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document and benchmark item that it holds a passage of (the longest run)."""
-    schema = typed(MATCH_SCHEMA)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-    def search(index: Index):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for lo, _, buf, offsets in text_chunks(batch.column(1)):
-                    if found := index.matches(buf, offsets):
-                        text, item, *rest = (np.array(x, np.int64) for x in zip(*found, strict=True))
-                        ids = batch.column(0).take(pa.array(text + lo))
-                        yield pa.RecordBatch.from_arrays(
-                            [ids, pa.array(index.ids[item]), *map(pa.array, rest)], names=schema.fieldNames()
-                        )
-
-        return run
-
-    out = None
-    for index in indexes(benchmark):
-        part = rows.mapInArrow(search(index), schema)
-        out = part if out is None else out.unionByName(part)
-    return rows.limit(0).mapInArrow(lambda batches: iter(()), schema) if out is None else out
+    """One row per document row and template class that it holds a passage of (the longest run).
+
+    ``doc_id``, ``item_id`` (the smallest of the class, :func:`members` has
+    all), ``start_token``, ``n_tokens``, ``n_slots``, ``n_changed`` (slots that
+    differ from that item's) and ``n_exact`` (tokens inside windows that are
+    equal to those of some item of the class)."""
+    spark = docs.sparkSession
+    templates = item_templates(benchmark)
+    windows = item_windows(templates)
+    known, sizes = window_filter(windows)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if not sizes:
+        return rows.limit(0).select("doc_id", *[F.lit(0).cast("long").alias(c) for c in ("item_id", *RUN_COLUMNS[2:])])
+    scanned = materialize(with_hits(rows, known, sizes, "doc_id").filter(F.col("hits").isNotNull()), spark, "window_hits")
+    least = templates.groupBy("class").agg(F.min("item_id").alias("item_id"))
+    found = runs(scanned, windows, templates).join(least, "class").join(scanned.select("place", "doc_id"), "place")
+    return found.select("doc_id", "item_id", *RUN_COLUMNS[2:])
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a benchmark passage, columns unchanged."""
-    for index in indexes(benchmark):
-        packed = docs.select(F.struct(*docs.columns).alias("__row"), F.col("text").cast("string").alias("text"))
-        schema = typed(f"__row {packed.schema['__row'].dataType.simpleString()}")
-
-        def run(batches: Iterator[pa.RecordBatch], index=index, schema=schema) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                for lo, _, buf, offsets in text_chunks(batch.column(1)):
-                    keep[[lo + m[0] for m in index.matches(buf, offsets)]] = False
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep))], names=schema.fieldNames())
-
-        docs = packed.mapInArrow(run, schema).select("__row.*")
-    return docs
+    spark = docs.sparkSession
+    templates = item_templates(benchmark)
+    windows = item_windows(templates)
+    known, sizes = window_filter(windows)
+    if not sizes:
+        return docs
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
+    scanned = materialize(with_hits(rows, known, sizes, "__row"), spark, "window_hits")
+    found = runs(scanned, windows, templates).select("place").distinct()
+    doubtful = scanned.filter(F.col("hits").isNotNull()).select("place", "__row").join(found, "place", "left_anti")
+    return scanned.filter(F.col("hits").isNull()).select("__row.*").unionByName(doubtful.select("__row.*"))
 
 
 def benchmark_table(spark: SparkSession, sf_dir: str) -> DataFrame:

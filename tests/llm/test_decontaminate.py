@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import random
 import re
 
+import numpy as np
+
 from mercato.llm import decontaminate
 
 ITEM = "If Anna buys 12 apples for 3 dollars each and sells them to Tom for 5 dollars, how much does Anna earn?"
@@ -44,12 +47,101 @@ def test_inconsistent_slots_cut_the_run(spark, frame):
     assert found(spark, frame, [(1, f"Well, {odd}")], [(8, item)])[1, 8].n_tokens < whole
 
 
-def test_slices_of_the_benchmark(spark, frame, monkeypatch):
-    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 40)
+def test_a_small_filter_loses_nothing(spark, frame, monkeypatch):
+    """With a filter that lets nearly everything through the join alone decides."""
     items = [(i, " ".join("abcdef"[i] * (k + 2) for k in range(15))) for i in range(6)]
-    docs = [(i, f"lead {t} tail") for i, t in items] + [(99, "clean")]
-    assert set(found(spark, frame, docs, items)) == {(i, i) for i in range(6)}
-    assert [r.doc_id for r in decontaminate.clean(frame(docs), bench(spark, items)).collect()] == [99]
+    docs = [(i, f"lead {t} tail") for i, t in items] + [(99, "clean words of no item at all, but more than ten of them")]
+    for bits in (27, 4):
+        monkeypatch.setattr(decontaminate, "FILTER_BITS", bits)
+        assert set(found(spark, frame, docs, items)) == {(i, i) for i in range(6)}
+        assert [r.doc_id for r in decontaminate.clean(frame(docs), bench(spark, items)).collect()] == [99]
+
+
+def readings(t, at, size):
+    """All readings of a window as tuples, from the definition."""
+    value, kind, code = (x[at : at + size].tolist() for x in (t.value, t.type, t.code))
+    named = [v if k == decontaminate.NAME else c for v, k, c in zip(value, kind, code, strict=True)]
+    literal, out = min(size, decontaminate.MIN_LITERAL), set()
+    for reading in (code, named):
+        for form in (reading, [value[0], *reading[1:]]):
+            if sum(f == v for f, v in zip(form, value, strict=True)) >= literal:
+                out.add(tuple(form))
+    return out | {tuple(value)}
+
+
+def brute(docs, items):
+    """Pairs of a document and an item with a consistent run of a window or more."""
+    units, out = decontaminate._unit_hashes(), {}
+    make = lambda x: decontaminate.Templates(np.frombuffer(x.encode(), np.uint8), np.array([0, len(x.encode())]), units)
+    for i, item in items:
+        u = make(item)
+        size = min(decontaminate.WINDOW, len(u.value))
+        for d, text in docs:
+            t, best = make(text), 0
+            for shift in range(-len(u.value), len(t.value)):
+                hits = [a for a in range(max(0, shift), min(len(t.value), shift + len(u.value)) - size + 1)
+                        if readings(t, a, size) & readings(u, a - shift, size)]
+                runs = []
+                for a in hits:
+                    if runs and a <= runs[-1][1]:
+                        runs[-1][1] = a + size
+                    else:
+                        runs.append([a, a + size])
+                for lo, hi in runs:
+                    for a in range(lo, hi):
+                        for b in range(a + size, hi + 1):
+                            pairs = [(u.type[k - shift], u.value[k - shift], t.value[k]) for k in range(a, b)
+                                     if t.type[k] == u.type[k - shift] != decontaminate.LITERAL]
+                            there, back = {}, {}
+                            if all(there.setdefault((k, x), y) == y and back.setdefault((k, y), x) == x for k, x, y in pairs):
+                                best = max(best, b - a)
+            if best:
+                out[d, i] = best
+    return out
+
+
+def test_templates_against_brute_force(spark, frame):
+    """Numbers, names and units changed at random, consistently or not, in running text of other case and order."""
+    rng = random.Random(4)
+    forms = [
+        "If {n} buys {a} apples for {b} dollars each and sells them to {m} for {c} dollars, how much does {n} earn?",
+        "A train leaves {n} at {a} hours and drives {b} km to {m}, how many km is it from {m} to {n}?",
+        "What is {a} plus {b} times {c}?",
+        "On {a} May {b} the town of {n} had {c} people, and {m} counted {a} of them by hand",
+    ]
+    names, numbers = ["Anna", "Tom", "Peter", "Maria", "Bern"], ["3", "12", "45", "7", "1990"]
+
+    def fill(form, names=names, numbers=numbers):
+        return form.format(n=rng.choice(names), m=rng.choice(names), a=rng.choice(numbers), b=rng.choice(numbers), c=rng.choice(numbers))
+
+    items = [(i, fill(forms[i % 4])) for i in range(8)]
+    docs = [(d, f"so it goes. {fill(forms[d % 4])} Then {fill(forms[(d // 4) % 4])}") for d in range(24)]
+    docs += [(100 + d, x.lower()) for d, x in docs[:4]] + [(200, "a text with 3 numbers in 12 places and nothing else of the kind to be found")]
+    templates = decontaminate.item_templates(bench(spark, items))
+    first = {r.member_id: r.item_id for r in decontaminate.members(templates).collect()}
+    want = {}
+    for (d, i), n in brute(docs, items).items():
+        want[d, first[i]] = max(n, want.get((d, first[i]), 0))
+    assert {k: r.n_tokens for k, r in found(spark, frame, docs, items).items()} == want and len(want) > 20
+
+
+def test_one_template_is_one_class(spark, frame):
+    """Documents of one form against thousands of items of that form: rows grow with the documents."""
+    form = "If Anna buys {} apples for {} dollars each and gives {} of them to Tom, how many apples does she keep?"
+    items = [(i, form.format(i + 10, i + 4000, i + 8000)) for i in range(1500)]
+    docs = [(d, f"Once. {form.format(d + 20_000, d + 30_000, d + 40_000)} So.") for d in range(50)] + [(60, items[700][1])]
+    got = found(spark, frame, docs, items)
+    assert set(got) == {(d, 0) for d, _ in docs}
+    assert got[60, 0].n_exact == got[60, 0].n_tokens and got[3, 0].n_exact < got[3, 0].n_tokens
+    assert decontaminate.members(decontaminate.item_templates(bench(spark, items))).count() == 1500
+    assert decontaminate.clean(frame(docs), bench(spark, items)).count() == 0
+
+
+def test_repeated_rows_and_rows_without_id(spark, frame):
+    docs = [(1, ITEM), (1, ITEM), (None, ITEM), (None, "clean")]
+    rows = decontaminate.matches(frame(docs), bench(spark, [(None, ITEM), (8, ITEM)])).collect()
+    assert sorted(str((r.doc_id, r.item_id)) for r in rows) == ["(1, 8)", "(1, 8)", "(None, 8)"]
+    assert [r.text for r in decontaminate.clean(frame(docs), bench(spark, [(8, ITEM)])).collect()] == ["clean"]
 
 
 def test_edges(spark, edge_docs, empty_docs, clashing_docs):
