@@ -27,14 +27,15 @@ Everything is a join of tables:
 * ``item_windows`` has a row per window hash, class and place.
 * A pass over the documents looks their windows up in a bit filter of the
   item hashes (at most ``2 ** FILTER_BITS`` bits, whatever the benchmark), and
-  keeps the windows that it may hold, with their tokens.
+  keeps the windows that it may hold, with their tokens. Copies of a text are
+  one from here on.
 * These are hash-joined with the item windows by Spark, which broadcasts
-  either side only below its size limit, and the runs of each document
-  and class are checked.
+  either side only below its size limit, and the runs of each text and
+  class are checked.
 
-Only windows that the filter lets through are shuffled. :func:`clean` writes the
-documents once with them: a document without any is kept as it is, the
-others are joined with the confirmed matches.
+Only windows that the filter lets through are shuffled. :func:`clean` takes the
+documents out whose text's hash is among the confirmed ones (an anti join, which
+Spark does by broadcast below its size limit).
 
 Null texts, and null items or items without tokens, match nothing; an item
 shorter than a window is matched whole. Repeated rows, and rows without an id, are
@@ -46,11 +47,11 @@ and ignored by :func:`matches`.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.llm.frames import typed
@@ -60,7 +61,7 @@ from mercato.session import materialize
 WINDOW = 10  # template tokens
 MIN_LITERAL = 6  # of a template window: the rest may be placeholders
 FILTER_BITS = 27  # of the filter at most
-BITS_PER_WINDOW = 64
+BITS_PER_WINDOW = 1024
 
 LITERAL, NUMBER, UNIT, NAME = range(4)
 # fixed values: units that may follow a number
@@ -279,13 +280,18 @@ def window_filter(windows: DataFrame) -> tuple[WindowFilter, list[int]]:
 
 
 HIT = "array<struct<at:int,size:int,hash:long,values:array<long>,types:array<tinyint>>>"
+KEY = ["k1", "k2"]  # of a text: whether it holds a passage depends on nothing else
 
 
-def with_hits(rows: DataFrame, known: WindowFilter, sizes: list[int], kept: str) -> DataFrame:
-    """``(place, <kept>, hits)``: the windows of each text that may be an item's; null without any."""
-    schema = typed(f"place long, {kept} {rows.schema[kept].dataType.simpleString()}, hits {HIT}")
+def text_key(text: Column) -> list[Column]:
+    return [F.xxhash64(F.lit(i), text).alias(k) for i, k in enumerate(KEY)]
 
-    def hits_of(t: Templates, n: int) -> pa.Array:
+
+def window_hits(docs: DataFrame, known: WindowFilter, sizes: list[int]) -> DataFrame:
+    """``(k1, k2, hits)``: the windows of each text that may be an item's; only texts with some, copies once."""
+    schema = typed(f"k1 long, k2 long, hits {HIT}")
+
+    def hits_of(t: Templates) -> tuple[np.ndarray, pa.Array]:
         at, size, hashes = [], [], []
         for k in sizes:
             a, h, _ = t.windows(k)
@@ -310,58 +316,85 @@ def with_hits(rows: DataFrame, known: WindowFilter, sizes: list[int], kept: str)
             ],
             names=["at", "size", "hash", "values", "types"],
         )
-        borders = np.searchsorted(text, np.arange(n + 1))
-        empty = np.append(borders[1:] == borders[:-1], False)
-        return pa.ListArray.from_arrays(pa.array(borders, pa.int32(), mask=empty), structs)
+        held, first = np.unique(text, return_index=True)
+        return held, pa.ListArray.from_arrays(pa.array(np.append(first, len(text)), pa.int32()), structs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = _unit_hashes()
         for batch in batches:
-            for lo, hi, buf, offsets in text_chunks(batch.column(2)):
-                found = hits_of(Templates(buf, offsets, units), hi - lo)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), found], names=schema.fieldNames())
-
-    rows = rows.select(F.monotonically_increasing_id().alias("place"), kept, F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, schema)
-
-
-RUN_SCHEMA = "place long, class long, start_token long, n_tokens long, n_slots long, n_changed long, n_exact long"
-
-
-def _best_run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """The longest consistent run of one document row and one class (the first of equal ones)."""
-    item_values, item_types = (np.asarray(rows[c].iloc[0]) for c in ("item_values", "item_types"))
-    rows = rows.assign(shift=rows["at"] - rows["item_at"]).sort_values(["size", "shift", "at"], kind="stable")
-    best = None
-    for (size, shift), part in rows.groupby(["size", "shift"], sort=True):
-        at = part["at"].to_numpy()
-        cuts = np.flatnonzero(np.diff(at) > size) + 1
-        for run in np.split(np.arange(len(at)), cuts):
-            start, end = int(at[run[0]]), int(at[run[-1]]) + int(size)
-            values, types, exact = np.zeros(end - start, np.int64), np.zeros(end - start, np.int8), np.zeros(end - start, bool)
-            for i in run.tolist():
-                inside = slice(int(at[i]) - start, int(at[i]) - start + int(size))
-                values[inside], types[inside] = part["values"].iloc[i], part["types"].iloc[i]
-                exact[inside] |= bool(part["exact"].iloc[i])
-            item = slice(start - int(shift), end - int(shift))
-            for lo, n, slots, changed in _consistent(values, types, item_values[item], item_types[item], int(size)):
-                if best is None or n > best[1]:
-                    best = (start + lo, n, slots, changed, int(exact[lo : lo + n].sum()))
-    return pd.DataFrame([] if best is None else [(*key, *best)], columns=RUN_COLUMNS)
-
-
-RUN_COLUMNS = [c.split()[0] for c in RUN_SCHEMA.split(", ")]
-
-
-def runs(scanned: DataFrame, windows: DataFrame, templates: DataFrame) -> DataFrame:
-    """The best run of each row of :func:`with_hits` and class."""
+            for lo, _, buf, offsets in text_chunks(batch.column(2)):
+                held, found = hits_of(Templates(buf, offsets, units))
+                if len(held):
+                    rows = pa.array(held + lo)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), found], names=schema.fieldNames())
+
+    text = F.col("text").cast("string")
+    rows = docs.filter(text.isNotNull()).select(*text_key(text), text.alias("text")).mapInArrow(run, schema)
+    return materialize(rows.groupBy(*KEY).agg(F.first("hits").alias("hits")), docs.sparkSession, "window_hits")
+
+
+RUN_SCHEMA = "k1 long, k2 long, class long, start_token long, n_tokens long, n_slots long, n_changed long, n_exact long"
+RUN_COLUMNS = ["start_token", "n_tokens", "n_slots", "n_changed", "n_exact"]
+
+
+def _best_run(rows: list[dict]) -> tuple[int, ...] | None:
+    """The longest consistent run of one text and one class (the first of equal ones); rows by size, shift and place."""
+    item_values, item_types = np.array(rows[0]["item_values"]), np.array(rows[0]["item_types"])
+    best, begin = None, 0
+    for k in range(1, len(rows) + 1):
+        last = rows[k - 1]
+        if k < len(rows) and all(rows[k][c] == last[c] for c in ("size", "shift")) and rows[k]["at"] <= last["at"] + last["size"]:
+            continue
+        run, size, shift = rows[begin:k], last["size"], last["shift"]
+        start, end, begin = run[0]["at"], last["at"] + last["size"], k
+        values, types, exact = np.zeros(end - start, np.int64), np.zeros(end - start, np.int8), np.zeros(end - start, bool)
+        for r in run:
+            inside = slice(r["at"] - start, r["at"] - start + size)
+            values[inside], types[inside] = r["values"], r["types"]
+            exact[inside] |= r["exact"]
+        item = slice(start - shift, end - shift)
+        for lo, n, slots, changed in _consistent(values, types, item_values[item], item_types[item], size):
+            if best is None or n > best[1]:
+                best = (start + lo, n, slots, changed, int(exact[lo : lo + n].sum()))
+    return best
+
+
+def runs(hits: DataFrame, windows: DataFrame, templates: DataFrame) -> DataFrame:
+    """The best run of each text of :func:`window_hits` and class."""
+    schema = typed(RUN_SCHEMA)
     first = F.struct(F.col("item_id").isNull(), "item_id", "values", "types")
     chosen = templates.groupBy("class").agg(F.min_by(F.struct("values", "types"), first).alias("t"))
     chosen = chosen.select("class", F.col("t.values").alias("item_values"), F.col("t.types").alias("item_types"))
-    hits = scanned.filter(F.col("hits").isNotNull()).select("place", F.inline("hits"))
-    found = hits.join(windows, ["hash", "size"]).groupBy("place", "class", "size", "at", "item_at")
+    found = hits.select(*KEY, F.inline("hits")).join(windows, ["hash", "size"])
+    found = found.groupBy(*KEY, "class", "size", (F.col("at") - F.col("item_at")).alias("shift"), "at")
     found = found.agg(F.first("values").alias("values"), F.first("types").alias("types"), F.max("exact").alias("exact"))
-    return found.join(chosen, "class").groupBy("place", "class").applyInPandas(_best_run, typed(RUN_SCHEMA))
+    group = [*KEY, "class"]
+    found = found.join(chosen, "class").repartition(*group).sortWithinPartitions(*group, "size", "shift", "at")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for lo in range(0, batch.num_rows, 1000) for r in batch.slice(lo, 1000).to_pylist())
+        out = []
+        for key, part in groupby(rows, lambda r: tuple(r[c] for c in group)):
+            if best := _best_run(list(part)):  # as many rows as the text has windows of the class
+                out.append((*key, *best))
+            if len(out) == 1000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=schema.fieldNames())
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=schema.fieldNames())
+
+    return found.mapInArrow(run, schema)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """The runs of all texts, written once, and the item templates; None without items."""
+    templates = item_templates(benchmark)
+    windows = item_windows(templates)
+    known, sizes = window_filter(windows)
+    if not sizes:
+        return None
+    hits = window_hits(docs, known, sizes)
+    return materialize(runs(hits, windows, templates), docs.sparkSession, "template_runs"), templates
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -371,32 +404,22 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     all), ``start_token``, ``n_tokens``, ``n_slots``, ``n_changed`` (slots that
     differ from that item's) and ``n_exact`` (tokens inside windows that are
     equal to those of some item of the class)."""
-    spark = docs.sparkSession
-    templates = item_templates(benchmark)
-    windows = item_windows(templates)
-    known, sizes = window_filter(windows)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    if not sizes:
-        return rows.limit(0).select("doc_id", *[F.lit(0).cast("long").alias(c) for c in ("item_id", *RUN_COLUMNS[2:])])
-    scanned = materialize(with_hits(rows, known, sizes, "doc_id").filter(F.col("hits").isNotNull()), spark, "window_hits")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text").cast("string")))
+    found = contaminated(docs, benchmark)
+    if found is None:
+        return rows.limit(0).select("doc_id", *[F.lit(0).cast("long").alias(c) for c in ("item_id", *RUN_COLUMNS)])
+    best, templates = found
     least = templates.groupBy("class").agg(F.min("item_id").alias("item_id"))
-    found = runs(scanned, windows, templates).join(least, "class").join(scanned.select("place", "doc_id"), "place")
-    return found.select("doc_id", "item_id", *RUN_COLUMNS[2:])
+    return rows.join(best.join(least, "class"), KEY).select("doc_id", "item_id", *RUN_COLUMNS)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a benchmark passage, columns unchanged."""
-    spark = docs.sparkSession
-    templates = item_templates(benchmark)
-    windows = item_windows(templates)
-    known, sizes = window_filter(windows)
-    if not sizes:
+    found = contaminated(docs, benchmark)
+    if found is None:
         return docs
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text")
-    scanned = materialize(with_hits(rows, known, sizes, "__row"), spark, "window_hits")
-    found = runs(scanned, windows, templates).select("place").distinct()
-    doubtful = scanned.filter(F.col("hits").isNotNull()).select("place", "__row").join(found, "place", "left_anti")
-    return scanned.filter(F.col("hits").isNull()).select("__row.*").unionByName(doubtful.select("__row.*"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *text_key(F.col("text").cast("string")))
+    return rows.join(found[0].select(*KEY).distinct(), KEY, "left_anti").select("__row.*")
 
 
 def benchmark_table(spark: SparkSession, sf_dir: str) -> DataFrame:
