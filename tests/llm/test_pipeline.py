@@ -5,9 +5,12 @@ import subprocess
 import sys
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from mercato.llm import decontaminate, packing, pii, quality
 from mercato.llm.queries import QUERIES
+from mercato.session import materialize
 
 SF = "/root/testdata/sf0.001"
 
@@ -80,3 +83,26 @@ def test_nothing_else_imports_the_subpackage():
         "assert 'pipeline' not in names and len(names) > 70\n"
     )
     subprocess.run([sys.executable, "-c", code], check=True, cwd=corpus_pipeline.__file__.rsplit("/", 1)[0])
+
+
+def through_stages(spark, docs):
+    """Row counts after each stage, and the last table; every stage but the last keeps the columns."""
+    counts = []
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = materialize(stage(spark, docs, SF), spark, f"test_{name}")
+        assert name == corpus_pipeline.STAGES[-1][0] or docs.columns == columns
+        counts.append(docs.count())
+    return counts, docs
+
+
+def test_stages_in_sequence_on_odd_tables(spark, edge_docs, empty_docs, clashing_docs):
+    assert through_stages(spark, empty_docs)[0] == [0] * 5
+    good = " ".join(f"the word{i} of sentence{i} and" for i in range(60))
+    row = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(100, good, "en", "s", len(good)), (100, good, "en", "s", len(good)), (None, good + " more", None, None, None), (101, None, "en", "s", None)]
+    for extra in ([], [F.lit(7).alias(c) for c in clashing_docs.columns[len(edge_docs.columns) :]]):
+        docs = edge_docs.unionByName(spark.createDataFrame(rows, row)).select("*", *extra)
+        counts, last = through_stages(spark, docs)
+        assert counts[0] == 3 and counts[1:] == [1, 1, 1, 1]  # the copies and the near copy are one, nothing else has enough words
+        assert last.first().piece == 0 and last.first().offset == 0
