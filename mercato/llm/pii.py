@@ -2,15 +2,17 @@
 
 Fixed rules find four kinds of strictly valid spans (``BASE``); these are
 always reported. Broad generators propose further, overlapping spans (phone
-numbers without a country sign, spelled-out mail addresses, IPv6 addresses,
-bank account and social security numbers). Boosted trees score a candidate
+numbers without a country sign, mail addresses spelled with "at" and "dot",
+IPv6 addresses, also shortened ones, bank account and social security numbers). Boosted trees score a candidate
 by its format and by the words around it; it is selected if its score
 reaches the threshold of its kind. The trees are trained on a labelled table
 that :func:`labelled_rows` makes from formats and contexts with a fixed
 seed; the thresholds are calibrated on the part of the table that the trees
 have not seen, as the lowest score with at least ``PRECISION`` of the rows
 above it right. Of overlapping selected candidates the best-scored stays,
-and none overlaps a base span.
+and none overlaps a base span. The generators hold no bound of length but
+those that the formats have themselves: groups of 2 to 5 digits for a phone
+number, up to 34 characters for a bank account.
 
 Null texts are empty: no spans. Rows are independent, so repeated rows get
 equal spans; an empty table gives an empty result. Texts are searched whole;
@@ -21,6 +23,7 @@ one character class stay linear.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import random
 import re
 from collections.abc import Iterator
@@ -95,9 +98,10 @@ def base_spans(text: str) -> list[Span]:
 
 GENERATORS = {
     "spelled_email": re.compile(
-        r"(?<![\w.])[A-Za-z0-9._+-]{1,64}\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{1,63}(?:\x20?[\[(](?:dot|DOT)[\])]\x20?[A-Za-z0-9-]{1,63}|\.[A-Za-z0-9-]{1,63}){1,4}"
+        r"(?<![\w.+-])[A-Za-z0-9._+-]++(?:\x20?[\[(](?:at|AT)[\])]\x20?|\x20(?:at|AT)\x20)[A-Za-z0-9-]++"
+        r"(?:(?:\x20?[\[(](?:dot|DOT)[\])]\x20?|\x20(?:dot|DOT)\x20|\.)[A-Za-z0-9-]++)++"
     ),
-    "ipv6": re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4})(?![0-9A-Fa-f:])"),
+    "ipv6": re.compile(r"(?<![\w:])(?=[0-9A-Fa-f]*+:[0-9A-Fa-f]*+:)[0-9A-Fa-f:]++(?!\w)"),
     "local_phone": re.compile(r"(?<![\w.+-])\(?[0-9]{2,5}\)?(?:[\x20./-][0-9]{2,5}){1,4}(?![\w-])"),
     "ssn": re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,4})?(?!\w)"),
@@ -111,6 +115,7 @@ CUES = {
     "iban": {"iban", "account", "konto", "bank", "compte", "cuenta"},
 }
 COUNTER_CUES = {"version", "v", "isbn", "page", "pages", "order", "invoice", "item", "ref", "date", "on", "section", "chapter", "score", "price", "usd", "eur", "$", "€", "no", "nr"}
+DOMAIN_ENDS = {"com", "org", "net", "edu", "gov", "info", "io", "eu", "uk", "us", "de", "fr", "es", "it", "nl", "at", "ch", "be"}  # fixed values
 CONTEXT = 40  # characters before a candidate that are looked at
 
 
@@ -119,6 +124,14 @@ def iban_valid(s: str) -> bool:
     return s.isalnum() and 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def ipv6_valid(s: str) -> bool:
+    try:
+        ipaddress.IPv6Address(s)
+    except ValueError:
+        return False
+    return True
+
+
 def features(text: str, start: int, end: int, kind: str) -> list[float]:
     """Format and context of a candidate."""
     s = text[start:end]
@@ -147,22 +160,33 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
         float(digits[:1] == "0"),
         float(kind == "iban" and iban_valid(s)),
         float(kind == "ssn" and s[:3] not in ("000", "666") and s[:1] != "9" and s[4:6] != "00" and s[7:] != "0000"),
+        float(kind == "ipv6" and ipv6_valid(s)),
+        float(kind == "spelled_email" and groups[-1].lower() in DOMAIN_ENDS),
+        float("(" in s or "[" in s),
         float(any(w in CUES[kind] for w in before)),
         float(any(w in COUNTER_CUES for w in before[-2:])),
         float(lead in ' \n\t("'),
-        float(tail in " \n\t.,;)\"'!?"),
+        float(tail in " \n\t.,;:)\"'!?"),
     ]
 
 
 def candidates(text: str) -> list[Span]:
-    return [(*m.span(), kind) for kind, pattern in GENERATORS.items() for m in pattern.finditer(text)]
+    out = []
+    for kind, pattern in GENERATORS.items():
+        for m in pattern.finditer(text):
+            s, e = m.span()
+            if kind == "ipv6" and text[e - 1] == ":" and text[e - 2] != ":":
+                e -= 1  # a colon that ends the phrase
+            out.append((s, e, kind))
+    return out
 
 
 def labelled_rows(n: int = 6000, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features, labels and kinds of ``n`` made-up candidates in context.
 
     Each row is a span of one of the formats below, true or a look-alike,
-    after a cue, a counter-cue or neutral words."""
+    after a cue, a counter-cue or neutral words. A number in a phone format
+    is none after a counter-cue ("order 555-123-4567")."""
     rng = random.Random(seed)
     num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
     word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9)))
@@ -178,18 +202,26 @@ def labelled_rows(n: int = 6000, seed: int = SEED) -> tuple[np.ndarray, np.ndarr
         return rng.choice([f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}{sep}{num(3)}{sep}{num(4)}", f"0{num(3)}{sep}{num(3)}{sep}{num(4)}", f"0{num(1)} {num(2)} {num(2)} {num(2)} {num(2)}"])
 
     def mail(at: str) -> str:
-        return f"{word()}{rng.choice(['.', '_', ''])}{word()}{at}{word()}{rng.choice(['.', ' (dot) ', '[dot]'])}{rng.choice(['com', 'org', 'net', 'de', 'fr'])}"
+        dot = rng.choice([".", " dot "] if at == " at " else [".", " (dot) ", "[dot]"])
+        return f"{word()}{rng.choice(['.', '_', ''])}{word()}{at}{word()}{dot}{rng.choice(sorted(DOMAIN_ENDS))}"
+
+    def ipv6() -> str:
+        part = lambda k: ":".join(f"{rng.randrange(1, 65536):x}" for _ in range(k))
+        return rng.choice([part(8), f"2001:{part(rng.randint(1, 3))}::{part(rng.randint(1, 2))}", f"fe80::{part(rng.randint(1, 4))}"])
+
+    def hexes(k: int) -> str:
+        return "".join(rng.choice("abcdefABCDEF") for _ in range(k))
 
     true = {
-        "spelled_email": lambda: mail(rng.choice([" (at) ", "[at]", " [AT] ", "(at)"])),
-        "ipv6": lambda: ":".join(f"{rng.randrange(65536):x}" for _ in range(8)),
+        "spelled_email": lambda: mail(rng.choice([" (at) ", "[at]", " [AT] ", "(at)", " at "])),
+        "ipv6": ipv6,
         "local_phone": phone,
         "ssn": lambda: f"{rng.randint(1, 665):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}",
         "iban": lambda: iban(True),
     }
     false = {
-        "spelled_email": lambda: f"{word()} (at) {word()}.{num(1)}",
-        "ipv6": lambda: rng.choice([f"{num(2)}:{num(2)}:{num(2)}", f"{num(1)}:{num(2)}:{num(2)}:{num(2)}"]),
+        "spelled_email": lambda: rng.choice([f"{word()} (at) {word()}.{num(1)}", f"{word()} at {word()} dot {word()}", f"{word()} at {word()}.{rng.choice([word(), *sorted(DOMAIN_ENDS)])}", f"{word()} at {num(2)}.{num(2)}"]),
+        "ipv6": lambda: rng.choice([f"{num(2)}:{num(2)}:{num(2)}", f"{num(1)}:{num(2)}:{num(2)}:{num(2)}", "::", f"::{hexes(4)}", f"{hexes(3)}::{hexes(4)}", "::1"]),
         "local_phone": lambda: rng.choice([f"20{num(2)}-0{rng.randint(1, 9)}-{rng.randint(10, 28)}", f"{num(2)}.{num(2)}.20{num(2)}", f"{num(2)}/{num(2)}", f"{num(3)}-{num(3)}", f"{num(2)}.{num(2)}", f"{num(4)}-{num(4)}", f"{num(3)} {num(3)}"]),
         "ssn": lambda: rng.choice([f"000-{num(2)}-{num(4)}", f"9{num(2)}-{num(2)}-{num(4)}", f"{num(3)}-00-{num(4)}"]),
         "iban": lambda: iban(False),
@@ -203,7 +235,10 @@ def labelled_rows(n: int = 6000, seed: int = SEED) -> tuple[np.ndarray, np.ndarr
             lead.append(rng.choice(sorted(CUES[kind])))
         elif cue > (0.98 if label else 0.5):
             lead.append(rng.choice(sorted(COUNTER_CUES)))
-        text = " ".join([*lead, (true if label else false)[kind](), word()])
+        span = (true if label else false)[kind]()
+        if kind == "local_phone" and lead and lead[-1] in COUNTER_CUES:
+            lead, span = (lead[:-1], span) if label else (lead, rng.choice([span, phone()]))
+        text = " ".join([*lead, span + rng.choice(["", "", ".", ",", ":", ";"]), word()])
         for a, b, k in candidates(text):
             if k == kind:
                 x.append(features(text, a, b, k))
@@ -250,7 +285,7 @@ def train(n: int = 6000) -> Model:
 
 
 def _may_hold(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Texts with an @, at least four digits, or a bracketed "at" or colon pair."""
+    """Texts with an @, at least four digits, a bracket, a colon pair, or "at" between spaces."""
 
     def count(hit: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0], np.cumsum(hit)])
@@ -259,7 +294,10 @@ def _may_hold(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     digits = count((buf >= 48) & (buf <= 57))
     brackets = count((buf == 40) | (buf == 91))
     colons = count(buf == 58)
-    return (digits >= 4) | (count(buf == 64) > 0) | (brackets > 0) | (colons > 1)
+    at = np.zeros(len(buf), bool)
+    low = buf[1:-2] | 32, buf[2:-1] | 32
+    at[1:-2] = (buf[:-3] == 32) & (low[0] == 97) & (low[1] == 116) & (buf[3:] == 32)
+    return (digits >= 4) | (count(buf == 64) > 0) | (brackets > 0) | (colons > 1) | (count(at) > 0)
 
 
 def digest(spans: list[Span]) -> str:
