@@ -3,33 +3,38 @@
 Five word classes are told apart: insult, threat, target, negation and
 reported speech. Targets, negations, reports and threats are fixed words;
 insult arcs are learnt, as whole words and as stems (a word's first bytes),
-and carry their log-odds as weight. Four small transducers read the classes
+and carry their log-odds as weight (threats: the median of the insults'). Four small transducers read the classes
 of a clause: one remembers whether someone is addressed, one whether a
 negation is near, one whether speech is reported, one turns a threat into
 weight only if it meets a target, before or after it. Those for insults and
-those for threats are composed into a machine each; what it writes depends
-on all its parts, so the same word weighs differently in "you idiot", "not
-an idiot" and "he called it trash", and "I will not hurt you" is no threat.
-A document is described by the weights of its matched clauses and scored by
-a logistic regression.
+those for threats are composed into a machine each; the state it ends in
+gives the arc a context, and a clause weighs the sum of its arcs' weights
+times their contexts' weights (``CONTEXTS``). So the same word weighs
+differently in "you idiot", "an idiot", "not an idiot" and "he called it
+trash", and "I will not hurt you" is hardly a threat. A logistic regression
+scores a document by the weights of its clauses: all, the heaviest, and how
+many arcs matched.
 
 Learning uses at most ``SAMPLE`` labelled rows (those with the smallest
 hashes of their ids), none of them held out: a row is held out where
-crc32(id as text) mod 3 is 1. Near copies among them (three 1-minhashes)
-count once, or every word of a copied toxic text would look like an insult.
+crc32(id as text) mod 3 is 1. Of near copies among them (three 1-minhashes)
+the smallest id counts, or every word of a copied toxic text would look like
+an insult.
 The regression is fitted on weights that the other half of the sample gave
 (two folds). All rows are scored, on whole texts; the score sees the text
-only.
+only. Very long texts are read whole, about a megabyte of text at a time
+(a longer text alone).
 
 Null and empty texts match nothing and get the score of no match. Without
-usable labels every score is 0. Repeated labels of an id count as toxic if
-one says so; repeated rows get equal scores.
+usable labels every score is 0. An empty table gives an empty result. Other
+columns, whatever their names, are not read. Repeated labels of an id count
+as toxic if one says so; repeated rows get equal scores.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from itertools import product
 
 import numpy as np
@@ -84,6 +89,7 @@ def _meeting() -> Transducer:
     return Transducer([{TARGET: (1, False), THREAT: (2, False)}, {THREAT: (1, True)}, {TARGET: (1, True)}])
 
 
+SILENT = Transducer([{}])
 PARTS = {"target": _memory(TARGET), "negated": _memory(NEGATION), "reported": _memory(REPORT)}
 #: threats are written at the threat or the later target, so negation and report are flagged at both
 THREATS = {"threat": _meeting(), "negated": _memory(NEGATION, (THREAT, TARGET)), "reported": _memory(REPORT, (THREAT, TARGET))}
@@ -140,18 +146,24 @@ class Tokens:
         return out
 
 
-FEATURES = ["plain", "target", "negated", "reported", "threat", "heaviest", "matches", "threat_ahead"]  # threat: its target stands before
+#: a context's weight; ``threat``: a target stands before the threat, ``threat_ahead``: after it
+CONTEXTS = {"plain": 1.0, "target": 1.25, "negated": 0.25, "reported": 0.25, "threat": 1.25, "threat_ahead": 1.25}
+PLAIN, ADDRESSED, NEGATED, REPORTED, MENACE, MENACE_AHEAD = range(len(CONTEXTS))
+READOUT = [*CONTEXTS, "heaviest", "matches"]
+HEAVIEST, MATCHES = len(CONTEXTS), len(CONTEXTS) + 1
+CONTEXT_WEIGHT = list(CONTEXTS.values())
 
 
 class Grammar:
-    """The insult arcs and the composed machines."""
+    """The insult arcs and the composed machines; parts named in ``without`` stay silent."""
 
-    def __init__(self, insults: dict[bytes, float]):
+    def __init__(self, insults: dict[bytes, float], without: Collection[str] = ()):
         words = {w: v for w, v in insults.items() if not w.endswith(b"*")}
-        self.words = self._table([(w, INSULT, v) for w, v in words.items()] + [(w.encode(), c, 1.0) for c, ws in LEXICON.items() for w in ws.split() if w.encode() not in words])
+        threat = float(np.median(list(insults.values()))) if insults else 1.0
+        self.words = self._table([(w, INSULT, v) for w, v in words.items()] + [(w.encode(), c, threat) for c, ws in LEXICON.items() for w in ws.split() if w.encode() not in words])
         self.stems = {n: self._table([(w[:-1], INSULT, v) for w, v in insults.items() if w.endswith(b"*") and len(w) == n + 1]) for n in STEMS}
-        self.next, self.flags = compose(PARTS)
-        self.threat_next, self.threat_flags = compose(THREATS)
+        self.next, self.flags = compose({k: SILENT if k in without else p for k, p in PARTS.items()})
+        self.threat_next, self.threat_flags = compose({k: SILENT if k in without else p for k, p in THREATS.items()})
 
     @staticmethod
     def _table(arcs: list[tuple[bytes, int, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,10 +180,10 @@ class Grammar:
         at = np.minimum(np.searchsorted(table[0], hashes), len(table[0]) - 1)
         return np.where(table[0][at] == hashes, at, -1)
 
-    def features(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """One row of ``FEATURES`` per text."""
+    def readout(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """One row of ``READOUT`` per text: arc weights by context, the heaviest clause, matched arcs."""
         t = Tokens(buf, offsets)
-        out = np.zeros((len(offsets) - 1, len(FEATURES)))
+        out = np.zeros((len(offsets) - 1, len(READOUT)))
         if not len(t.start):
             return out
         kind, weight = np.zeros(len(t.start), np.int8), np.zeros(len(t.start))
@@ -183,40 +195,50 @@ class Grammar:
         if not len(matched):
             return out
         read = np.flatnonzero((kind > 0) & np.isin(t.clause, matched))
-        # a target may also follow: the clause is read forward and the flag of a later target is added
+        # a target may also follow: the clause is read forward and the arcs that wait for one are moved then
         state, threat, clause, place, text, total, owed, due = 0, 0, -1, 0, -1, 0.0, [], []
         for i, c, k, w, d in zip(read.tolist(), t.clause[read].tolist(), kind[read].tolist(), weight[read].tolist(), t.owner[read].tolist(), strict=True):
             if c != clause:
                 if text >= 0:
-                    out[text, 5] = max(out[text, 5], total)
+                    out[text, HEAVIEST] = max(out[text, HEAVIEST], total)
                 state, threat, clause, total, owed, due = 0, 0, c, 0.0, [], []
             elif i - place > REACH:
                 state = threat = 0
-            text, place = d, i
+            text, place, row = d, i, out[d]
             flags, state = self.flags[state][k], self.next[state][k]
             menace, threat = self.threat_flags[threat][k], self.threat_next[threat][k]
-            row = out[d]
             if k == INSULT:
-                row[2 if flags & 2 else 3 if flags & 4 else 1 if flags & 1 else 0] += w
-                row[6] += 1
-                total += w if not flags & 6 else w / 2
+                context = NEGATED if flags & 2 else REPORTED if flags & 4 else ADDRESSED if flags & 1 else PLAIN
+                row[context] += w
+                row[MATCHES] += 1
+                total += w * CONTEXT_WEIGHT[context]
                 if not flags:
                     owed.append((i, w))
             elif k == THREAT and not menace & 1:
                 due.append((i, w))
-            elif k == THREAT or k == TARGET:
-                met = w if k == THREAT else sum(v for j, v in due if i - j <= REACH) if menace & 1 else 0.0
-                row[2 if menace & 2 else 3 if menace & 4 else 4 if k == THREAT else 7] += met
-                total += met if not menace & 6 else met / 2
+            elif (k == THREAT or k == TARGET) and menace & 1:
+                met = [w] if k == THREAT else [v for j, v in due if i - j <= REACH]
+                context = NEGATED if menace & 2 else REPORTED if menace & 4 else MENACE if k == THREAT else MENACE_AHEAD
+                row[context] += sum(met)
+                row[MATCHES] += len(met)
+                total += sum(met) * CONTEXT_WEIGHT[context]
             if k == TARGET:
                 due = []
-                for j, v in owed:
-                    if i - j <= REACH:
-                        row[0] -= v
-                        row[1] += v
+                if self.flags[state][INSULT] & 1:  # an insult here would be flagged: the target part is not silent
+                    for j, v in owed:
+                        if i - j <= REACH:
+                            row[PLAIN] -= v
+                            row[ADDRESSED] += v
+                            total += v * (CONTEXT_WEIGHT[ADDRESSED] - CONTEXT_WEIGHT[PLAIN])
                 owed = []
-        out[text, 5] = max(out[text, 5], total)
-        return np.log1p(np.maximum(out, 0))
+        out[text, HEAVIEST] = max(out[text, HEAVIEST], total)
+        return out
+
+    def features(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """All clauses' weight, the heaviest clause's and the matches of each text, as logarithms."""
+        read = self.readout(buf, offsets)
+        weights = read[:, : len(CONTEXTS)] @ np.array(CONTEXT_WEIGHT)
+        return np.log1p(np.maximum(np.column_stack([weights, read[:, HEAVIEST], read[:, MATCHES]]), 0))
 
 
 class Model:
@@ -258,8 +280,10 @@ def sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, n: int = SAM
     rows = rows.withColumn("hashes", hashes).withColumns(
         {f"m{k}": F.array_min(F.transform("hashes", lambda h, k=k: F.xxhash64(h, F.lit(k)))) for k in range(3)}
     )
+    kept = ["doc_id", "text", "toxic", "m0", "m1", "m2"]
     for k in range(3):
-        rows = rows.dropDuplicates([f"m{k}"])
+        first = F.min_by(F.struct(*kept), F.struct("doc_id", F.xxhash64("text")))
+        rows = rows.groupBy(F.col(f"m{k}").alias("same")).agg(first.alias("row")).select("row.*")
     fold = F.pmod(F.xxhash64("m0"), F.lit(2)).cast("int")
     return materialize(rows.select("text", "toxic", fold.alias("fold")), spark, "toxicity_sample")
 
@@ -287,7 +311,8 @@ def arc_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text", "toxic", "fold").mapInArrow(run, schema)
 
 
-def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, n: int = SAMPLE) -> Model | None:
+def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, n: int = SAMPLE, without: Collection[str] = ()) -> Model | None:
+    """The grammar and the regression; parts named in ``without`` are left out (for comparisons)."""
     rows = sample(spark, docs, labels, n)
     sizes = {(r["fold"], r["toxic"]): r["count"] for r in rows.groupBy("fold", "toxic").count().collect()}  # four rows
     if not any(k[1] for k in sizes):
@@ -297,17 +322,21 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, n: int = SAMP
     counts = counts.filter(F.col("p0") + F.col("p1") >= MIN_SUPPORT).filter((F.col("p0") + F.col("p1")) * 3 > F.col("n0") + F.col("n1"))
     arcs = [(bytes(r["arc"]), np.array([[r["p0"], r["p1"]], [r["n0"], r["n1"]]], float)) for r in counts.collect()]  # bounded by the sample
 
+    fixed = {w.encode() for words in LEXICON.values() for w in words.split()}  # these have their class
+
     def insults(folds: list[int]) -> dict[bytes, float]:
         toxic, clean = (sum(sizes.get((f, y), 0) for f in folds) for y in (1, 0))
         out = {}
         for arc, c in arcs:
+            if arc in fixed:
+                continue
             p, q = c[0, folds].sum(), c[1, folds].sum()
             w = np.log((p + 0.5) / (toxic + 1)) - np.log((q + 0.5) / (clean + 1))
             if p >= MIN_SUPPORT and w >= MIN_Z * np.sqrt(1 / (p + 0.5) + 1 / (q + 0.5)):
                 out[arc] = float(w)
         return out
 
-    grammars = [Grammar(insults([1 - f])) for f in (0, 1)]  # rows of a fold are read with the other's arcs
+    grammars = [Grammar(insults([1 - f]), without) for f in (0, 1)]  # rows of a fold are read with the other's arcs
     schema = typed("toxic int, x array<double>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,7 +350,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, n: int = SAMP
     table = rows.select("text", "toxic", "fold").mapInArrow(run, schema).collect()  # at most n rows of numbers
     x, y = np.array([r["x"] for r in table]), np.array([r["toxic"] for r in table], float)
     order = np.lexsort((*x.T, y))  # the order of collected rows must not matter
-    return Model(Grammar(insults([0, 1])), fit_logistic(x[order], y[order]))
+    return Model(Grammar(insults([0, 1]), without), fit_logistic(x[order], y[order]))
 
 
 def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, n: int = SAMPLE) -> DataFrame:
